@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions import safe
+from rollcall.operators.sets import first_by_rank, text_set
 from rollcall.operators.spine import day_spine, is_six_day_week
 from rollcall.settings import (
     APPROVED,
@@ -140,16 +141,16 @@ def leave_by_day(approvals: DataFrame) -> DataFrame:
     rank = F.lit(4)
     for value, place in reversed(STATUS_RANK.items()):
         rank = F.when(status == value, place).otherwise(rank)
-    order = F.struct(rank, "approval_id", "approval_type", "reason")
-    best = F.min_by(F.struct("approval_status", "approval_type", "reason"), order)
+    order = [rank, "approval_id", "approval_type", "reason"]
+    best = first_by_rank(["approval_status", "approval_type", "reason"], *order)
     hours = F.sum(F.coalesce("hours_amount", F.lit(0.0)))
-    ids = F.array_sort(F.collect_set(F.col("approval_id").cast("string")))
+    ids = text_set(F.col("approval_id"))
     leave = approvals.filter(
         F.col("approval_type").isin(*LEAVE_TYPES) & F.col("date_record").isNotNull()
     )
     return (
         leave.groupBy("personnel_code", "date_record")
-        .agg(best.alias("b"), hours.alias("total_leave_hours"), ids.alias("ids"))
+        .agg(best.alias("b"), hours.alias("total_leave_hours"), ids.alias("leave_approval_ids"))
         .select(
             "personnel_code",
             "date_record",
@@ -160,7 +161,7 @@ def leave_by_day(approvals: DataFrame) -> DataFrame:
             ((F.col("total_leave_hours") > 0) & (F.col("total_leave_hours") < 8)).alias(
                 "is_half_day_leave"
             ),
-            F.when(F.size("ids") > 0, F.array_join("ids", ",")).alias("leave_approval_ids"),
+            "leave_approval_ids",
         )
     )
 

@@ -101,9 +101,9 @@ def sheet_rows(df: DataFrame, headers: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(h).alias(n) for h, n in headers.items()])
 
 
-def landed_records(df: DataFrame, raw: str = "RAW_DATA") -> Column:
+def landed_records(raw: Column) -> Column:
     """Number of records an envelope carries."""
-    return F.coalesce(F.size(jsonx.envelope_records(F.col(raw))), F.lit(0))
+    return F.coalesce(F.size(jsonx.envelope_records(raw)), F.lit(0))
 
 
 def reload_days(utc_ts: Column, days_back: int = 3) -> Column:

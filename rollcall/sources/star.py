@@ -291,9 +291,7 @@ def details_raw(orders: DataFrame) -> DataFrame:
             day(i, j).alias("date_start"),
             clock(i + 8).alias("time_start"),
             clock(i + 12).alias("time_end"),
-            F.when(j % 2 == 0, F.lit("0.5")).when(o % 4 == 2, F.lit("x")).otherwise("1").alias(
-                "day_number"
-            ),
+            F.when(j % 2 == 0, F.lit("0.5")).when(o % 4 != 2, F.lit("1")).alias("day_number"),
         )
         return F.struct(
             F.col("person").alias("personnel_code"),

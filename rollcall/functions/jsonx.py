@@ -25,19 +25,23 @@ def record_struct(record: Column, scalars: Iterable[str], documents: Iterable[st
     return F.from_json(record, T.StructType(fields))
 
 
-def scalar(parsed: str, key: str, record: str) -> Column:
-    """Text of a scalar field; NULL for missing, JSON null, object and array.
+def scalar_sql(parsed: str, key: str, record: str) -> str:
+    """SQL for the text of a scalar field; NULL for missing, JSON null, object and array.
 
     Text that opens like a container is rare, so only then is the record read
     again to tell a quoted string from a real container.
     """
-    text = F.col(f"{parsed}.{key}")
-    kind = F.schema_of_variant(
-        F.try_variant_get(F.try_parse_json(F.col(record)), f"$.{key}", "variant")
+    text = f"{parsed}.`{key}`"
+    value = f"try_variant_get(try_parse_json({record}), '$.{key}', 'variant')"
+    return (
+        f"CASE WHEN substr({text}, 1, 1) IN ('{{', '[') "
+        f"THEN CASE WHEN schema_of_variant({value}) = 'STRING' THEN {text} END ELSE {text} END"
     )
-    return F.when(
-        F.substring(text, 1, 1).isin("{", "["), F.when(kind == "STRING", text)
-    ).otherwise(text)
+
+
+def scalar(parsed: str, key: str, record: str) -> Column:
+    """:func:`scalar_sql` as a column."""
+    return F.expr(scalar_sql(parsed, key, record))
 
 
 def document(value: Column) -> Column:

@@ -6,6 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# SQL around a text ``{0}``, for column lists that are built as SQL.
+DATE_DMY_SQL = "try_to_date(trim({0}), 'd/M/yyyy')"
+TIMESTAMP_SQL = (
+    "CASE WHEN trim({0}) RLIKE r'^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}([ Tt]\\d{{1,2}}:\\d{{1,2}}:\\d{{1,2}}"
+    "([.]\\d+)?( ?(Z|UTC|[+-]\\d{{1,2}}(:\\d{{2}})?))?)?$' "
+    "THEN try_cast(trim({0}) AS TIMESTAMP) END"
+)
+
+
 def date_dmy(text: Column) -> Column:
     """``8/1/2026`` or ``08/01/2026``; anything after the date makes it NULL."""
     return F.try_to_date(F.trim(text), "d/M/yyyy")
@@ -26,12 +35,6 @@ def cast_date(text: Column) -> Column:
     return F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), t.try_cast("date"))
 
 
-def cast_timestamp(text: Column) -> Column:
-    t = F.trim(text)
-    shape = r"^\d{4}-\d{1,2}-\d{1,2}([ Tt]\d{1,2}:\d{1,2}:\d{1,2}(\.\d+)?( ?(Z|UTC|[+-]\d{1,2}(:\d{2})?))?)?$"
-    return F.when(t.rlike(shape), t.try_cast("timestamp"))
-
-
 def minute_stamp(day: Column, clock: Column) -> Column:
     """Timestamp from a date and an ``HH:MM`` text; NULL when either is bad."""
     return F.try_to_timestamp(

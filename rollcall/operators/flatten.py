@@ -12,8 +12,11 @@ from rollcall.functions import jsonx
 
 
 def unnest_envelope(df: DataFrame, raw: str, keep: Sequence[str], out: str = "rec") -> DataFrame:
-    """One row per record of ``{"data": [...]}``; empty or absent arrays drop the row."""
-    return df.select(*keep, F.explode(jsonx.envelope_records(F.col(raw))).alias(out))
+    """One row per record of ``{"data": [...]}``; empty or absent arrays drop the row.
+
+    ``keep`` lists SQL columns that every record of an envelope carries.
+    """
+    return df.selectExpr(*keep, f"explode(from_json({raw}, 'data array<string>').data) AS {out}")
 
 
 def unnest_outer(df: DataFrame, items: Column, out: str) -> DataFrame:

@@ -8,26 +8,25 @@ columns parses only those keys.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import jsonx, safe
 
-# How text becomes a value. Plain names fail the job on bad text; the ``safe_``
-# ones give NULL instead.
-READERS: dict[str, Callable[[Column], Column]] = {
-    "text": lambda c: c,
-    "int": lambda c: c.cast("long"),
-    "float": lambda c: c.cast("double"),
-    "timestamp": lambda c: c.cast("timestamp"),
-    "safe_int": lambda c: c.try_cast("long"),
-    "safe_float": lambda c: c.try_cast("double"),
-    "safe_timestamp": safe.cast_timestamp,
-    "date": safe.date_dmy,
-    "flag": lambda c: c.try_cast("long") == 1,
+# How text becomes a value, as SQL around the text ``{0}``. Plain names fail the
+# job on bad text; the ``safe_`` ones, dates and flags give NULL instead.
+READERS: dict[str, str] = {
+    "text": "{0}",
+    "int": "CAST({0} AS BIGINT)",
+    "float": "CAST({0} AS DOUBLE)",
+    "safe_int": "try_cast({0} AS BIGINT)",
+    "safe_float": "try_cast({0} AS DOUBLE)",
+    "safe_timestamp": safe.TIMESTAMP_SQL,
+    "date": safe.DATE_DMY_SQL,
+    "flag": "try_cast({0} AS BIGINT) = 1",
 }
 
 
@@ -42,22 +41,26 @@ def project(
     df: DataFrame,
     fields: Sequence[Field],
     record: str,
-    keep: Sequence[str | Column],
+    keep: Sequence[str],
     only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Typed columns of ``record``; ``only`` limits them by output name."""
+    """Typed columns of ``record`` after the SQL columns ``keep``.
+
+    ``only`` limits the typed columns by output name; other keys are not parsed.
+    The columns go to Spark as SQL text, one call for all of them.
+    """
     if only is not None:
         fields = [f for f in fields if f.name in set(only)]
     documents = [f.key for f in fields if f.kind == "json"]
     scalars = list(dict.fromkeys(f.key for f in fields if f.kind != "json"))
     parsed = df.withColumn("_j", jsonx.record_struct(F.col(record), scalars, documents))
 
-    def read(f: Field) -> Column:
+    def read(f: Field) -> str:
         if f.kind == "json":
-            return jsonx.document(F.col(f"_j.{f.key}")).alias(f.name)
-        return READERS[f.kind](jsonx.scalar("_j", f.key, record)).alias(f.name)
+            return f"to_json(_j.`{f.key}`) AS `{f.name}`"
+        return f"{READERS[f.kind].format(jsonx.scalar_sql('_j', f.key, record))} AS `{f.name}`"
 
-    return parsed.select(*keep, *[read(f) for f in fields])
+    return parsed.selectExpr(*keep, *[read(f) for f in fields])
 
 
 # Keys of an employee record. Families share a prefix.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import jsonx, safe
@@ -20,10 +20,8 @@ from rollcall.plans.columns import (
 from rollcall.settings import TODO, Settings
 from rollcall.sources.raw import HR_MASTER_COLUMNS, TRACKING_COLUMNS, sheet_rows
 
-
-def _tie() -> Column:
-    """A record's own text settles ties between rows with the same load stamp."""
-    return F.xxhash64("rec").alias("_tie")
+# A record's own text settles ties between rows with the same load stamp.
+_TIE = "xxhash64(rec) AS _tie"
 
 
 def _with(only: Sequence[str] | None, *needed: str) -> list[str] | None:
@@ -36,16 +34,16 @@ def _output(df: DataFrame, only: Sequence[str] | None) -> DataFrame:
 
 def stg_profiles(raw: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
     """Latest record per employee id."""
-    records = unnest_envelope(raw, "RAW_DATA", [F.col("SYNC_TIME").alias("sync_time")])
-    rows = project(records, PROFILE_FIELDS, "rec", ["sync_time", _tie()], _with(only, "ID"))
+    records = unnest_envelope(raw, "RAW_DATA", ["SYNC_TIME AS sync_time"])
+    rows = project(records, PROFILE_FIELDS, "rec", ["sync_time", _TIE], _with(only, "ID"))
     return _output(first_by(rows, ["ID"], [F.col("sync_time").desc(), F.col("_tie")]), only)
 
 
 def stg_approvals(raw: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
     """Latest snapshot per request; a settled snapshot beats a newer pending one."""
-    records = unnest_envelope(raw, "RAW_DATA", [F.col("SYNC_TIME").alias("sync_time")])
+    records = unnest_envelope(raw, "RAW_DATA", ["SYNC_TIME AS sync_time"])
     needed = _with(only, "ID", "personnel_code", "app_approval_status")
-    rows = project(records, APPROVAL_FIELDS, "rec", ["sync_time", _tie()], needed)
+    rows = project(records, APPROVAL_FIELDS, "rec", ["sync_time", _TIE], needed)
     rows = rows.filter(F.col("personnel_code").isNotNull() & (F.col("personnel_code") != ""))
     latest = forward_latest(
         rows, "ID", "app_approval_status", [F.col("sync_time").desc(), F.col("_tie")]
@@ -77,7 +75,7 @@ def stg_approval_details(
     )
     doc = doc.select(sync_time.alias("sync_time"), "ID", "INGEST_TS", "rec")
     needed = _with(only, "app_approval_status")
-    rows = project(doc, DETAIL_FIELDS, "rec", ["sync_time", "ID", "INGEST_TS", _tie()], needed)
+    rows = project(doc, DETAIL_FIELDS, "rec", ["sync_time", "ID", "INGEST_TS", _TIE], needed)
     order = [
         F.col("sync_time").desc(),
         is_pending(F.col("app_approval_status")).asc(),
@@ -89,13 +87,13 @@ def stg_approval_details(
 
 def stg_timekeep(raw: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
     """Latest record per person and requested day."""
-    keep = ["SYNC_TIME", F.col("SYNC_DATE").alias("attendance_date")]
+    keep = ["SYNC_TIME", "SYNC_DATE AS attendance_date"]
     records = unnest_envelope(raw, "RAW_DATA", keep)
     rows = project(
         records,
         TIMEKEEP_FIELDS,
         "rec",
-        ["attendance_date", "SYNC_TIME", _tie()],
+        ["attendance_date", "SYNC_TIME", _TIE],
         _with(only, "personnel_code"),
     )
     latest = first_by(

@@ -9,12 +9,13 @@ and the landed tables grow with the base tables.
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import expr
 
 from rollcall.settings import APPROVED, PENDING, REFUSED, Settings
-from rollcall.sources.raw import HR_MASTER_COLUMNS, Sources
+from rollcall.sources.raw import HR_MASTER_COLUMNS
 
 AS_OF = dt.date(2024, 1, 30)
 SETTINGS = Settings(as_of=AS_OF)
@@ -45,409 +46,414 @@ REQUEST_TYPES = [
     None,
     "Photocopy",
 ]
-KINDS = ["overtime", "inout", "leave", "absence"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: list, at: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), at.cast("int"))
+def _pick(values: list, at: str) -> str:
+    """SQL that picks a fixed value by position."""
+    items = ", ".join("NULL" if v is None else "'" + v.replace("'", "\\'") + "'" for v in values)
+    return f"get(array({items}), CAST({at} AS INT))"
 
 
-def _day(offset: Column, start: str) -> Column:
-    return F.date_add(F.lit(dt.date.fromisoformat(start)), offset.cast("int"))
+def _day(offset: str, start: str = "2024-01-01") -> str:
+    return f"date_add(DATE '{start}', CAST({offset} AS INT))"
 
 
-def _dmy(day: Column) -> Column:
-    return F.date_format(day, "dd/MM/yyyy")
+def _dmy(day: str) -> str:
+    return f"date_format({day}, 'dd/MM/yyyy')"
 
 
-def _two(n: Column) -> Column:
-    return F.lpad(n.cast("string"), 2, "0")
+def _two(n: str) -> str:
+    return f"lpad(CAST({n} AS STRING), 2, '0')"
 
 
-def _with_keys(json: Column, *fragments: Column) -> Column:
-    """Add ready JSON members to an object that has at least one; NULL adds none."""
-    parts = F.concat_ws(",", F.substr(json, F.lit(1), F.length(json) - 1), *fragments)
-    return F.concat(parts, F.lit("}"))
+def _object(fields: dict[str, str]) -> str:
+    """SQL for a JSON object; NULL members are left out."""
+    members = ", ".join(f"'{key}', {value}" for key, value in fields.items())
+    return f"to_json(named_struct({members}))"
 
 
-def _envelope(*records: Column) -> Column:
-    return F.concat(F.lit('{"data":['), F.concat_ws(",", *records), F.lit('],"error":false}'))
+def _with_members(json: str, members: list[str]) -> str:
+    """Add ready JSON members to a non-empty object; NULL adds none."""
+    return f"concat(concat_ws(',', left({json}, length({json}) - 1), {', '.join(members)}), '}}')"
+
+
+def _envelope(record: str) -> str:
+    return f"concat('{{\"data\":[', {record}, '],\"error\":false}}')"
+
+
+def _loads(versions: list[str]) -> str:
+    """SQL that yields a row per version; a NULL version yields none."""
+    return f"inline(array_compact(array({', '.join(versions)})))"
+
+
+def _version(stamp: str, record: str, when: str | None = None) -> str:
+    row = f"named_struct('SYNC_TIME', TIMESTAMP '{stamp}', 'RAW_DATA', {_envelope(record)})"
+    return f"CASE WHEN {when} THEN {row} END" if when else row
 
 
 def profiles_raw(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    joined = _day(k * 37 % 1800, "2019-01-01")
-    record = F.to_json(
-        F.struct(
-            k.alias("ID"),
-            F.when(k % 101 == 7, F.lit(None))
-            .when(k % 211 == 5, F.concat(F.lit("NV"), k - 1))
-            .otherwise(F.concat(F.lit("NV"), k))
-            .alias("code"),
-            F.col("c_name").alias("name"),
-            _pick(DEPARTMENTS, k % 12).alias("department_full"),
-            F.col("c_mktsegment").alias("department_id"),
-            (k % 12).cast("string").alias("department_num_id"),
-            _pick(["Nam", "Nữ", ""], k % 3).alias("gender"),
-            F.when(k % 9 == 0, " ").otherwise(F.col("c_mktsegment")).alias("position_title"),
-            F.when(k % 14 != 0, F.concat(F.lit("Bậc "), k % 4)).alias("job_title_name"),
-            F.when(k % 10 == 0, "Đã nghỉ việc")
-            .when(k % 10 == 1, "Thử việc")
-            .when(k % 10 == 2, "Thực tập")
-            .when(k % 50 == 49, "")
-            .otherwise("Đang làm việc")
-            .alias("job_status"),
-            F.when(k % 8 != 0, F.concat(F.lit("Khu "), F.col("c_nationkey"))).alias("work_place"),
-            F.when(k % 40 == 3, "")
-            .when(k % 41 == 5, "31/02/1990")
-            .otherwise(_dmy(_day(k * 37 % 18000, "1960-01-01")))
-            .alias("birthday"),
-            F.when(k % 23 != 0, _dmy(joined)).alias("job_date_join"),
-            F.when(k % 10 == 0, _dmy(F.date_add(joined, (k % 700 - 30).cast("int"))))
-            .otherwise("")
-            .alias("job_date_out"),
-            F.col("c_acctbal").alias("salary_real"),
-            F.when(k % 7 != 0, (k % 7 * 100).cast("string")).alias("salary_total"),
-            _pick(["Độc thân", "Đã kết hôn", "", None], k % 4).alias("marital_status"),
-            F.concat(F.lit("nv"), k, F.lit("@example.com")).alias("email"),
-            F.when(k % 6 != 0, F.concat(F.lit("Quản lý "), k % 20))
-            .otherwise("")
-            .alias("live_manager_id"),
-            F.concat(F.lit("NV"), F.floor(k / 10)).alias("live_manager_code"),
-        )
+    """An employee per customer; some also have an older load."""
+    joined = _day("k * 37 % 1800", "2019-01-01")
+    record = _object(
+        {
+            "ID": "k",
+            "code": "CASE WHEN k % 101 = 7 THEN NULL WHEN k % 211 = 5 THEN concat('NV', k - 1) "
+            "ELSE concat('NV', k) END",
+            "name": "c_name",
+            "department_full": _pick(DEPARTMENTS, "k % 12"),
+            "department_id": "c_mktsegment",
+            "department_num_id": "CAST(k % 12 AS STRING)",
+            "gender": _pick(["Nam", "Nữ", ""], "k % 3"),
+            "position_title": "CASE WHEN k % 9 = 0 THEN ' ' ELSE c_mktsegment END",
+            "job_title_name": "CASE WHEN k % 14 != 0 THEN concat('Bậc ', k % 4) END",
+            "job_status": "CASE WHEN k % 10 = 0 THEN 'Đã nghỉ việc' WHEN k % 10 = 1 THEN 'Thử việc' "
+            "WHEN k % 10 = 2 THEN 'Thực tập' WHEN k % 50 = 49 THEN '' ELSE 'Đang làm việc' END",
+            "work_place": "CASE WHEN k % 8 != 0 THEN concat('Khu ', c_nationkey) END",
+            "birthday": "CASE WHEN k % 40 = 3 THEN '' WHEN k % 41 = 5 THEN '31/02/1990' "
+            f"ELSE {_dmy(_day('k * 37 % 18000', '1960-01-01'))} END",
+            "job_date_join": f"CASE WHEN k % 23 != 0 THEN {_dmy(joined)} END",
+            "job_date_out": "CASE WHEN k % 10 = 0 THEN "
+            + _dmy(f"date_add({joined}, CAST(k % 700 - 30 AS INT))")
+            + " ELSE '' END",
+            "salary_real": "c_acctbal",
+            "salary_total": "CASE WHEN k % 7 != 0 THEN CAST(k % 7 * 100 AS STRING) END",
+            "marital_status": _pick(["Độc thân", "Đã kết hôn", "", None], "k % 4"),
+            "email": "concat('nv', k, '@example.com')",
+            "live_manager_id": "CASE WHEN k % 6 != 0 THEN concat('Quản lý ', k % 20) ELSE '' END",
+            "live_manager_code": "concat('NV', k div 10)",
+        }
     )
-    insurance = _pick(
-        [
-            None,
-            '"json_insurance":[]',
-            '"json_insurance":[{"code":"BH"}]',
-            '"json_insurance":null',
-        ],
-        k % 4,
-    )
-    degrees = _pick(
-        [
-            None,
-            '"json_degrees":[]',
-            '"json_degrees":[{"level_name":"Đại học","specialization":"Kế toán"}]',
-            '"json_degrees":[{"level_name":"Cao đẳng"},{"level_name":"Khác"}]',
-            '"json_degrees":{"level_name":"Khác"}',
-        ],
-        k % 5,
+    members = [
+        _pick(
+            [
+                None,
+                '"json_insurance":[]',
+                '"json_insurance":[{"code":"BH"}]',
+                '"json_insurance":null',
+            ],
+            "k % 4",
+        ),
+        _pick(
+            [
+                None,
+                '"json_degrees":[]',
+                '"json_degrees":[{"level_name":"Đại học","specialization":"Kế toán"}]',
+                '"json_degrees":[{"level_name":"Cao đẳng"},{"level_name":"Khác"}]',
+                '"json_degrees":{"level_name":"Khác"}',
+            ],
+            "k % 5",
+        ),
+        # A string and an array that look alike as text.
+        _pick(['"jobs":"[1]"', '"jobs":[1]', None], "k % 3"),
+    ]
+    rows = customer.selectExpr("*", "c_custkey AS k").selectExpr("k", f"{record} AS record")
+    return rows.selectExpr(
+        _loads(
+            [
+                _version("2024-01-29 00:00:00", _with_members("record", members)),
+                _version(
+                    "2024-01-28 00:00:00", _object({"ID": "k", "name": "'Tên cũ'"}), "k % 13 = 0"
+                ),
+            ]
+        )
     )
-    # A string and an array that look alike as text.
-    jobs = _pick(['"jobs":"[1]"', '"jobs":[1]', None], k % 3)
-    old = F.to_json(F.struct(k.alias("ID"), F.lit("Tên cũ").alias("name")))
-    now = F.lit(dt.datetime(2024, 1, 29, tzinfo=dt.timezone.utc))
-    return customer.select(
-        now.alias("SYNC_TIME"),
-        _envelope(_with_keys(record, insurance, degrees, jobs)).alias("RAW_DATA"),
-        k.alias("_k"),
-        old.alias("_old"),
-    ).select(
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.struct("SYNC_TIME", "RAW_DATA"),
-                    F.when(
-                        F.col("_k") % 13 == 0,
-                        F.struct(
-                            (F.col("SYNC_TIME") - F.expr("INTERVAL 1 DAY")).alias("SYNC_TIME"),
-                            _envelope(F.col("_old")).alias("RAW_DATA"),
-                        ),
-                    ),
-                )
-            )
-        ).alias("r")
-    ).select("r.*")
 
 
 def request_columns(orders: DataFrame) -> DataFrame:
     """What a request and its document have in common, one row per order."""
-    o = F.col("o_orderkey")
     status = (
-        F.when(F.col("o_orderstatus") == "O", PENDING)
-        .when(F.col("o_orderstatus") == "F", APPROVED)
-        .otherwise(REFUSED)
+        f"CASE o_orderstatus WHEN 'O' THEN '{PENDING}' WHEN 'F' THEN '{APPROVED}' "
+        f"ELSE '{REFUSED}' END"
     )
-    created = _day(o % 30, "2024-01-01")
-    return orders.select(
-        o.alias("o"),
-        F.when(o % 53 == 0, "")
-        .when(o % 37 == 0, F.concat(F.lit("NX"), F.col("o_custkey") % 50))
-        .otherwise(F.concat(F.lit("NV"), F.col("o_custkey")))
-        .alias("person"),
-        F.concat(F.lit("Người "), F.col("o_custkey") % 50).alias("person_name"),
-        F.when(o % 29 != 0, status).alias("status"),
-        status.alias("any_status"),
-        created.alias("created"),
+    return orders.selectExpr(
+        "o_orderkey AS o",
+        "CASE WHEN o_orderkey % 53 = 0 THEN '' "
+        "WHEN o_orderkey % 37 = 0 THEN concat('NX', o_custkey % 50) "
+        "ELSE concat('NV', o_custkey) END AS person",
+        "concat('Người ', o_custkey % 50) AS person_name",
+        f"CASE WHEN o_orderkey % 29 != 0 THEN {status} END AS status",
+        f"{status} AS any_status",
+        f"{_day('o_orderkey % 30')} AS created",
     )
 
 
 def approvals_raw(orders: DataFrame) -> DataFrame:
     """A snapshot per request; some also have a stale pending one, newer by load time."""
-    o = F.col("o")
-    approved = F.col("any_status") == APPROVED
-    when = lambda flag, value: F.when(flag, value)
-
-    def record(status: Column, description: Column) -> Column:
-        return F.to_json(
-            F.struct(
-                o.alias("ID"),
-                F.col("person").alias("personnel_code"),
-                F.col("person_name").alias("personnel_name"),
-                status.alias("app_approval_status"),
-                _pick(REQUEST_TYPES, o % 9).alias("app_sub_object"),
-                F.concat(F.lit("QL "), o % 20).alias("app_approval_current_id"),
-                F.when(o % 31 == 0, F.concat(_dmy(F.col("created")), F.lit(" 11:19")))
-                .otherwise(_dmy(F.col("created")))
-                .alias("date_created"),
-                F.when(o % 19 == 0, "")
-                .otherwise(F.concat(_two(o * 7 % 24), F.lit(":"), _two(o * 13 % 60)))
-                .alias("time_created"),
-                when(approved, _dmy(F.date_add("created", (o % 4).cast("int")))).alias(
-                    "date_approve"
-                ),
-                when(approved, F.concat(_two(o * 5 % 24), F.lit(":30"))).alias("time_approve"),
-                when(o % 3 != 0, _dmy(F.date_add("created", (o % 5).cast("int")))).alias(
-                    "date_start"
-                ),
-                F.concat(F.lit("D"), o % 7).alias("department_id"),
-                description.alias("desc"),
-                when(o % 2 == 0, F.lit("[Gấp] việc riêng")).alias("reason"),
-                (o % 3).alias("num_file"),
-            )
+    approved = f"any_status = '{APPROVED}'"
+
+    def record(status: str, description: str) -> str:
+        return _object(
+            {
+                "ID": "o",
+                "personnel_code": "person",
+                "personnel_name": "person_name",
+                "app_approval_status": status,
+                "app_sub_object": _pick(REQUEST_TYPES, "o % 9"),
+                "app_approval_current_id": "concat('QL ', o % 20)",
+                "date_created": f"concat({_dmy('created')}, "
+                "CASE WHEN o % 31 = 0 THEN ' 11:19' ELSE '' END)",
+                "time_created": "CASE WHEN o % 19 = 0 THEN '' "
+                f"ELSE concat({_two('o * 7 % 24')}, ':', {_two('o * 13 % 60')}) END",
+                "date_approve": f"CASE WHEN {approved} THEN "
+                + _dmy("date_add(created, CAST(o % 4 AS INT))")
+                + " END",
+                "time_approve": f"CASE WHEN {approved} THEN concat({_two('o * 5 % 24')}, ':30') END",
+                "date_start": "CASE WHEN o % 3 != 0 THEN "
+                + _dmy("date_add(created, CAST(o % 5 AS INT))")
+                + " END",
+                "department_id": "concat('D', o % 7)",
+                "desc": description,
+                "reason": "CASE WHEN o % 2 = 0 THEN '[Gấp] việc riêng' END",
+                "num_file": "o % 3",
+            }
         )
 
-    text = F.when(o % 4 == 1, F.lit(None)).otherwise(F.concat(F.lit("Lý do "), o % 11))
-    stamp = lambda day: F.lit(dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc))
-    current = F.struct(
-        stamp(29).alias("SYNC_TIME"), _envelope(record(F.col("status"), text)).alias("RAW_DATA")
-    )
-    stale = F.struct(
-        stamp(30).alias("SYNC_TIME"),
-        _envelope(record(F.lit(PENDING), F.lit("Bản cũ"))).alias("RAW_DATA"),
-    )
-    earlier = F.struct(
-        stamp(28).alias("SYNC_TIME"),
-        _envelope(record(F.col("status"), F.lit("Bản trước"))).alias("RAW_DATA"),
-    )
-    snapshots = F.array_compact(
-        F.array(current, F.when(o % 4 == 0, stale), F.when(o % 8 == 3, earlier))
+    text = "CASE WHEN o % 4 != 1 THEN concat('Lý do ', o % 11) END"
+    return request_columns(orders).selectExpr(
+        _loads(
+            [
+                _version("2024-01-29 00:00:00", record("status", text)),
+                _version("2024-01-30 00:00:00", record(f"'{PENDING}'", "'Bản cũ'"), "o % 4 = 0"),
+                _version("2024-01-28 00:00:00", record("status", "'Bản trước'"), "o % 8 = 3"),
+            ]
+        )
     )
-    return request_columns(orders).select(F.explode(snapshots).alias("r")).select("r.*")
 
 
 def details_raw(orders: DataFrame) -> DataFrame:
     """A document per request: its kind, elements and inner rows follow from the key."""
-    o = F.col("o")
-    kind = o % 5
-    outers = F.sequence(F.lit(0).cast("long"), F.floor(o / 5) % 2)
-    inner_count = F.floor(o / 10) % 4
-    inners = F.when(
-        inner_count > 0, F.sequence(F.lit(0).cast("long"), inner_count - 1)
-    ).otherwise(F.array().cast("array<bigint>"))
-
-    def day(i: Column, j: Column) -> Column:
-        return F.date_format(_day((o + i + j) % 30, "2024-01-01"), "yyyy-MM-dd")
-
-    def clock(hour: Column) -> Column:
-        return F.concat(_two(hour % 24), F.lit(":"), _two(o % 60), F.lit(":00"))
-
-    def overtime(i: Column) -> Column:
-        inner = lambda j: F.struct(
-            F.col("person").alias("personnel_code"),
-            day(i, j).alias("date"),
-            clock(i + 17).alias("start_time"),
-            clock(i + 19).alias("end_time"),
-            (j + 1).cast("string").alias("hours"),
-        )
-        return F.struct(
-            (i + 1).cast("string").alias("ID"),
-            F.concat(F.lit("Tăng ca "), i).alias("desc"),
-            _pick(["0", "1", "2", "", "9"], o % 7).alias("types"),
-            F.transform(inners, inner).alias("detail"),
-        )
-
-    def inout(i: Column) -> Column:
-        inner = lambda j: F.struct(
-            day(i, j).alias("date"),
-            clock(i + 8).alias("time"),
-            F.when(j == 1, "Quên").alias("reason_name"),
-        )
-        return F.struct(
-            F.when(o % 10 == 1, F.col("person")).alias("personnel_code"),
-            F.lit("Công tác ngoài").alias("reason_name"),
-            F.lit("Bổ sung công").alias("description_text"),
-            F.transform(inners, inner).alias("inoutinfo"),
-        )
-
-    def leave(i: Column) -> Column:
-        inner = lambda j: F.struct(
-            day(i, j).alias("date_start"),
-            clock(i + 8).alias("time_start"),
-            clock(i + 12).alias("time_end"),
-            F.when(j % 2 == 0, F.lit("0.5")).when(o % 4 != 2, F.lit("1")).alias("day_number"),
-        )
-        return F.struct(
-            F.col("person").alias("personnel_code"),
-            F.when(i == 0, "Phép năm").otherwise(" ").alias("reason"),
-            F.transform(inners, inner).alias("detail"),
+    day = f"date_format({_day('(o + i + j) % 30')}, 'yyyy-MM-dd')"
+
+    def clock(after: int, seconds: str = ":00") -> str:
+        return f"concat({_two(f'(i + {after}) % 24')}, ':', {_two('o % 60')}, '{seconds}')"
+
+    def element(fields: dict[str, str], inner_key: str, inner: dict[str, str]) -> str:
+        """An array of outer elements, each with its array of inner rows."""
+        row = ", ".join(f"'{k}', {v}" for k, v in inner.items())
+        own = "".join(f"'{k}', {v}, " for k, v in fields.items())
+        rows = f"transform(inners, j -> named_struct({row}))"
+        return f"to_json(transform(outers, i -> named_struct({own}'{inner_key}', {rows})))"
+
+    overtime = element(
+        {
+            "ID": "CAST(i + 1 AS STRING)",
+            "desc": "concat('Tăng ca ', i)",
+            "types": _pick(["0", "1", "2", "", "9"], "o % 7"),
+        },
+        "detail",
+        {
+            "personnel_code": "person",
+            "date": day,
+            "start_time": clock(17),
+            "end_time": clock(19),
+            "hours": "CAST(j + 1 AS STRING)",
+        },
+    )
+    inout = element(
+        {
+            "personnel_code": "CASE WHEN o % 10 = 1 THEN person END",
+            "reason_name": "'Công tác ngoài'",
+            "description_text": "'Bổ sung công'",
+        },
+        "inoutinfo",
+        {"date": day, "time": clock(8), "reason_name": "CASE WHEN j = 1 THEN 'Quên' END"},
+    )
+    leave = element(
+        {
+            "personnel_code": "person",
+            "reason": "CASE WHEN i = 0 THEN 'Phép năm' ELSE ' ' END",
+        },
+        "detail",
+        {
+            "date_start": day,
+            "time_start": clock(8),
+            "time_end": clock(12),
+            "day_number": "CASE WHEN j % 2 = 0 THEN '0.5' WHEN o % 4 != 2 THEN '1' END",
+        },
+    )
+    absence = element(
+        {"desc": "'Việc riêng'"},
+        "detail",
+        {
+            "date_start": day,
+            "time_start": clock(13, ""),
+            "time_end": clock(15, ""),
+            "hour_number": "j + 2",
+        },
+    )
+    members = []
+    for at, (name, items) in enumerate(
+        {"overtime": overtime, "inout": inout, "leave": leave, "absence": absence}.items()
+    ):
+        # Requests of no kind: some with JSON null where an array would be.
+        null = "WHEN o % 5 = 4 AND o % 3 = 2 THEN '\"overtime\":null' " if at == 0 else ""
+        members.append(
+            f"CASE WHEN o % 5 = {at} THEN concat('\"{name}\":', {items}) {null}"
+            f"WHEN o % 2 = 1 THEN '\"{name}\":[]' END"
         )
 
-    def absence(i: Column) -> Column:
-        inner = lambda j: F.struct(
-            day(i, j).alias("date_start"),
-            F.substr(clock(i + 13), F.lit(1), F.lit(5)).alias("time_start"),
-            F.substr(clock(i + 15), F.lit(1), F.lit(5)).alias("time_end"),
-            (j + 2).alias("hour_number"),
-        )
-        return F.struct(F.lit("Việc riêng").alias("desc"), F.transform(inners, inner).alias("detail"))
-
-    arrays = [
-        F.when(
-            kind == at,
-            F.concat(F.lit(f'"{name}":'), F.to_json(F.transform(outers, make))),
-        ).otherwise(_pick([None, f'"{name}":[]'], o % 2))
-        for at, (name, make) in enumerate(zip(KINDS, [overtime, inout, leave, absence]))
-    ]
-    # Requests of no kind, some with JSON null where an array would be.
-    nulls = F.when((kind == 4) & (o % 3 == 2), F.lit('"overtime":null'))
-    arrays[0] = F.when(nulls.isNotNull(), nulls).otherwise(arrays[0])
-
-    def document(status: Column) -> Column:
-        base = F.to_json(
-            F.struct(
-                o.alias("ID"),
-                F.col("person").alias("personnel_code"),
-                status.alias("app_approval_status"),
-                _dmy(F.col("created")).alias("date_created"),
-                F.when(F.col("any_status") != PENDING, _dmy(F.date_add("created", 2))).alias(
-                    "date_approve"
-                ),
-            )
+    def document(status: str) -> str:
+        base = _object(
+            {
+                "ID": "o",
+                "personnel_code": "person",
+                "app_approval_status": status,
+                "date_created": _dmy("created"),
+                "date_approve": f"CASE WHEN any_status != '{PENDING}' THEN "
+                f"{_dmy('date_add(created, 2)')} END",
+            }
         )
-        return F.concat(F.lit('{"data":'), _with_keys(base, *arrays), F.lit("}"))
-
-    own = F.when(o % 6 == 0, F.lit(APPROVED)).when(o % 6 != 1, F.col("status"))
-    stamp = lambda day: F.lit(dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc))
-    version = lambda text, day: F.struct(text.alias("RAW_DATA"), stamp(day).alias("INGEST_TS"))
-    error = F.lit('{"error":true,"message":"Post not found"}')
-    versions = F.array_compact(
-        F.array(
-            F.when(o % 17 == 0, version(error, 29)).otherwise(version(document(own), 29)),
-            F.when(o % 11 == 0, version(document(F.lit(PENDING)), 30)),
-        )
-    )
-    return (
-        request_columns(orders)
-        .select(o.alias("APPROVAL_ID"), F.explode(versions).alias("v"))
-        .select("APPROVAL_ID", "v.*")
+        return f"""concat('{{"data":', {_with_members(base, ["arrays"])}, '}}')"""
+
+    def version(text: str, ingested: str, when: str | None = None) -> str:
+        row = f"named_struct('RAW_DATA', {text}, 'INGEST_TS', TIMESTAMP '{ingested}')"
+        return f"CASE WHEN {when} THEN {row} END" if when else row
+
+    own = f"CASE WHEN o % 6 = 0 THEN '{APPROVED}' WHEN o % 6 != 1 THEN status END"
+    error = '\'{"error":true,"message":"Post not found"}\''
+    first = f"CASE WHEN o % 17 = 0 THEN {error} ELSE {document(own)} END"
+    pending = document(f"'{PENDING}'")
+    shaped = request_columns(orders).selectExpr(
+        "*",
+        "sequence(0L, o div 5 % 2) AS outers",
+        "CASE WHEN o div 10 % 4 > 0 THEN sequence(0L, o div 10 % 4 - 1) "
+        "ELSE CAST(array() AS ARRAY<BIGINT>) END AS inners",
+    ).selectExpr("*", f"nullif(concat_ws(',', {', '.join(members)}), '') AS arrays")
+    return shaped.selectExpr(
+        "o AS APPROVAL_ID",
+        _loads(
+            [
+                version(first, "2024-01-29 00:00:00"),
+                version(pending, "2024-01-30 00:00:00", "o % 11 = 0"),
+            ]
+        ),
     )
 
 
 def timekeep_raw(events: DataFrame) -> DataFrame:
     """An attendance record per user and day, some with an earlier load of the day."""
-    u = F.col("user_id")
-    days = events.groupBy(u.alias("u"), F.to_date("ts").alias("d")).agg(
-        F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("first_ts"),
-        F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("last_ts"),
-        F.count("*").alias("n"),
-        F.count_if(F.col("event_type") == "error").alias("errors"),
+    days = events.selectExpr("user_id AS u", "to_date(ts) AS d", "ts", "event_type").groupBy("u", "d")
+    clock = "date_format({0}(ts), 'yyyy-MM-dd HH:mm:ss')"
+    days = days.agg(
+        *map(
+            expr,
+            [
+                f"{clock.format('min')} AS first_ts",
+                f"{clock.format('max')} AS last_ts",
+                "count(*) AS n",
+                "count_if(event_type = 'error') AS errors",
+            ],
+        )
     )
-    u, d, n = F.col("u"), F.col("d"), F.col("n")
-    person = F.when(u % 60 == 59, F.concat(F.lit("TK"), u)).otherwise(F.concat(F.lit("NV"), u))
-    # One user's record on the 10th is dated the day before, as late corrections are.
-    own_day = F.when((u % 50 == 7) & (F.dayofmonth(d) == 10), F.date_sub(d, 1)).otherwise(d)
-
-    def record(late: Column) -> Column:
-        return F.to_json(
-            F.struct(
-                (u * 100 + F.dayofmonth(d)).cast("string").alias("ID"),
-                person.alias("personnel_code"),
-                own_day.cast("string").alias("date"),
-                F.lit("Đang làm việc").alias("job_status"),
-                F.when(n % 3 != 0, F.col("first_ts")).alias("checkin"),
-                F.when(n % 3 != 0, F.col("last_ts")).alias("checkout"),
-                F.when(n % 6 == 3, "Có").otherwise("Không").alias("is_check_log"),
-                late.cast("string").alias("late_minute"),
-                F.when(n == 5, "x").otherwise((n * 2).cast("string")).alias("soon_minute"),
-                (n * 0.5).cast("double").alias("cal_workhour"),
-                F.lit("1").alias("cal_workday"),
-                n.cast("string").alias("total_cal_workhour"),
-                F.when(F.dayofmonth(d) == 1, "1").otherwise("0").alias("is_holiday"),
-                F.lit("0").alias("day_off"),
-                F.lit("HC").alias("shift_code"),
-                F.lit("08:00").alias("time_start"),
-                F.lit("17:30").alias("time_end"),
-            )
+
+    def record(late: str) -> str:
+        return _object(
+            {
+                "ID": "CAST(u * 100 + dayofmonth(d) AS STRING)",
+                "personnel_code": "concat(CASE WHEN u % 60 = 59 THEN 'TK' ELSE 'NV' END, u)",
+                # Some records of the 10th are dated the day before, as late corrections are.
+                "date": "CAST(date_sub(d, CASE WHEN u % 50 = 7 AND dayofmonth(d) = 10 "
+                "THEN 1 ELSE 0 END) AS STRING)",
+                "job_status": "'Đang làm việc'",
+                "checkin": "CASE WHEN n % 3 != 0 THEN first_ts END",
+                "checkout": "CASE WHEN n % 3 != 0 THEN last_ts END",
+                "is_check_log": "CASE WHEN n % 6 = 3 THEN 'Có' ELSE 'Không' END",
+                "late_minute": f"CAST({late} AS STRING)",
+                "soon_minute": "CASE WHEN n = 5 THEN 'x' ELSE CAST(n * 2 AS STRING) END",
+                "cal_workhour": "CAST(n AS DOUBLE) * 0.5D",
+                "cal_workday": "'1'",
+                "total_cal_workhour": "CAST(n AS STRING)",
+                "is_holiday": "CASE WHEN dayofmonth(d) = 1 THEN '1' ELSE '0' END",
+                "day_off": "'0'",
+                "shift_code": "'HC'",
+                "time_start": "'08:00'",
+                "time_end": "'17:30'",
+            }
         )
 
-    stamp = lambda day: F.lit(dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc))
-    load = lambda late, day: F.struct(
-        stamp(day).alias("SYNC_TIME"),
-        d.cast("string").alias("SYNC_DATE"),
-        _envelope(record(late)).alias("RAW_DATA"),
-    )
-    loads = F.array_compact(
-        F.array(load(F.col("errors"), 30), F.when(u % 5 == 0, load(F.lit(99), 29)))
-    )
-    return days.select(F.explode(loads).alias("r")).select("r.*")
+    return days.selectExpr(
+        "CAST(d AS STRING) AS SYNC_DATE",
+        _loads(
+            [
+                _version("2024-01-30 00:00:00", record("errors")),
+                _version("2024-01-29 00:00:00", record("99"), "u % 5 = 0"),
+            ]
+        ),
+    ).select("SYNC_TIME", "SYNC_DATE", "RAW_DATA")
 
 
 def hr_sheet(customer: DataFrame) -> DataFrame:
     """Contract rows per employee, two for some and undated for others."""
-    k = F.col("c_custkey")
-    base = customer.select(
-        k, "c_name", "c_mktsegment", F.explode(F.sequence(F.lit(0), (k % 2).cast("int"))).alias("i")
+    rows = customer.selectExpr(
+        "c_custkey AS k", "c_name", "c_mktsegment", "explode(sequence(0, CAST(c_custkey % 2 AS INT))) AS i"
     )
     values = {
-        "MA_NV": F.concat(F.lit("NV"), k),
-        "TEN_NHAN_VIEN": F.col("c_name"),
-        "PHONG_BAN": F.col("c_mktsegment"),
-        "HINH_THUC": F.concat(F.lit("HĐ "), F.col("i")),
-        "NGAY_VAO_NGAY_KY_H_TV": F.when(
-            (k % 3 != 0) | (F.col("i") == 0),
-            F.date_add(F.lit(dt.date(2019, 1, 1)), (k % 500 + F.col("i") * 30).cast("int")),
-        ).cast("string"),
+        "MA_NV": "concat('NV', k)",
+        "TEN_NHAN_VIEN": "c_name",
+        "PHONG_BAN": "c_mktsegment",
+        "HINH_THUC": "concat('HĐ ', i)",
+        "NGAY_VAO_NGAY_KY_H_TV": "CASE WHEN k % 3 != 0 OR i = 0 THEN CAST("
+        + _day("k % 500 + i * 30", "2019-01-01")
+        + " AS STRING) END",
     }
-    text = F.lit(None).cast("string")
-    return base.select(*[values.get(h, text).alias(h) for h in HR_MASTER_COLUMNS])
+    return rows.selectExpr(
+        *[f"{values.get(h, 'CAST(NULL AS STRING)')} AS {h}" for h in HR_MASTER_COLUMNS]
+    )
 
 
 def tracking_sheet(customer: DataFrame) -> DataFrame:
     """Processing states typed in for some cases, with blanks and repeated cases."""
-    k = F.col("c_custkey")
-    day = F.date_add(F.lit(dt.date(2024, 1, 1)), (k % 30).cast("int"))
-    case = F.concat(F.lit("NV"), k, F.lit("_"), F.date_format(day, "yyyyMMdd"))
-    rows = customer.filter(k % 2 == 0).select(
-        k, day.alias("day"), case.alias("case"),
-        F.explode(F.sequence(F.lit(0), F.when(k % 6 == 0, 1).otherwise(0))).alias("i"),
-    )
-    i = F.col("i")
-    return rows.select(
-        F.when(k % 14 == 0, " ").otherwise(F.col("case")).alias("MA_CASE"),
-        F.concat(F.lit("NV"), k).alias("MA_NV"),
-        F.when(k % 16 == 0, F.lit("2024")).otherwise(F.col("day").cast("string")).alias("NGAY"),
-        F.concat(F.lit("Loại "), i).alias("LOAI_NGOAI_LE"),
-        F.when(k % 4 == 0, " ").otherwise("Đã xử lý").alias("TRANG_THAI_XU_LY"),
-        F.concat(F.lit("HR "), k % 5).alias("NGUOI_XU_LY"),
-        F.when(i == 0, "ghi chú").alias("GHI_CHU"),
+    rows = customer.filter("c_custkey % 2 = 0").selectExpr(
+        "c_custkey AS k",
+        f"{_day('c_custkey % 30')} AS day",
+        "explode(sequence(0, CASE WHEN c_custkey % 6 = 0 THEN 1 ELSE 0 END)) AS i",
+    )
+    return rows.selectExpr(
+        "CASE WHEN k % 14 = 0 THEN ' ' ELSE concat('NV', k, '_', date_format(day, 'yyyyMMdd')) END "
+        "AS MA_CASE",
+        "concat('NV', k) AS MA_NV",
+        "CASE WHEN k % 16 = 0 THEN '2024' ELSE CAST(day AS STRING) END AS NGAY",
+        "concat('Loại ', i) AS LOAI_NGOAI_LE",
+        "CASE WHEN k % 4 = 0 THEN ' ' ELSE 'Đã xử lý' END AS TRANG_THAI_XU_LY",
+        "concat('HR ', k % 5) AS NGUOI_XU_LY",
+        "CASE WHEN i = 0 THEN 'ghi chú' END AS GHI_CHU",
     )
 
 
-def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    customer = table(spark, sf_dir, "customer")
-    orders = table(spark, sf_dir, "orders")
-    return Sources(
-        profiles=profiles_raw(customer),
-        approvals=approvals_raw(orders),
-        details=details_raw(orders),
-        timekeep=timekeep_raw(table(spark, sf_dir, "events")),
-        hr_master=hr_sheet(customer),
-        tracking=tracking_sheet(customer),
-    )
+class StarSources:
+    """The landed tables of a table folder, each derived when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._table = lambda name: table(spark, sf_dir, name)
+
+    @cached_property
+    def profiles(self) -> DataFrame:
+        return profiles_raw(self._table("customer"))
+
+    @cached_property
+    def approvals(self) -> DataFrame:
+        return approvals_raw(self._table("orders"))
+
+    @cached_property
+    def details(self) -> DataFrame:
+        return details_raw(self._table("orders"))
+
+    @cached_property
+    def timekeep(self) -> DataFrame:
+        return timekeep_raw(self._table("events"))
+
+    @cached_property
+    def hr_master(self) -> DataFrame:
+        return hr_sheet(self._table("customer"))
+
+    @cached_property
+    def tracking(self) -> DataFrame:
+        return tracking_sheet(self._table("customer"))
+
+
+def sources(spark: SparkSession, sf_dir: str) -> StarSources:
+    return StarSources(spark, sf_dir)

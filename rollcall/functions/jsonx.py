@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,21 @@ def record_struct(record: Column, scalars: Iterable[str], documents: Iterable[st
     return F.from_json(record, T.StructType(fields))
 
 
+def parse_once(df: DataFrame, parsed: Column, out: str) -> DataFrame:
+    """Add a parsed record that later filters read but do not parse again.
+
+    A filter on a plain column would move below it and carry a second copy of
+    the parsing along; it stays above a generator.
+    """
+    return df.select("*", F.explode(F.array(parsed)).alias(out))
+
+
+def present_or_null(items: Column) -> Column:
+    """Elements to explode so that NULL drops the parent and ``[]`` keeps it once."""
+    empty = F.array(F.lit(None).cast("string"))
+    return F.when(F.size(items) == 0, empty).otherwise(items)
+
+
 def scalar_sql(parsed: str, key: str, record: str) -> str:
     """SQL for the text of a scalar field; NULL for missing, JSON null, object and array.
 

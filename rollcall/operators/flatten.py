@@ -19,11 +19,6 @@ def unnest_envelope(df: DataFrame, raw: str, keep: Sequence[str], out: str = "re
     return df.selectExpr(*keep, f"explode(from_json({raw}, 'data array<string>').data) AS {out}")
 
 
-def unnest_outer(df: DataFrame, items: Column, out: str) -> DataFrame:
-    """One row per element, keeping a parent without elements."""
-    return df.select("*", F.explode_outer(items).alias(out))
-
-
 def two_level(
     df: DataFrame,
     kinds: dict[str, str],
@@ -57,19 +52,22 @@ def two_level(
     outer = outer.withColumn(
         "outer_j", jsonx.record_struct(F.col("outer_rec"), outer_scalars, inner_keys)
     )
-    outer = outer.withColumn("_inner", inner_array(inner_keys))
-    outer = outer.filter(parent | F.col("_inner").isNotNull())
-    inner = unnest_outer(outer, F.col("_inner"), "inner_rec").drop("_inner")
+    # NULL drops the element and an empty array keeps it, in one generator: a
+    # filter in between would parse the element a second time.
+    alone = F.array(F.lit(None).cast("string"))
+    items = F.when(parent, alone).otherwise(jsonx.present_or_null(inner_array(inner_keys)))
+    inner = outer.select("*", F.explode(items).alias("inner_rec"))
     return inner.withColumn("inner_j", jsonx.record_struct(F.col("inner_rec"), inner_scalars))
 
 
 def inner_array(inner_keys: Sequence[str], kind: str = "kind") -> Column:
-    """The inner array that belongs to the row's kind.
+    """Elements of the inner array that belongs to the row's kind.
 
     Only check-in corrections use ``inoutinfo``; every other kind uses ``detail``.
     """
-    by_key = {k: jsonx.variant_elements(F.col(f"outer_j.{k}")) for k in inner_keys}
-    return F.when(F.col(kind) == "inout", by_key["inoutinfo"]).otherwise(by_key["detail"])
+    by_key = {k: F.col(f"outer_j.{k}") for k in inner_keys}
+    own = F.when(F.col(kind) == "inout", by_key["inoutinfo"]).otherwise(by_key["detail"])
+    return jsonx.variant_elements(own)
 
 
 def pack_envelopes(df: DataFrame, size: int, record: str = "rec") -> DataFrame:

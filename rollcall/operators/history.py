@@ -65,7 +65,8 @@ def scd2_check(
         F.when(got & (~had | changed), version("_new", now, F.lit(None))),
     )
     merged = (
-        both.select(F.explode(F.array_compact(versions)).alias("v"))
+        both.select(F.explode(versions).alias("v"))
+        .filter(F.col("v").isNotNull())
         .select("v.row.*", "v.valid_from", "v.valid_to")
     )
     return closed.select(*merged.columns).unionByName(merged)

@@ -53,9 +53,8 @@ def id_tail(known: DataFrame, probes: DataFrame, known_id: str, probe_id: str, o
 def list_states(approvals_raw: DataFrame) -> DataFrame:
     """id, status and creation date of every landed list record."""
     records = unnest_envelope(approvals_raw, "RAW_DATA", [])
-    parsed = records.withColumn(
-        "j", jsonx.record_struct(F.col("rec"), ["ID", "app_approval_status", "date_created"])
-    )
+    keys = ["ID", "app_approval_status", "date_created"]
+    parsed = jsonx.parse_once(records, jsonx.record_struct(F.col("rec"), keys), "j")
     return parsed.select(
         jsonx.scalar("j", "ID", "rec").cast("long").alias("id"),
         jsonx.scalar("j", "app_approval_status", "rec").alias("status"),
@@ -65,12 +64,10 @@ def list_states(approvals_raw: DataFrame) -> DataFrame:
 
 def detail_states(details_raw: DataFrame) -> DataFrame:
     """id, status, creation date and API message of every landed detail document."""
-    doc = details_raw.withColumn(
-        "d", F.from_json("RAW_DATA", "message string, data string")
-    ).withColumn("data", F.col("d.data"))
-    parsed = doc.withColumn(
-        "j", jsonx.record_struct(F.col("data"), ["app_approval_status", "date_created"])
-    )
+    doc = jsonx.parse_once(details_raw, F.from_json("RAW_DATA", "message string, data string"), "d")
+    doc = doc.withColumn("data", F.col("d.data"))
+    keys = ["app_approval_status", "date_created"]
+    parsed = jsonx.parse_once(doc, jsonx.record_struct(F.col("data"), keys), "j")
     return parsed.select(
         F.col("APPROVAL_ID").alias("id"),
         jsonx.scalar("j", "app_approval_status", "data").alias("status"),

@@ -22,6 +22,7 @@ READERS: dict[str, str] = {
     "text": "{0}",
     "int": "CAST({0} AS BIGINT)",
     "float": "CAST({0} AS DOUBLE)",
+    "timestamp": "CAST({0} AS TIMESTAMP)",
     "safe_int": "try_cast({0} AS BIGINT)",
     "safe_float": "try_cast({0} AS DOUBLE)",
     "safe_timestamp": safe.TIMESTAMP_SQL,

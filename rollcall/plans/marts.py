@@ -363,7 +363,9 @@ def mart_approvals(
     listed = approvals.select(
         *[F.col(c).alias(f"l_{c}") for c in APPROVAL_INPUT], F.lit(True).alias("listed")
     )
-    events = detail_events(documents, keep_parent=True).join(
+    # Placed by id once, before flattening: the pick per day and the join below
+    # both find their rows where they are.
+    events = detail_events(documents.repartition("ID"), keep_parent=True).join(
         listed, F.col("ID") == F.col("l_ID"), "full_outer"
     )
     # A row is an event of a document, or else stands for a whole request. The
@@ -450,13 +452,12 @@ def int_approval_details_flat(details: DataFrame) -> DataFrame:
     rows = rows.withColumn("_f", jsonx.record_struct(F.col("head"), [], ["detail", "inoutinfo"]))
     inout = F.col("detail_type") == "inout"
     items = F.when(inout, F.col("_f.inoutinfo")).otherwise(F.col("_f.detail"))
-    # JSON null under the key counts as present and yields one empty event.
-    rows = rows.withColumn("_items", items).filter(F.col("_items").isNotNull())
-    rows = rows.select(
-        "approval_id",
-        "detail_type",
-        F.explode_outer(jsonx.variant_elements(F.col("_items"))).alias("rec"),
-    ).withColumn("_j", jsonx.record_struct(F.col("rec"), INNER_SCALARS))
+    # A value that is no array, JSON null included, counts as present without events.
+    found = F.coalesce(jsonx.variant_elements(items), F.array().cast("array<string>"))
+    events = F.explode(F.when(items.isNotNull(), jsonx.present_or_null(found)))
+    rows = rows.select("approval_id", "detail_type", events.alias("rec")).withColumn(
+        "_j", jsonx.record_struct(F.col("rec"), INNER_SCALARS)
+    )
 
     get = lambda k: jsonx.scalar("_j", k, "rec")
     kind = F.col("detail_type")
@@ -524,13 +525,12 @@ def mart_employee_events(mart_profiles: DataFrame) -> DataFrame:
         F.col(day).isNotNull(),
         F.struct(F.col(day).alias("event_date"), F.lit(label).alias("event_type")),
     )
-    events = F.array_compact(
-        F.array(event("job_date_join", "Tuyển mới"), event("job_date_out", "Nghỉ việc"))
-    )
+    events = F.array(event("job_date_join", "Tuyển mới"), event("job_date_out", "Nghỉ việc"))
     kept = [
         "profile_id", "personnel_code", "name", "department", "department_group", "position_title",
     ]
-    return mart_profiles.select(*kept, F.explode(events).alias("e")).select(*kept, "e.*")
+    rows = mart_profiles.select(*kept, F.explode(events).alias("e"))
+    return rows.filter(F.col("e").isNotNull()).select(*kept, "e.*")
 
 
 def mart_headcount_snapshot(profiles: DataFrame, cfg: Settings) -> DataFrame:

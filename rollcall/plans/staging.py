@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import jsonx, safe
 from rollcall.operators.flatten import unnest_envelope
-from rollcall.operators.latest import first_by, forward_latest, is_pending
+from rollcall.operators.latest import first_by, is_pending
 from rollcall.plans.columns import (
     APPROVAL_FIELDS,
     DETAIL_FIELDS,
     PROFILE_FIELDS,
     TIMEKEEP_FIELDS,
+    Field,
     project,
 )
 from rollcall.settings import TODO, Settings
@@ -44,11 +45,15 @@ def stg_approvals(raw: DataFrame, only: Sequence[str] | None = None) -> DataFram
     records = unnest_envelope(raw, "RAW_DATA", ["SYNC_TIME AS sync_time"])
     needed = _with(only, "ID", "personnel_code", "app_approval_status")
     rows = project(records, APPROVAL_FIELDS, "rec", ["sync_time", _TIE], needed)
-    rows = rows.filter(F.col("personnel_code").isNotNull() & (F.col("personnel_code") != ""))
-    latest = forward_latest(
-        rows, "ID", "app_approval_status", [F.col("sync_time").desc(), F.col("_tie")]
-    )
-    return _output(latest, only)
+    # Snapshots without a person do not count: they come last, and go if picked.
+    nobody = F.coalesce(F.col("personnel_code"), F.lit("")) == ""
+    order = [
+        nobody.asc(),
+        is_pending(F.col("app_approval_status")).asc(),
+        F.col("sync_time").desc(),
+        F.col("_tie"),
+    ]
+    return _output(first_by(rows, ["ID"], order).filter(~nobody), only)
 
 
 def stg_approval_details(
@@ -59,23 +64,15 @@ def stg_approval_details(
     Documents seldom carry ``_loaded_at``, so most of them tie on ``sync_time``;
     a settled status, then the ingest time, decide.
     """
-    doc = raw.select(
-        F.col("APPROVAL_ID").alias("ID"),
-        "INGEST_TS",
-        "RAW_DATA",
-        F.from_json("RAW_DATA", "error string, data string").alias("_d"),
-    )
+    doc = jsonx.parse_once(raw, F.from_json("RAW_DATA", "error string, data string"), "_d")
     error = jsonx.scalar("_d", "error", "RAW_DATA")
     doc = doc.filter((error != "true") | error.isNull())
-    doc = doc.withColumn("rec", F.col("_d.data")).withColumn(
-        "_l", F.from_json("rec", "_loaded_at string")
-    )
-    sync_time = F.coalesce(
-        jsonx.scalar("_l", "_loaded_at", "rec").cast("timestamp"), F.lit(cfg.as_of_ts)
-    )
-    doc = doc.select(sync_time.alias("sync_time"), "ID", "INGEST_TS", "rec")
-    needed = _with(only, "app_approval_status")
-    rows = project(doc, DETAIL_FIELDS, "rec", ["sync_time", "ID", "INGEST_TS", _TIE], needed)
+    doc = doc.selectExpr("APPROVAL_ID AS ID", "INGEST_TS", "_d.data AS rec")
+    fields = [*DETAIL_FIELDS, Field("_loaded", "_loaded_at", "timestamp")]
+    needed = _with(only, "app_approval_status", "_loaded")
+    rows = project(doc, fields, "rec", ["ID", "INGEST_TS", _TIE], needed)
+    stamped = F.coalesce("_loaded", F.lit(cfg.as_of_ts))
+    rows = rows.select(stamped.alias("sync_time"), "*").drop("_loaded")
     order = [
         F.col("sync_time").desc(),
         is_pending(F.col("app_approval_status")).asc(),

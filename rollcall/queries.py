@@ -871,7 +871,7 @@ def mart_profiles(spark, sf_dir):
 
 @query
 def mart_approvals(spark, sf_dir):
-    return models(spark, sf_dir).model("mart_approvals")
+    return models(spark, sf_dir, keep=("stg_approval_details",)).model("mart_approvals")
 
 
 @query
@@ -889,7 +889,7 @@ def mart_headcount_snapshot(spark, sf_dir):
     return models(spark, sf_dir).model("mart_headcount_snapshot")
 
 
-COMPLIANCE_SHARED = ("stg_profiles", "stg_timekeep", "mart_profiles", "mart_approvals")
+COMPLIANCE_SHARED = (*SHARED, "mart_profiles", "mart_approvals")
 
 
 def compliance_model(name: str, *more: str) -> Query:
@@ -903,8 +903,7 @@ def compliance_model(name: str, *more: str) -> Query:
 
 compliance_approval_timing = compliance_model("compliance_approval_timing")
 compliance_schedule_daily = compliance_model("compliance_schedule_daily")
+TIMING = "mart_compliance_approval_timing"
 compliance_exception_detail = compliance_model("compliance_exception_detail")
-compliance_kpi_overview = compliance_model(
-    "compliance_kpi_overview", "mart_compliance_approval_timing"
-)
+compliance_kpi_overview = compliance_model("compliance_kpi_overview", TIMING)
 compliance_kpi_by_dept = compliance_model("compliance_kpi_by_dept")

@@ -52,6 +52,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when a table has fewer file splits than the session has cores.
+
+    Writing JSON is much more work per row than reading the row. Large tables
+    have splits enough and pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _pick(values: list, at: str) -> str:
     """SQL that picks a fixed value by position."""
     items = ", ".join("NULL" if v is None else "'" + v.replace("'", "\\'") + "'" for v in values)
@@ -85,9 +95,10 @@ def _envelope(record: str) -> str:
     return f"concat('{{\"data\":[', {record}, '],\"error\":false}}')"
 
 
-def _loads(versions: list[str]) -> str:
-    """SQL that yields a row per version; a NULL version yields none."""
-    return f"inline(array_compact(array({', '.join(versions)})))"
+def _loads(df: DataFrame, versions: list[str], keep: str = "1 AS _one") -> DataFrame:
+    """A row per version of each input row; a NULL version yields none."""
+    rows = df.selectExpr(keep, f"inline(array({', '.join(versions)}))")
+    return rows.filter("RAW_DATA IS NOT NULL").drop("_one")
 
 
 def _version(stamp: str, record: str, when: str | None = None) -> str:
@@ -151,15 +162,13 @@ def profiles_raw(customer: DataFrame) -> DataFrame:
         _pick(['"jobs":"[1]"', '"jobs":[1]', None], "k % 3"),
     ]
     rows = customer.selectExpr("*", "c_custkey AS k").selectExpr("k", f"{record} AS record")
-    return rows.selectExpr(
-        _loads(
-            [
-                _version("2024-01-29 00:00:00", _with_members("record", members)),
-                _version(
-                    "2024-01-28 00:00:00", _object({"ID": "k", "name": "'Tên cũ'"}), "k % 13 = 0"
-                ),
-            ]
-        )
+    older = _object({"ID": "k", "name": "'Tên cũ'"})
+    return _loads(
+        rows,
+        [
+            _version("2024-01-29 00:00:00", _with_members("record", members)),
+            _version("2024-01-28 00:00:00", older, "k % 13 = 0"),
+        ],
     )
 
 
@@ -213,14 +222,13 @@ def approvals_raw(orders: DataFrame) -> DataFrame:
         )
 
     text = "CASE WHEN o % 4 != 1 THEN concat('Lý do ', o % 11) END"
-    return request_columns(orders).selectExpr(
-        _loads(
-            [
-                _version("2024-01-29 00:00:00", record("status", text)),
-                _version("2024-01-30 00:00:00", record(f"'{PENDING}'", "'Bản cũ'"), "o % 4 = 0"),
-                _version("2024-01-28 00:00:00", record("status", "'Bản trước'"), "o % 8 = 3"),
-            ]
-        )
+    return _loads(
+        request_columns(orders),
+        [
+            _version("2024-01-29 00:00:00", record("status", text)),
+            _version("2024-01-30 00:00:00", record(f"'{PENDING}'", "'Bản cũ'"), "o % 4 = 0"),
+            _version("2024-01-28 00:00:00", record("status", "'Bản trước'"), "o % 8 = 3"),
+        ],
     )
 
 
@@ -323,14 +331,13 @@ def details_raw(orders: DataFrame) -> DataFrame:
         "CASE WHEN o div 10 % 4 > 0 THEN sequence(0L, o div 10 % 4 - 1) "
         "ELSE CAST(array() AS ARRAY<BIGINT>) END AS inners",
     ).selectExpr("*", f"nullif(concat_ws(',', {', '.join(members)}), '') AS arrays")
-    return shaped.selectExpr(
+    return _loads(
+        shaped,
+        [
+            version(first, "2024-01-29 00:00:00"),
+            version(pending, "2024-01-30 00:00:00", "o % 11 = 0"),
+        ],
         "o AS APPROVAL_ID",
-        _loads(
-            [
-                version(first, "2024-01-29 00:00:00"),
-                version(pending, "2024-01-30 00:00:00", "o % 11 = 0"),
-            ]
-        ),
     )
 
 
@@ -375,14 +382,13 @@ def timekeep_raw(events: DataFrame) -> DataFrame:
             }
         )
 
-    return days.selectExpr(
+    return _loads(
+        days,
+        [
+            _version("2024-01-30 00:00:00", record("errors")),
+            _version("2024-01-29 00:00:00", record("99"), "u % 5 = 0"),
+        ],
         "CAST(d AS STRING) AS SYNC_DATE",
-        _loads(
-            [
-                _version("2024-01-30 00:00:00", record("errors")),
-                _version("2024-01-29 00:00:00", record("99"), "u % 5 = 0"),
-            ]
-        ),
     ).select("SYNC_TIME", "SYNC_DATE", "RAW_DATA")
 
 
@@ -428,7 +434,7 @@ class StarSources:
     """The landed tables of a table folder, each derived when it is first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._table = lambda name: table(spark, sf_dir, name)
+        self._table = lambda name: spread(table(spark, sf_dir, name))
 
     @cached_property
     def profiles(self) -> DataFrame:

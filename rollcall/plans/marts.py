@@ -259,15 +259,18 @@ INNER_SCALARS = [
 ]
 
 
-def detail_events(details: DataFrame, keep_parent: bool = False) -> DataFrame:
+def detail_events(
+    details: DataFrame, carry: tuple[str, ...] = ("ID",), keep_parent: bool = False
+) -> DataFrame:
     """Typed events of the four document kinds, one per request, kind and day.
 
     Overtime keeps every distinct event. The other kinds keep one event per
     request and day, the earliest by clock and then by the remaining columns.
-    Rows stay partitioned by request id throughout.
+    Rows stay partitioned by request id throughout. ``carry`` names the columns
+    of a document that its events take along.
     """
     flat = two_level(
-        details,
+        details.select(*carry, "personnel_code", *DETAIL_KINDS.values()),
         DETAIL_KINDS,
         OUTER_SCALARS,
         ["detail", "inoutinfo"],
@@ -288,7 +291,7 @@ def detail_events(details: DataFrame, keep_parent: bool = False) -> DataFrame:
         F.create_map(*[F.lit(x) for pair in KIND_TYPES.items() for x in pair]), kind
     )
     events = flat.select(
-        *[c for c in details.columns if c not in DETAIL_KINDS.values() and c != "personnel_code"],
+        *carry,
         "kind",
         raw_type.alias("raw_type"),
         F.when(overtime, inner("personnel_code"))
@@ -365,9 +368,9 @@ def mart_approvals(
     )
     # Placed by id once, before flattening: the pick per day and the join below
     # both find their rows where they are.
-    events = detail_events(documents.repartition("ID"), keep_parent=True).join(
-        listed, F.col("ID") == F.col("l_ID"), "full_outer"
-    )
+    carry = ("ID", "detailed", "app_approval_status", "date_approve")
+    events = detail_events(documents.repartition("ID"), carry, keep_parent=True)
+    events = events.join(listed, F.col("ID") == F.col("l_ID"), "full_outer")
     # A row is an event of a document, or else stands for a whole request. The
     # latter counts when it is listed and its document has no details.
     whole = F.col("kind").isNull()

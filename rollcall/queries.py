@@ -132,7 +132,7 @@ def load_stamp_default(spark, sf_dir):
 @query
 def two_level_flatten(spark, sf_dir):
     details = models(spark, sf_dir).model("stg_approval_details")
-    return marts.detail_events(details).drop("app_approval_status", "date_approve", "raw_type")
+    return marts.detail_events(details).drop("raw_type")
 
 
 @query
@@ -593,8 +593,8 @@ def upsert_changed(spark, sf_dir):
 @query
 def clustered_mart(spark, sf_dir):
     path = work_folder(spark, "mart")
-    p = models(spark, sf_dir)
-    tables.write_mart(p.model("mart_attendance_events"), path, "event_date", "personnel_code")
+    mart = models(spark, sf_dir, keep=("mart_attendance_events",)).model("mart_attendance_events")
+    tables.write_mart(mart, path, "event_date", "personnel_code")
     back = spark.read.parquet(path).filter(F.col("event_date") >= "2024-01-15")
     return back.groupBy("event_date").agg(
         F.count("*").alias("records"), F.sum("late_minute").alias("late")

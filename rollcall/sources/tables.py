@@ -84,7 +84,8 @@ def write_mart(df: DataFrame, path: str, day: str, person: str, file_rows: int =
     """Daily partitions with rows of a person close together.
 
     Range partitioning on day, person and a row hash splits a day, or a person
-    within a day, that holds a large share of the rows over several tasks.
+    within a day, that holds a large share of the rows over several tasks. It
+    samples ``df`` first, so pass a written table rather than a long plan.
     """
     spread = F.xxhash64(*df.columns)
     (

@@ -93,8 +93,6 @@ PROFILE_FAMILIES = {
         "bank_account bank_account_name bank_desc bank_id contract date_end_review date_join "
         "date_out out_reason reldate_join status tax title title_api title_desc title_name"
     ),
-    "jobout_": "1 2 3 4 5 6",
-    "jobout_date_": "1 2 3 4 5 6",
     "json_": (
         "add_concurrent bankInfo communist degrees experience family insurance solves visa "
         "workPermit"
@@ -107,14 +105,14 @@ PROFILE_FAMILIES = {
     "position_": "api id parent_id title",
     "premium_": "code number personnel place place_code",
     "private_code": " _back _date _front _place",
-    "receive_": "16 2 22 23 24 3 4 5 7 8",
-    "receive_date_": "16 2 22 23 24 3 4 5 7 8",
     "salary_": "10 11 12 13 14 15 16 17 3 4 6 7 8 9 area_id min_area premium_base real total",
     "state_": "code name",
     "welfares_": "date_force money reason type",
     "work_place": " _address",
     "year_": "join work_experience work_experience_now",
 }
+# Numbered keys that come as ``<name>_<n>`` and ``<name>_date_<n>``.
+PROFILE_NUMBERED = {"jobout": "1 2 3 4 5 6", "receive": "16 2 22 23 24 3 4 5 7 8"}
 PROFILE_SINGLES = (
     "ID api_position_id attendace_code bank_info birth_times blood_group blood_pressure "
     "candidate_id coefficient cost_center created_by_id current_address day_job degrees desc "
@@ -152,6 +150,8 @@ def _profile_fields() -> list[Field]:
         # A leading blank stands for the bare prefix.
         keys += [prefix] if endings.startswith(" ") else []
         keys += [prefix + e for e in endings.split()]
+    for name, numbers in PROFILE_NUMBERED.items():
+        keys += [f"{name}{mid}_{n}" for n in numbers.split() for mid in ("", "_date")]
     keys.sort(key=lambda k: (k != "ID", k))
     rename = {"desc": "description_text"}
     return [Field(rename.get(k, k), k, _profile_kind(k)) for k in keys]

@@ -249,7 +249,8 @@ def mart_profiles(
     )
     if regions is None:
         return result.withColumn("region", F.lit(None).cast("string"))
-    return result.join(regions.select("department", "region"), "department", "left")
+    columns = [*result.columns, "region"]
+    return result.join(regions.select("department", "region"), "department", "left").select(columns)
 
 
 OUTER_SCALARS = ["personnel_code", "desc", "description_text", "types", "reason", "reason_name"]

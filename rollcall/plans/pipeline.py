@@ -76,6 +76,12 @@ class Pipeline:
             self._built[name] = df
         return self._built[name]
 
+    def close(self) -> None:
+        """Drop the written models; frames built on them cannot be read any more."""
+        if self._folder is not None:
+            tables.drop(self.spark, self._folder)
+        self._built.clear()
+
     def _only(self, columns: Sequence[str]) -> Sequence[str] | None:
         return list(columns) if self.narrow else None
 
@@ -179,7 +185,7 @@ def run(
         else:
             df.write.mode("overwrite").parquet(path)
         written[name] = path
-    tables.drop(spark, folder)
+    pipeline.close()
     return written
 
 

@@ -184,6 +184,10 @@ def test_profiles_and_people_seen_elsewhere(envelopes):
     assert (b.is_active, b.salary_real, b.department, b.department_group) == (
         False, 0.0, "Chưa phân bổ", "Khối Văn phòng",
     )
+    regions = profiles.sparkSession.createDataFrame([("Chưa phân bổ", "Bắc")], "department string, region string")
+    placed = marts.mart_profiles(profiles, approvals, timekeep, CFG, regions)
+    assert placed.columns == mart.columns
+    assert rows(placed.filter("personnel_code in ('A', 'B')"), "region") == [("Bắc",), ("Bắc",)]
     events = marts.mart_employee_events(mart)
     assert rows(events, "personnel_code", "event_type") == [("A", "Tuyển mới")]
 

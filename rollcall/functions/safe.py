@@ -6,8 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# What Unicode counts as white space. Spark's own trim knows the
+# blank only, while cells and form fields also carry tabs and no-break spaces.
+WHITESPACE = (
+    "\t\n\u000b\f\r \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # SQL around a text ``{0}``, for column lists that are built as SQL.
-DATE_DMY_SQL = "try_to_date(trim({0}), 'd/M/yyyy')"
+DATE_DMY_SQL = f"try_to_date(btrim({{0}}, '{WHITESPACE}'), 'd/M/yyyy')"
 TIMESTAMP_SQL = (
     "CASE WHEN trim({0}) RLIKE r'^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}([ Tt]\\d{{1,2}}:\\d{{1,2}}:\\d{{1,2}}"
     "([.]\\d+)?( ?(Z|UTC|[+-]\\d{{1,2}}(:\\d{{2}})?))?)?$' "
@@ -15,13 +22,18 @@ TIMESTAMP_SQL = (
 )
 
 
+def strip(text: Column) -> Column:
+    """Text without white space, of any kind, at either end."""
+    return F.btrim(text, F.lit(WHITESPACE))
+
+
 def date_dmy(text: Column) -> Column:
     """``8/1/2026`` or ``08/01/2026``; anything after the date makes it NULL."""
-    return F.try_to_date(F.trim(text), "d/M/yyyy")
+    return F.try_to_date(strip(text), "d/M/yyyy")
 
 
 def date_ymd(text: Column) -> Column:
-    return F.try_to_date(F.trim(text), "yyyy-M-d")
+    return F.try_to_date(strip(text), "yyyy-M-d")
 
 
 def loader_date(text: Column) -> Column:
@@ -48,7 +60,7 @@ def clock_minutes(text: Column) -> Column:
 
 
 def blank_to(text: Column, default: str) -> Column:
-    return F.coalesce(F.nullif(F.trim(text), F.lit("")), F.lit(default))
+    return F.coalesce(F.nullif(strip(text), F.lit("")), F.lit(default))
 
 
 def years_between(later: Column, earlier: Column) -> Column:

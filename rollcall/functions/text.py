@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What counts as a credential in a query string, and the two
-# kinds of line a transform run prints.
-SECRET_PATTERN = r"(?i)((?:access_token|secret|token)=)[^&\s'\"]+"
+# kinds of line a transform run prints. The flags make white space mean any
+# Unicode white space, and only a line feed end a line.
+SECRET_PATTERN = r"(?iU)((?:access_token|secret|token)=)[^&\s'\"]+"
 MASK = "***"
 MIN_SECRET_LENGTH = 8
-SUMMARY_PATTERN = r"(?m)^Done\. PASS=\d+ WARN=\d+ ERROR=\d+ SKIP=\d+.*TOTAL=\d+"
-FAILURE_PATTERN = r"(?m)^Failure in test \S+.*$"
+SUMMARY_PATTERN = r"(?mdU)^Done\. PASS=\d+ WARN=\d+ ERROR=\d+ SKIP=\d+.*TOTAL=\d+"
+FAILURE_PATTERN = r"(?mdU)^Failure in test \S+.*$"
 
 
 def redact(text: Column, known: Iterable[str] = ()) -> Column:

@@ -328,7 +328,7 @@ def exception_detail(
             "name",
             "department",
             "position_title",
-            F.coalesce(F.nullif(F.trim("live_manager_id"), F.lit("")), in_charge).alias(
+            F.coalesce(F.nullif(safe.strip(F.col("live_manager_id")), F.lit("")), in_charge).alias(
                 "manager_name"
             ),
             F.col("live_manager_code").alias("manager_code"),

@@ -100,7 +100,7 @@ def _first_match(text: Column, rules: list[tuple[str, list[str]]]):
 
 def department_block(department: Column) -> Column:
     """Block of an employee's department."""
-    blank = department.isNull() | (F.trim(department) == "")
+    blank = department.isNull() | (safe.strip(department) == "")
     rules = _first_match(F.lower(department), BLOCK_WORDS)
     return rules.when(blank, UNASSIGNED).otherwise(BLOCK_OFFICE)
 
@@ -285,7 +285,7 @@ def detail_events(
     overtime, inout, leave, absence = (kind == k for k in DETAIL_KINDS)
 
     code = F.coalesce(outer("types"), F.lit(""))
-    ot_type = F.when(F.trim(code) == "", UNKNOWN)
+    ot_type = F.when(safe.strip(code) == "", UNKNOWN)
     for value, label in OVERTIME_CODES.items():
         ot_type = ot_type.when(code == value, label)
     raw_type = F.element_at(

@@ -113,7 +113,7 @@ def stg_exception_status(sheet: DataFrame) -> DataFrame:
     latest case date, then the remaining columns in order.
     """
     case = F.col("MA_CASE")
-    rows = sheet_rows(sheet.filter(case.isNotNull() & (F.trim(case) != "")), TRACKING_COLUMNS)
+    rows = sheet_rows(sheet.filter(case.isNotNull() & (safe.strip(case) != "")), TRACKING_COLUMNS)
     rows = rows.withColumns(
         {
             "case_date": safe.cast_date(F.col("case_date")),

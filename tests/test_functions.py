@@ -125,6 +125,14 @@ def test_ratio_and_bad_clock(spark):
     assert one(spark, safe.minute_stamp(F.lit(D(2026, 1, 1)), F.lit("25:00"))) is None
 
 
+def test_white_space_of_any_kind_is_blank(spark):
+    for blank in ("", " ", "\t\n", "\u00a0\u3000 "):
+        assert one(spark, safe.blank_to(F.lit(blank), "d")) == "d"
+    assert one(spark, safe.blank_to(F.lit("\u00a0x y\t"), "d")) == "x y"
+    assert one(spark, safe.date_dmy(F.lit("\t8/1/2026\u00a0"))) == D(2026, 1, 8)
+    assert one(spark, F.expr(safe.DATE_DMY_SQL.format("'\u00a08/1/2026 '"))) == D(2026, 1, 8)
+
+
 def test_calendar(spark):
     cfg = Settings(as_of=D(2024, 1, 30))
     dim = spine.dim_date(spark, cfg)
@@ -139,6 +147,7 @@ def test_redact(spark):
     line = "url?Access_Token=abc123&x=1 secret='q' token=zz\"t SuperSecretValue short"
     got = one(spark, text.redact(F.lit(line), ["SuperSecretValue", "short", " "]))
     assert got == "url?Access_Token=***&x=1 secret='q' token=***\"t *** short"
+    assert one(spark, text.redact(F.lit("token=ab\u00a0cd"))) == "token=***\u00a0cd"
 
 
 def test_scrape(spark):
@@ -146,6 +155,9 @@ def test_scrape(spark):
     assert one(spark, text.run_summary(F.lit(log))) == "Done. PASS=24 WARN=0 ERROR=1 SKIP=0 TOTAL=25"
     assert one(spark, text.run_failures(F.lit(log))) == "Failure in test a_b (m.yml)"
     assert one(spark, text.run_summary(F.lit("nothing"))) == ""
+    # A carriage return or line separator does not end a line.
+    odd = "x\rFailure in test a\nFailure in test b\u2028c"
+    assert one(spark, text.run_failures(F.lit(odd))) == "Failure in test b\u2028c"
 
 
 def test_landed_json_and_sheet(spark, tmp_path):

@@ -178,12 +178,12 @@ def run(
         if name in skipped:
             continue
         path = tables.layer_path(root, name, "MART")
+        tables.recover(spark, path)
         df = pipeline.model(name)
         if name in PARTITIONED:
-            person = "personnel_code"
-            tables.write_mart(df, path, PARTITIONED[name], person)
+            tables.write_mart(df, path, PARTITIONED[name], "personnel_code")
         else:
-            df.write.mode("overwrite").parquet(path)
+            tables.replace(df, path)
         written[name] = path
     pipeline.close()
     return written

@@ -47,13 +47,15 @@ def _rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"cannot move {src} to {dst}")
 
 
+def _swap_in(spark: SparkSession, path: str) -> None:
+    drop(spark, path)
+    _rename(spark, path + SIDE_SUFFIX, path)
+
+
 def replace(df: DataFrame, path: str) -> None:
     """Write the whole table; ``df`` may read the table it replaces."""
-    spark = df.sparkSession
-    side = path + SIDE_SUFFIX
-    df.write.mode("overwrite").parquet(side)
-    drop(spark, path)
-    _rename(spark, side, path)
+    df.write.mode("overwrite").parquet(path + SIDE_SUFFIX)
+    _swap_in(df.sparkSession, path)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -94,8 +96,9 @@ def write_mart(df: DataFrame, path: str, day: str, person: str, file_rows: int =
         .write.mode("overwrite")
         .option("maxRecordsPerFile", file_rows)
         .partitionBy(day)
-        .parquet(path)
+        .parquet(path + SIDE_SUFFIX)
     )
+    _swap_in(df.sparkSession, path)
 
 
 def verified_rewrite(spark: SparkSession, path: str) -> bool:
@@ -111,8 +114,7 @@ def swap_if_equal(spark: SparkSession, path: str) -> bool:
     if spark.read.parquet(path).count() != spark.read.parquet(side).count():
         drop(spark, side)
         return False
-    drop(spark, path)
-    _rename(spark, side, path)
+    _swap_in(spark, path)
     return True
 
 

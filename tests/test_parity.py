@@ -7,13 +7,15 @@ import pytest
 from conftest import plan
 
 import __spark_entry__ as entry
+from rollcall import oracle
+from rollcall.queries import QUERIES
 
 DIR = "/root/testdata/sf0.001"
 NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +50,10 @@ def test_query_matches_sql(spark, duck, name):
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_flagship(spark):
     df = entry.entry(spark)
     assert "event_date" in df.columns and df.count() > 0

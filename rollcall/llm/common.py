@@ -32,6 +32,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
+#: Rows of a few numbers each that may be broadcast (some ten MB in memory); counted first.
+BROADCAST_ROWS = 200_000
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """A written table of short rows, broadcast if it has few of them, else to be dealt by key."""
+    written = checkpointed(df)
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else spread(written)
+
+
 def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -45,9 +55,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def buckets_in_blocks(postings: DataFrame, bucket: str, ident: str, cap: int) -> DataFrame:
+def buckets_in_blocks(postings: DataFrame, payload: DataFrame, bucket: str, ident: str, cap: int) -> DataFrame:
     """Rows of buckets with at least two rows, cut into blocks of about ``2 * cap`` rows.
 
+    ``postings`` are short rows of ``bucket`` and ``ident``; the columns of ``payload``
+    are joined to those that are left by ``ident``.
+
     A bucket of ``n`` rows is dealt into ``c = ceil(n / cap)`` chunks by a hash of
     ``ident``; every pair of chunks is a block (``lo <= hi``), so any two rows of the
     bucket meet: rows of one chunk in the block ``lo = hi``, others in one mixed
@@ -63,6 +76,7 @@ def buckets_in_blocks(postings: DataFrame, bucket: str, ident: str, cap: int) ->
         .withColumn("lo", F.least("chunk", "_other"))
         .withColumn("hi", F.greatest("chunk", "_other"))
         .drop("_n", "_chunks", "_other")
+        .join(payload, ident)
     )
     return cut.repartition(partitions(postings.sparkSession), bucket, "lo", "hi").sortWithinPartitions(
         bucket, "lo", "hi", ident

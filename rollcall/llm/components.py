@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import checkpointed, spread
+from rollcall.llm.common import BROADCAST_ROWS, checkpointed, spread
+
+ROWS_A_TASK = 25_000
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -19,17 +21,15 @@ def _checksum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(code)).first())
 
 
-def _star(edges: DataFrame) -> DataFrame:
+def _star(edges: DataFrame, count: int) -> DataFrame:
+    # There are at most twice as many nodes as edges, so the size of the sides is known.
+    side = F.broadcast if 2 * count <= BROADCAST_ROWS else spread
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = (
-        both.where("v > u").join(spread(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    )
+    large = both.where("v > u").join(side(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     low = large.groupBy("u").agg(F.min("v").alias("m"))
     hung = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
-    return (
-        large.join(spread(low), "u").select(hung.alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-    )
+    return large.join(side(low), "u").select(hung.alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -39,11 +39,12 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     ordered type; null ends, loops and repeated edges are ignored, an empty edge
     table gives an empty result.
     """
-    ends = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).isNotNull() & F.col(b).isNotNull())
+    ends = edges.select(F.greatest(a, b), F.least(a, b), F.col(a).isNotNull() & F.col(b).isNotNull())
     now = checkpointed(ends.toDF("u", "v", "ok").where("ok and u <> v").select("u", "v").distinct())
     seen = _checksum(now)
     while seen[0]:
-        now = checkpointed(_star(now))
+        # Stars have no more edges than the graph they come from.
+        now = checkpointed(_star(now, seen[0]).coalesce(-(-seen[0] // ROWS_A_TASK)))
         state = _checksum(now)
         if state == seen:
             break

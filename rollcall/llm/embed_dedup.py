@@ -64,7 +64,7 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _roots(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least row number of each row's group; rows are sorted so that the least has the least id."""
+    """Least row number of each row's group."""
     root = np.arange(count)
     while True:
         low = np.minimum(root[a], root[b])
@@ -88,7 +88,7 @@ def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, copies = rows.column("_table").to_numpy(), rows.column("_copies").to_numpy()
         chunk = rows.column("chunk").to_numpy()
         mixed = rows.column("lo").to_numpy() != rows.column("hi").to_numpy()
-        ids = rows.column("_rep").to_numpy()
+        keys = rows.column("_key").to_numpy()
         links, ends = np.zeros(len(unit), np.int64), ([], [])
         i, lag = np.arange(len(unit)), 0
         while len(i):
@@ -110,7 +110,7 @@ def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = np.flatnonzero(links)
         if len(some):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[some]), pa.array(links[some]), pa.array(ids[root[some]])], ["_rep", "_links", "_root"]
+                [pa.array(keys[some]), pa.array(links[some]), pa.array(keys[root[some]])], ["_key", "_links", "_root"]
             )
 
 
@@ -120,40 +120,35 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     Vectors that are null, empty, zero or hold null or non-finite components link
     with nothing: no links, their own id as component, kept. Vectors of different
     length never link. Rows that repeat id and vector count once; an id with
-    several vectors gives a row for each, and they share a component. Null ids
-    take no part and give a row each with a null component. An empty table gives
-    no rows.
+    several vectors gives a row for each. Null ids take no part and give a row each
+    with a null component. An empty table gives no rows.
     """
     rows = vectors.select(col(id_col).cast("long").alias("_id"), col(vector_col).alias("_vector"))
     good = F.col("_id").isNotNull() & usable(F.col("_vector"))
     rows = checkpointed(rows.withColumn("_good", F.coalesce(good, F.lit(False))).distinct())
     used = rows.where("_good")
     classes = checkpointed(
-        used.groupBy("_vector").agg(F.min("_id").alias("_rep"), F.count("*").alias("_copies"))
+        used.groupBy("_vector")
+        .agg(F.min("_id").alias("_rep"), F.count("*").alias("_copies"))
+        .withColumn("_key", F.xxhash64("_vector"))
     )
     schema = T.StructType([*classes.schema.fields, T.StructField("_sign", T.ArrayType(T.ShortType()))])
-    signed = classes.mapInArrow(_signed, schema)
-    postings = signed.select("*", F.posexplode("_sign").alias("_table", "_code")).select(
-        F.xxhash64(F.size("_vector"), "_table", "_code").alias("_bucket"), "_rep", "_copies", "_table", "_vector", "_sign"
+    signed = checkpointed(classes.mapInArrow(_signed, schema))
+    postings = signed.select("_key", "_vector", F.posexplode("_sign").alias("_table", "_code")).select(
+        F.xxhash64(F.size("_vector"), "_table", "_code").alias("_bucket"), "_key", "_table"
     )
-    blocks = buckets_in_blocks(postings, "_bucket", "_rep", BLOCK)
-    linked = checkpointed(blocks.mapInArrow(_linked, "_rep bigint, _links bigint, _root bigint"))
-    labels = components(
-        linked.select(F.col("_rep").alias("a"), F.col("_root").alias("b")).unionByName(
-            # An id with several vectors ties their classes together.
-            used.join(spread(classes), "_vector").where("_id <> _rep").select(F.col("_id").alias("a"), F.col("_rep").alias("b"))
-        ),
-        "a",
-        "b",
+    blocks = buckets_in_blocks(postings, signed.drop("_rep"), "_bucket", "_key", BLOCK)
+    linked = checkpointed(blocks.mapInArrow(_linked, "_key bigint, _links bigint, _root bigint"))
+    joined = components(linked, "_key", "_root")
+    counts = linked.groupBy("_key").agg(F.sum("_links").alias("_links"))
+    labelled = (
+        classes.join(spread(counts), "_key", "left")
+        .join(spread(joined.withColumnRenamed("node", "_key")), "_key", "left")
+        .withColumn("_component", F.coalesce("component", "_key"))
     )
-    counts = linked.groupBy("_rep").agg(F.sum("_links").alias("_links"))
-    named = classes.join(spread(counts), "_rep", "left").join(
-        spread(labels.withColumnRenamed("node", "_rep")), "_rep", "left"
-    )
-    named = named.select(
-        "_vector",
-        (F.coalesce("_links", F.lit(0)) + F.col("_copies") - 1).alias("n_links"),
-        F.coalesce("component", "_rep").alias("component_id"),
+    heads = labelled.groupBy("_component").agg(F.min("_rep").alias("component_id"))
+    named = labelled.join(spread(heads), "_component").select(
+        "_vector", (F.coalesce("_links", F.lit(0)) + F.col("_copies") - 1).alias("n_links"), "component_id"
     )
     within = used.join(spread(named), "_vector").select(F.col("_id").alias("vec_id"), "n_links", "component_id")
     alone = rows.where("not _good").select(

@@ -9,9 +9,9 @@
    postings. First every entry is held against the least of its block (a star),
    the survivors are confirmed on the full sets, and classes are joined to
    components. Then the lists are merged again for pairs of *different*
-   components only: pairs already joined are skipped, others are confirmed.
-   So a group of near copies never emits all its pairs, and no link that could
-   join two components is lost.
+   components only: rows with such a pair meet once more with their full sets,
+   and a block hands on the links that join components. So a group of near copies
+   never emits all its pairs, and no link that could join two components is lost.
 
 A pair of similarity 0.75 agrees in 7 of 20 places with probability 0.99997.
 """
@@ -31,8 +31,10 @@ from rollcall.llm.common import (
     checkpointed,
     col,
     constants,
+    measured,
     mix,
     packed,
+    partitions,
     slices,
     spread,
     utf8,
@@ -45,7 +47,7 @@ SIMILARITY = 75  # hundredths
 COORDINATES = 20
 MATCHES = 7
 PREFIX = COORDINATES - MATCHES + 1
-BLOCK = 1024
+BLOCK = 512
 
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
@@ -189,8 +191,8 @@ def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _pairs(rows, [first[at]], [at])
 
 
-def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block that belong to different components."""
+def _contested(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a block that may be similar to a row of another component in it."""
     for rows in whole_blocks(batches, _BLOCK_KEYS):
         block = block_numbers(rows, _BLOCK_KEYS)
         signs, sizes = _signs(rows), rows.column("_size").to_numpy()
@@ -198,7 +200,7 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixed = rows.column("lo").to_numpy() != rows.column("hi").to_numpy()
         group = rows.column("_component").combine_chunks().dictionary_encode().indices.to_numpy()
         cuts = np.concatenate([np.flatnonzero(np.diff(block, prepend=-1)), [len(block)]])
-        found: tuple[list, list] = ([], [])
+        marked = np.zeros(len(block), bool)
         for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
             names, which, counts = np.unique(group[begin:end], return_inverse=True, return_counts=True)
             if len(names) < 2:
@@ -209,39 +211,88 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             outer = begin + np.flatnonzero(which != counts.argmax())
             for k, one in enumerate(outer):
                 others = np.concatenate([inner, outer[k + 1 :]])
-                others = others[(sizes[others] * 100 >= SIMILARITY * sizes[one]) & (sizes[one] * 100 >= SIMILARITY * sizes[others])]
-                others = others[group[others] != group[one]]
+                others = others[_fits(sizes, np.full(len(others), one), others) & (group[others] != group[one])]
                 if mixed[one]:
                     others = others[chunk[others] != chunk[one]]
                 same = signs[others] == signs[one]
                 # A pair that meets under an earlier coordinate is left to that one.
                 keep = (same.sum(1) >= MATCHES) & ~same[:, : place[one]].any(1)
                 if keep.any():
-                    found[0].append(np.full(int(keep.sum()), one))
-                    found[1].append(others[keep])
-        if found[0]:
-            yield _pairs(rows, *found)
+                    marked[one] = True
+                    marked[others[keep]] = True
+        if marked.any():
+            some = rows.take(pa.array(np.flatnonzero(marked))).combine_chunks()
+            yield from some.select([*_BLOCK_KEYS, "_set", "_component"]).to_batches()
+
+
+def _links(cuts: np.ndarray, shingles: np.ndarray, group: np.ndarray) -> tuple[list[int], list[int]]:
+    """Links between rows of different groups, as many as it takes to join what is to be joined."""
+    sizes, group = np.diff(cuts), group.copy()
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(shingles, kind="stable")
+    ranked, posted = shingles[order], owner[order]
+    low, high = np.searchsorted(ranked, shingles, "left"), np.searchsorted(ranked, shingles, "right")
+    found: tuple[list[int], list[int]] = ([], [])
+    for row in range(len(sizes)):
+        if (group[row + 1 :] == group[row]).all():
+            continue
+        begin, end = cuts[row], cuts[row + 1]
+        lengths = high[begin:end] - low[begin:end]
+        at = np.arange(lengths.sum()) + np.repeat(low[begin:end] - np.cumsum(lengths) + lengths, lengths)
+        common = np.bincount(posted[at], minlength=len(sizes))
+        near = (100 * common >= SIMILARITY * (sizes + sizes[row] - common)) & (group != group[row])
+        near[: row + 1] = False
+        for other in np.flatnonzero(near):
+            if group[other] != group[row]:
+                found[0].append(row)
+                found[1].append(int(other))
+                group[group == group[other]] = group[row]
+    return found
+
+
+def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components within a block, found on the full sets."""
+    for rows in whole_blocks(batches, _BLOCK_KEYS):
+        block = block_numbers(rows, _BLOCK_KEYS)
+        group = rows.column("_component").combine_chunks().dictionary_encode().indices.to_numpy()
+        lists = rows.column("_all").combine_chunks()
+        ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        shingles = lists.flatten().to_numpy()
+        found: tuple[list, list] = ([], [])
+        cuts = np.concatenate([np.flatnonzero(np.diff(block, prepend=-1)), [len(block)]])
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            inside = ends[begin : end + 1]
+            a, b = _links(inside - inside[0], shingles[inside[0] : inside[-1]], group[begin:end])
+            found[0].append(begin + np.array(a, np.int64))
+            found[1].append(begin + np.array(b, np.int64))
+        yield _pairs(rows, *found)
 
 
 def _posted(classes: DataFrame) -> DataFrame:
     """One posting per class and prefix coordinate, in blocks of bounded size."""
     place = F.explode(F.sequence(F.lit(0), F.lit(PREFIX - 1)))
     value = F.substring(F.col("_sign"), F.col("_place") * 4 + 1, F.lit(4))
-    postings = classes.where("_size > 0").withColumn("_place", place)
-    return buckets_in_blocks(postings.withColumn("_bucket", F.xxhash64("_place", value)), "_bucket", "_set", BLOCK)
+    postings = classes.withColumn("_place", place).select(F.xxhash64("_place", value).alias("_bucket"), "_place", "_set")
+    return buckets_in_blocks(postings, classes, "_bucket", "_set", BLOCK)
+
+
+def _sets(ends: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``_set, _all``: the full sets of some classes."""
+    wanted = classes.join(ends.distinct(), "_set", "left_semi").select("_id", "_code")
+    texts = docs.join(measured(wanted.distinct()), ["_id", "_code"], "left_semi").select("_text")
+    sets = texts.mapInArrow(_full_sets, "_set binary, _all array<bigint>")
+    # One text of each class is enough; texts that share id and hash are the same text.
+    return sets.groupBy("_set").agg(F.first("_all").alias("_all"))
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     pairs = checkpointed(pairs.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct())
-    ends = pairs.select(F.col("_a").alias("_set")).union(pairs.select("_b")).distinct()
-    wanted = classes.join(ends, "_set", "left_semi").select(F.col("_id"), F.col("_code"))
-    texts = docs.join(spread(wanted.distinct()), ["_id", "_code"], "left_semi").select("_text")
-    sets = texts.mapInArrow(_full_sets, "_set binary, _all array<bigint>")
-    # One text of each class is enough; texts that share id and hash are the same text.
-    sets = sets.groupBy("_set").agg(F.first("_all").alias("_all"))
+    ends = pairs.select(F.col("_a").alias("_set")).union(pairs.select("_b"))
+    sets = _sets(ends, classes, docs)
+    # ``_a`` is the middle of a star and may be hot; ``_b`` stands in as many pairs as it has postings.
     left = spread(sets.select(F.col("_set").alias("_a"), F.col("_all").alias("_x")))
-    right = spread(sets.select(F.col("_set").alias("_b"), F.col("_all").alias("_y")))
+    right = sets.select(F.col("_set").alias("_b"), F.col("_all").alias("_y"))
     common = F.size(F.array_intersect("_x", "_y"))
     union = F.size("_x") + F.size("_y") - F.col("_common")
     return checkpointed(
@@ -253,6 +304,16 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
     )
 
 
+def _between(labelled: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between the components of ``labelled``, enough of them to join what is similar."""
+    contested = checkpointed(
+        _posted(labelled).mapInArrow(_contested, "_bucket bigint, lo int, hi int, _set binary, _component binary")
+    )
+    blocks = contested.join(_sets(contested.select("_set"), classes, docs), "_set")
+    dealt = blocks.repartition(partitions(docs.sparkSession), *_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS, "_set")
+    return checkpointed(dealt.mapInArrow(_verified, "_a binary, _b binary"))
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = col(text_col)
     return docs.select(
@@ -277,18 +338,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = F.min(F.struct(F.col("_id").isNull(), "_id", "_code", "_size", "_sign")).alias("_least")
     classes = checkpointed(worded.groupBy("_set").agg(least).select("_set", "_least.*"))
     stars = checkpointed(_confirmed(_posted(classes).mapInArrow(_stars, "_a binary, _b binary"), classes, texts))
-    joined = checkpointed(components(stars, "_a", "_b"))
-    labelled = classes.join(spread(joined.withColumnRenamed("node", "_set")), "_set", "left").withColumn(
-        "_component", F.coalesce("component", "_set")
-    )
-    rest = _posted(labelled.select("_set", "_size", "_sign", "_component")).mapInArrow(_apart, "_a binary, _b binary")
-    links = _confirmed(rest, classes, texts)
-    final = components(stars.unionByName(links), "_a", "_b")
-    named = classes.join(spread(final.withColumnRenamed("node", "_set")), "_set", "left").select(
-        "_set", "_id", F.coalesce("component", "_set").alias("_component")
+    joined = measured(components(stars, "_a", "_b").withColumnRenamed("node", "_set"))
+    labelled = classes.join(joined, "_set", "left").withColumn("_component", F.coalesce("component", "_set"))
+    links = _between(labelled.select("_set", "_size", "_sign", "_component"), classes, texts)
+    final = measured(components(stars.unionByName(links), "_a", "_b").withColumnRenamed("node", "_set"))
+    heads = classes.join(final, "_set").groupBy("component").agg(F.min("_id").alias("_head"))
+    by_set = (
+        classes.join(final, "_set", "left")
+        .join(measured(heads), "component", "left")
+        .select("_set", F.coalesce("_head", "_id").alias("component_id"))
     )
-    heads = named.groupBy("_component").agg(F.min("_id").alias("component_id"))
-    by_set = spread(named.join(spread(heads), "_component").select("_set", "component_id"))
+    by_set = spread(by_set)
     with_words = worded.join(by_set, "_set").select("_id", "_code", F.col("_size").alias("n_shingles"), "component_id")
     without = described.where("_size = 0").select("_id", "_code", F.col("_size").alias("n_shingles"), F.col("_id").alias("component_id"))
     return with_words.unionByName(without).withColumn("kept", F.col("_id").eqNullSafe(F.col("component_id")))

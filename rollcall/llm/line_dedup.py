@@ -11,8 +11,8 @@ So a variant key never has to give out pairs: the *earliest* line per key decide
 which is a plain grouped minimum. To keep variants of long lines few, the edit is
 located first, losing nothing:
 
-1. an edit leaves the first or the last ``h`` characters alone (``h`` a power of two
-   up to half the line): only lines that share such an end with another line go on;
+1. an edit leaves the first or the last ``h`` bytes alone (``h`` a power of two, up
+   to half of what the edit leaves): only lines that share such an end with another line go on;
 2. cut at multiples of ``WINDOW`` from the start and from the end, the parts before
    and after the edit are equal: only windows whose surroundings occur twice go on;
 3. these windows (under ``2 * WINDOW`` characters) get all deletion variants.
@@ -24,40 +24,116 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import checkpointed, col, packed, spread
+from rollcall.llm.common import checkpointed, col, constants, measured, mix, packed, slices, spread, utf8
 
 NEAR_CHARS = 16
 WINDOW = 32
 EDITS = 1
+LAST = (1 << 63) - 1  # stands for a null id, after all others
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 13, 32]] = True
+_VALUES = constants(21, 256)
+_BASES = [int(b) for b in constants(22, 2)]
+_SIDE = constants(23, 2)
+#: Bytes by which two lines one edit apart can differ in length: a character has four at most.
+_SLACK = 4
 
-def _end_length(length: Column) -> Column:
-    """The largest power of two up to half of ``length``."""
-    return F.pow(F.lit(2), F.floor(F.log2(F.greatest(length, F.lit(2)) / 2))).cast("int")
 
+def _powers(base: int, count: int) -> np.ndarray:
+    steps = np.full(count, np.uint64(base))
+    steps[0] = 1
+    return np.cumprod(steps)
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+
+class _Hasher:
+    """Hashes of any stretches of some bytes, from one running sum (arithmetic modulo 2**64)."""
+
+    def __init__(self, data: np.ndarray, base: int):
+        inverse = pow(base, -1, 1 << 64)
+        self.back = _powers(inverse, len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_VALUES[data] * _powers(base, len(data) + 1)[:-1], out=self.sums[1:])
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[begin]) * self.back[begin] + (end - begin).astype(np.uint64))
+
+
+def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, position in the text, begin and end of every line that is not blank; ends trimmed."""
+    feeds = np.flatnonzero(data == 10)
+    owner = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, feeds, "right") - 1])
+    begin = np.concatenate([offsets[:-1], feeds + 1])
+    order = np.lexsort((begin, owner))
+    owner, begin = owner[order], begin[order]
+    last = np.append(owner[1:] != owner[:-1], True)
+    end = np.where(last, offsets[owner + 1], np.append(begin[1:], 0) - 1)
+    first = np.searchsorted(owner, owner)
+    position = np.arange(len(owner)) - first
+    solid = np.flatnonzero(~_BLANK[data] & (data != 10))
+    low, high = np.searchsorted(solid, begin), np.searchsorted(solid, end)
+    some = high > low
+    return owner[some], position[some], solid[low[some]], solid[high[some] - 1] + 1
+
+
+def _end_lengths(size: np.ndarray) -> list[np.ndarray]:
+    """Powers of two, at most half of what an edit leaves, for a line and for lines a little shorter."""
+    lengths = [np.maximum(size - slack - 2 * _SLACK, 2) // 2 for slack in range(_SLACK + 1)]
+    powers = [1 << np.floor(np.log2(x)).astype(np.int64) for x in lengths]
+    return [powers[0], powers[-1]]  # they halve at most once over so few lengths
+
+
+ENDS = ("_e0", "_e1", "_e2", "_e3")
+
+
+def _hashed(batches: Iterable[pa.RecordBatch], ends: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = utf8(batch.column("_text"))
+        for lo, hi in slices(data, offsets):
+            part = data[offsets[lo] : offsets[hi]]
+            row, position, begin, end = line_spans(part, offsets[lo : hi + 1] - offsets[lo])
+            hashers = [_Hasher(part, base) for base in _BASES]
+            at = pa.array(row + lo)
+            columns = [batch.column("_doc").take(at), batch.column("_code").take(at), pa.array(position.astype(np.int32))]
+            columns += [pa.array(h(begin, end).view(np.int64)) for h in hashers]
+            if ends:
+                size = end - begin
+                long, short = _end_lengths(size)
+                for k, h in enumerate((long, long, short, short)):
+                    used = (size >= NEAR_CHARS) & ((k < 2) | (short != long))
+                    h = np.minimum(h, size)
+                    key = hashers[0](begin, begin + h) if k % 2 == 0 else hashers[0](end - h, end)
+                    key = mix(key ^ (h.astype(np.uint64) * _SIDE[k % 2]))
+                    columns.append(pa.array(key.view(np.int64), mask=~used))
+            names = ["_doc", "_code", "_pos", "_line", "_more", *(ENDS if ends else ())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def _with_ends(batches):
+    return _hashed(batches, True)
+
+
+def _without_ends(batches):
+    return _hashed(batches, False)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = col(text_col).cast("string")
-    split = docs.select(
-        col(id_col).cast("long").alias("_doc"), F.xxhash64(text).alias("_code"), F.posexplode(F.split(text, "\n")).alias("_pos", "_raw")
-    )
-    trimmed = split.withColumn("_text", F.trim(F.translate("_raw", "\t\r", "  "))).drop("_raw")
-    return trimmed.where("_text <> ''").withColumn("_line", F.unhex(F.md5("_text")))
+    doc = F.coalesce(col(id_col).cast("long"), F.lit(LAST))
+    return docs.select(doc.alias("_doc"), F.xxhash64(text).alias("_code"), text.alias("_text"))
 
 
-def _ends(lines: DataFrame) -> DataFrame:
-    """Hashes of the first and last ``h`` characters, for the lengths of the line and of one less."""
-    length = F.length("_text")
-    ends = []
-    for h in (_end_length(length), _end_length(length - 1)):
-        ends.append(F.xxhash64(F.lit("head"), h, F.substring(F.col("_text"), F.lit(1), h)))
-        ends.append(F.xxhash64(F.lit("tail"), h, F.substring(F.col("_text"), length - h + 1, h)))
-    return lines.where(length >= NEAR_CHARS - 1).withColumn("_end", F.explode(F.array_distinct(F.array(*ends))))
+_LINE = "_doc bigint, _code bigint, _pos int, _line bigint, _more bigint"
+
+
+def _at() -> Column:
+    return F.struct("_doc", "_code", "_pos")
 
 
 def _signed(value: int) -> int:
@@ -86,101 +162,161 @@ def windows(text: str) -> Iterator[tuple[int, str]]:
 
 
 def _windowed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of the lines that are asked for, by text and positions."""
     for batch in batches:
-        for row in range(batch.num_rows):
-            line = batch.slice(row, 1)
-            found = list(windows(line.column("_text")[0].as_py()))
-            keep = line.select(["_line", "_first"]).take(pa.array([0] * len(found)))
-            yield pa.RecordBatch.from_arrays(
-                [*keep.columns, pa.array([k for k, _ in found], pa.int64()), pa.array([w for _, w in found], pa.string())],
-                ["_line", "_first", "_around", "_window"],
-            )
+        out = []
+        for doc, code, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("_doc", "_code", "_text", "_wanted")), strict=True):
+            lines = text.split("\n")
+            for one in wanted:
+                line = lines[one["_pos"]].strip(" \t\r")
+                if len(line) >= NEAR_CHARS:
+                    out += [(one["_line"], one["_more"], doc, code, one["_pos"], *window) for window in windows(line)]
+        columns = list(zip(*out, strict=True)) or [()] * 7
+        kinds = [pa.int64()] * 4 + [pa.int32(), pa.int64(), pa.string()]
+        names = ["_line", "_more", "_doc", "_code", "_pos", "_around", "_window"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def _named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text of the lines that are asked for."""
+    for batch in batches:
+        out = [
+            (one["_line"], one["_more"], text.split("\n")[one["_pos"]].strip(" \t\r"))
+            for text, wanted in zip(batch.column("_text").to_pylist(), batch.column("_wanted").to_pylist(), strict=True)
+            for one in wanted
+        ]
+        columns = list(zip(*out, strict=True)) or [()] * 3
+        kinds = [pa.int64(), pa.int64(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["_line", "_more", "_text"])
+
+
+# Kinds of variant keys: the window less a character at one place, less a character wherever, itself.
+AT_PLACE, ANYWHERE, ITSELF = 1, 2, 3
 
 
 def _variants(window: Column, around: Column) -> Column:
-    """Keys of all deletion variants: 'S' at one place, 'D' wherever, 'I' the window itself."""
-    places = F.sequence(F.lit(1), F.length(window))
-    less = lambda i: F.concat(F.substring(window, F.lit(1), i - 1), F.substring(window, i + 1, F.length(window)))
-    same = F.transform(places, lambda i: F.struct(F.lit("S").alias("kind"), F.xxhash64(around, i, less(i)).alias("key")))
-    gone = F.transform(places, lambda i: F.struct(F.lit("D").alias("kind"), F.xxhash64(around, F.lit(0), less(i)).alias("key")))
-    itself = F.array(F.struct(F.lit("I").alias("kind"), F.xxhash64(around, F.lit(0), window).alias("key")))
-    some = F.when(F.length(window) > 0, F.concat(same, gone, itself))
-    return F.coalesce(some, itself)
-
-
-def near_lines(lines: DataFrame, classes: DataFrame) -> DataFrame:
-    """``_line`` of the classes that an earlier line within the edit bound replaces."""
-    ends = _ends(lines).select("_end", F.xxhash64("_line").alias("_id"), "_line")
-    shared = ends.groupBy("_end").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high")).where("_low <> _high")
-    alive = ends.join(spread(shared.select("_end")), "_end").select("_line").distinct()
-    alive = checkpointed(alive.join(spread(classes.select("_line", "_first")), "_line"))
-    first = lines.select("_line", "_text", F.struct(F.col("_doc").isNull().alias("none"), F.col("_doc").alias("doc"), F.col("_code").alias("code"), F.col("_pos").alias("pos")).alias("_at"))
-    texts = first.join(spread(alive), "_line").where("_at = _first").select("_line", "_first", "_text").dropDuplicates(["_line"])
-    texts = checkpointed(texts)
-    parts = checkpointed(texts.mapInArrow(_windowed, f"_line binary, _first {alive.schema['_first'].dataType.simpleString()}, _around bigint, _window string"))
-    ids = parts.groupBy("_around").agg(F.min(F.xxhash64("_line")).alias("_low"), F.max(F.xxhash64("_line")).alias("_high"))
-    hit = parts.join(spread(ids.where("_low <> _high").select("_around")), "_around")
-    variants = hit.select("_line", "_first", F.explode(_variants(F.col("_window"), F.col("_around"))).alias("_v")).select(
-        "_line", "_first", "_v.kind", "_v.key"
+    """Keys of all deletion variants of a window."""
+    rest = F.length(window)
+    less = F.transform(
+        F.sequence(F.lit(1), rest),
+        lambda i: F.concat(F.substring(window, F.lit(1), i - 1), F.substring(window, i + 1, rest)),
+    )
+
+    def key(kind: int, place: Column, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.xxhash64(around, place, text).alias("key"))
+
+    gone = F.transform(less, lambda s, i: F.array(key(AT_PLACE, i + 1, s), key(ANYWHERE, F.lit(0), s)))
+    itself = F.array(key(ITSELF, F.lit(0), window))
+    return F.coalesce(F.when(rest > 0, F.concat(F.flatten(gone), itself)), itself)
+
+
+def _asked(texts: DataFrame, lines: DataFrame) -> DataFrame:
+    """``_doc, _code, _text, _wanted``: the texts that hold the first occurrence of some lines."""
+    wanted = lines.select("_first.*", "_line", "_more").groupBy("_doc", "_code").agg(
+        F.collect_set(F.struct("_pos", "_line", "_more")).alias("_wanted")
+    )
+    return texts.join(measured(wanted), ["_doc", "_code"])
+
+
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """Keys that at least two different lines have."""
+    ends = rows.groupBy(key).agg(F.min("_line").alias("_low"), F.max("_line").alias("_high"))
+    return ends.where("_low <> _high").select(key)
+
+
+def near_lines(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """``_line, _more`` of the classes that an earlier line within the edit bound replaces."""
+    keys = ["_line", "_more"]
+    ends = classes.select(*keys, "_first", F.explode(F.array(*ENDS)).alias("_end")).where("_end is not null")
+    alive = ends.join(measured(_shared(ends, "_end")), "_end").select(*keys, "_first").distinct()
+    parts = _asked(texts, alive).mapInArrow(
+        _windowed, "_line bigint, _more bigint, _doc bigint, _code bigint, _pos int, _around bigint, _window string"
+    )
+    hit = parts.join(measured(_shared(parts, "_around")), "_around").select(*keys, _at().alias("_first"), "_around", "_window")
+    # Texts that repeat id and all give the same windows.
+    hit = checkpointed(hit.distinct())
+    variants = hit.select(*keys, "_first", F.explode(_variants(F.col("_window"), F.col("_around"))).alias("_v")).select(
+        *keys, "_first", "_v.kind", "_v.key"
     )
-    mine = F.struct("_first", "_line")
+    variants = variants.join(measured(_shared(variants, "key")), "key")
+    mine = F.struct("_first", *keys)
     least = variants.groupBy("key").agg(
-        F.min(F.when(F.col("kind") == "S", mine)).alias("_S"),
-        F.min(F.when(F.col("kind") == "D", mine)).alias("_D"),
-        F.min(F.when(F.col("kind") == "I", mine)).alias("_I"),
+        F.min(F.when(F.col("kind") == AT_PLACE, mine)).alias("_S"),
+        F.min(F.when(F.col("kind") == ANYWHERE, mine)).alias("_D"),
+        F.min(F.when(F.col("kind") == ITSELF, mine)).alias("_I"),
     )
     # An exchange meets its like; the line itself meets lines less a character, and the reverse.
-    partner = F.when(F.col("kind") == "S", F.col("_S")).when(F.col("kind") == "I", F.col("_D")).otherwise(F.col("_I"))
+    partner = F.when(F.col("kind") == AT_PLACE, F.col("_S")).when(F.col("kind") == ITSELF, F.col("_D")).otherwise(F.col("_I"))
     found = (
         variants.join(spread(least), "key")
         .withColumn("_partner", partner)
         .where("_partner is not null and _partner._first < _first")
-        .groupBy("_line")
-        .agg(F.min("_partner").alias("_partner"))
-        .select("_line", F.col("_partner._line").alias("_by"))
+        .groupBy(*keys)
+        .agg(F.min("_first").alias("_first"), F.min("_partner").alias("_partner"))
     )
-    mine_text = texts.select("_line", F.col("_text").alias("_mine"))
-    their_text = texts.select(F.col("_line").alias("_by"), F.col("_text").alias("_theirs"))
-    pairs = found.join(mine_text, "_line").join(their_text, "_by")
-    long_enough = F.least(F.length("_mine"), F.length("_theirs")) >= NEAR_CHARS
-    return pairs.where(long_enough & F.levenshtein("_mine", "_theirs", EDITS).between(0, EDITS)).select("_line")
+    found = checkpointed(found)
+    both = found.select(*keys, "_first").unionByName(found.select("_partner.*").select(*keys, "_first"))
+    named = _asked(texts, both.distinct()).mapInArrow(_named, "_line bigint, _more bigint, _text string").distinct()
+    named = checkpointed(named)
+    mine_text = named.select(*keys, F.col("_text").alias("_mine"))
+    their_text = named.select(F.col("_line").alias("_by"), F.col("_more").alias("_by_more"), F.col("_text").alias("_theirs"))
+    pairs = found.select(*keys, F.col("_partner._line").alias("_by"), F.col("_partner._more").alias("_by_more"))
+    pairs = pairs.join(mine_text, keys).join(spread(their_text), ["_by", "_by_more"])
+    return pairs.where(F.levenshtein("_mine", "_theirs", EDITS).between(0, EDITS)).select(*keys)
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_doc, _code, _drop``: positions of the lines that go, per document that loses any."""
-    lines = _lines(docs, id_col, text_col)
-    at = F.struct(F.col("_doc").isNull().alias("none"), F.col("_doc").alias("doc"), F.col("_code").alias("code"), F.col("_pos").alias("pos"))
+    texts = _texts(docs, id_col, text_col)
+    keys = ["_line", "_more"]
+    lines = texts.mapInArrow(_with_ends, _LINE + "".join(f", {e} bigint" for e in ENDS))
     classes = checkpointed(
-        lines.select("_line", at.alias("_at")).groupBy("_line").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+        lines.select(*keys, _at().alias("_at"), *ENDS)
+        .groupBy(*keys)
+        .agg(F.min("_at").alias("_first"), (F.min("_at") != F.max("_at")).alias("_again"), *[F.min(e).alias(e) for e in ENDS])
     )
-    near = checkpointed(near_lines(lines, classes))
-    doomed = classes.join(spread(near.withColumn("_near", F.lit(True))), "_line", "left").where(
-        "_near or _first <> _last"
-    )
-    gone = lines.select("_line", "_doc", "_code", "_pos", at.alias("_at")).join(spread(doomed), "_line").where("_near or _at <> _first")
+    near = checkpointed(near_lines(texts, classes))
+    doomed = classes.select(*keys, "_first", "_again").join(spread(near.withColumn("_near", F.lit(True))), keys, "left")
+    doomed = doomed.where("_near or _again")
+    bare = texts.mapInArrow(_without_ends, _LINE)
+    gone = bare.join(spread(doomed), keys).withColumn("_at", _at()).where("_near or _at <> _first")
     return gone.groupBy("_doc", "_code").agg(F.collect_set("_pos").alias("_drop"))
 
 
+@F.arrow_udf("string")
+def _without(texts: pa.Array, drops: pa.Array) -> pa.Array:
+    """The texts less the lines at some positions."""
+    lost = np.flatnonzero(drops.is_valid().to_numpy(zero_copy_only=False))
+    if not len(lost):
+        return texts
+    out = texts.to_pylist()
+    for row in lost:
+        gone = set(drops[int(row)].as_py())
+        out[row] = "\n".join([line for at, line in enumerate(out[row].split("\n")) if at not in gone])
+    return pa.array(out, pa.string())
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_row, n_lines, n_removed, new_text`` for every row, ``_row`` holding the input columns.
 
     Lines end at line feeds; blank lines stay. A null text stays null (no lines), an
-    empty one stays empty. Null ids come after all others in the order of lines.
+    empty one stays empty. Null ids come after all others in the order of lines, as the
+    greatest id.
     Rows that repeat id and text lose the same lines. An empty table gives no rows.
     """
     drops = dropped_lines(docs, id_col, text_col)
     field = F.col("_row").getField
     rows = packed(docs).select(
-        "_row", field(id_col).cast("long").alias("_id"), F.xxhash64(field(text_col).cast("string")).alias("_key")
+        "_row",
+        F.coalesce(field(id_col).cast("long"), F.lit(LAST)).alias("_doc"),
+        F.xxhash64(field(text_col).cast("string")).alias("_code"),
     )
-    joined = rows.join(spread(drops), F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_code")), "left")
+    joined = rows.join(drops, ["_doc", "_code"], "left")
     text = F.col("_row").getField(text_col).cast("string")
-    lines = F.split(text, "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+    feeds = F.length(text) - F.length(F.translate(text, "\n", ""))
     return joined.select(
         "_row",
-        F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
+        F.coalesce(feeds + 1, F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("_drop"), F.lit(0)).alias("n_removed"),
-        F.when(F.col("_drop").isNull(), text).otherwise(kept).alias("new_text"),
+        _without(text, F.col("_drop")).alias("new_text"),
     )

@@ -12,11 +12,24 @@ from pyspark.sql import functions as F
 from rollcall.settings import shared_dir
 
 #: Bytes of text handled at once inside a task. A longer text is handled alone, whole.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
+
+
+#: Rows handed to a Python worker at once: texts are long, and memory has to hold a batch several times.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same frame; its session hands out batches of ``BATCH_ROWS`` rows at most from here on."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -48,7 +61,7 @@ def col(name: str) -> Column:
 
 def packed(df: DataFrame, alias: str = "_row") -> DataFrame:
     """The whole row as one struct, so that added columns cannot clash with its names."""
-    return df.select(F.struct(*[col(c).alias(c) for c in df.columns]).alias(alias))
+    return small_batches(df).select(F.struct(*[col(c).alias(c) for c in df.columns]).alias(alias))
 
 
 def partitions(spark: SparkSession) -> int:

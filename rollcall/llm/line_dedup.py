@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import checkpointed, col, constants, measured, mix, packed, slices, spread, utf8
+from rollcall.llm.common import checkpointed, col, constants, measured, mix, packed, slices, small_batches, spread, utf8
 
 NEAR_CHARS = 16
 WINDOW = 32
@@ -126,7 +126,7 @@ def _without_ends(batches):
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = col(text_col).cast("string")
     doc = F.coalesce(col(id_col).cast("long"), F.lit(LAST))
-    return docs.select(doc.alias("_doc"), F.xxhash64(text).alias("_code"), text.alias("_text"))
+    return small_batches(docs).select(doc.alias("_doc"), F.xxhash64(text).alias("_code"), text.alias("_text"))
 
 
 _LINE = "_doc bigint, _code bigint, _pos int, _line bigint, _more bigint"

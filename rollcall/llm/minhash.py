@@ -36,6 +36,7 @@ from rollcall.llm.common import (
     packed,
     partitions,
     slices,
+    small_batches,
     spread,
     utf8,
     whole_blocks,
@@ -316,7 +317,7 @@ def _between(labelled: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFr
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = col(text_col)
-    return docs.select(
+    return small_batches(docs).select(
         col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_code"), text.cast("string").alias("_text")
     )
 

@@ -28,8 +28,8 @@ from rollcall.llm.common import packed, slices, utf8
 SPACE = "▁"
 #: Stands for a U+2581 of the text itself, which must not turn into a space; no valid text holds it.
 ESCAPED = "\udc81"
-CACHE = 400_000  # stretches whose pieces a task remembers
-BATCH_BYTES = 4_000_000
+CACHE = 250_000  # stretches whose pieces a task remembers
+BATCH_BYTES = 2_000_000
 LONG = 128  # longer stretches are relaxed one by one, with a heap
 NEVER = np.int32(2**31 - 1)
 
@@ -77,7 +77,7 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
         after = np.zeros_like(rank)
         after[:-step] = rank[step:]
         key, step = rank * (len(codes) + 2) + after, step * 2
-    return np.argsort(key)
+    return np.argsort(key).astype(np.int32)
 
 
 def _bound(column: np.ndarray, low: np.ndarray, high: np.ndarray, char: np.ndarray, right: bool) -> np.ndarray:
@@ -106,9 +106,10 @@ def occurrences(codes: np.ndarray, order: np.ndarray, vocabulary: Vocabulary) ->
         high[alive] = _bound(column, first, high[alive], char, right=True)
         low[alive] = first
     counts = np.maximum(high - low, 0)
-    piece = np.repeat(np.arange(len(counts)), counts)
-    within = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return order[low[piece] + within], piece
+    piece = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    at = np.repeat((low - np.cumsum(counts) + counts).astype(np.int32), counts)
+    at += np.arange(len(piece), dtype=np.int32)
+    return order[at], piece
 
 
 def _relax_long(begin: int, end: int, spans: np.ndarray, rank: np.ndarray, depth: int) -> list[int]:

@@ -283,7 +283,6 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return gone.groupBy("_doc", "_code").agg(F.collect_set("_pos").alias("_drop"))
 
 
-@F.arrow_udf("string")
 def _without(texts: pa.Array, drops: pa.Array) -> pa.Array:
     """The texts less the lines at some positions."""
     lost = np.flatnonzero(drops.is_valid().to_numpy(zero_copy_only=False))
@@ -318,5 +317,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "_row",
         F.coalesce(feeds + 1, F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("_drop"), F.lit(0)).alias("n_removed"),
-        _without(text, F.col("_drop")).alias("new_text"),
+        F.arrow_udf("string")(_without)(text, F.col("_drop")).alias("new_text"),
     )

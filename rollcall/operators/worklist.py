@@ -12,29 +12,32 @@ from rollcall.operators.flatten import unnest_envelope
 from rollcall.operators.latest import settled_first
 from rollcall.settings import PENDING
 
-# Budgets of one poll and of one list reload.
-MAX_PROBES = 200
+# Limits of one poll and of one list reload.
 MISSES_TO_STOP = 3
 PENDING_DAYS = 30
 PENDING_LIMIT = 50
-MAX_PAGES = 100
 MAX_DAY_PAGES = 50
 FAILED_SHOWN = 20
 NOT_FOUND_MESSAGE = "Post not found"
 
 
+def _first_absent(numbers: DataFrame, start: DataFrame, name: str) -> DataFrame:
+    """The least number after ``start`` that is not among ``numbers``, as one row."""
+    following = numbers.select((F.col(name) + 1).alias(name)).unionByName(start)
+    return following.join(numbers.select(name), name, "left_anti").agg(F.min(name).alias(name))
+
+
 def id_tail(known: DataFrame, probes: DataFrame, known_id: str, probe_id: str, outcome: str):
     """New ids found right after the highest known one.
 
-    ``outcome`` is ``hit``, ``miss`` or ``error``. Probing covers at most
-    ``MAX_PROBES`` ids and ends at the first error or after three misses in a
-    row, so everything past the filter is that small.
+    ``outcome`` is ``hit``, ``miss`` or ``error``. All landed probes count. The tail
+    ends at the first error, at the first id that was not probed, or after three
+    misses in a row.
     """
-    top = known.agg(F.coalesce(F.max(known_id), F.lit(0)).alias("top"))
-    tail = probes.select(F.col(probe_id).alias("id"), F.col(outcome).alias("outcome"))
+    top = known.agg(F.coalesce(F.max(known_id), F.lit(0)).cast("long").alias("id"))
     start = top.scalar()
-    tail = tail.filter((F.col("id") > start) & (F.col("id") <= start + MAX_PROBES))
-
+    tail = probes.select(F.col(probe_id).cast("long").alias("id"), F.col(outcome).alias("outcome"))
+    tail = tail.filter(F.col("id") > start)
     run_ends = (
         tail.filter(F.col("outcome") == "miss")
         .select(F.explode(F.sequence("id", F.col("id") + MISSES_TO_STOP - 1)).alias("id"))
@@ -44,10 +47,9 @@ def id_tail(known: DataFrame, probes: DataFrame, known_id: str, probe_id: str, o
         .select("id")
     )
     errors = tail.filter(F.col("outcome") == "error").select("id")
-    stop = run_ends.unionByName(errors).agg(F.min("id").alias("stop")).scalar()
-    return tail.filter(
-        (F.col("outcome") == "hit") & (stop.isNull() | (F.col("id") < stop))
-    ).select("id")
+    gap = _first_absent(tail.select("id"), top.select((F.col("id") + 1).alias("id")), "id")
+    stop = run_ends.unionByName(errors).unionByName(gap).agg(F.min("id").alias("stop")).scalar()
+    return tail.filter((F.col("outcome") == "hit") & (F.col("id") < stop)).select("id")
 
 
 def list_states(approvals_raw: DataFrame) -> DataFrame:
@@ -156,43 +158,40 @@ def first_failures(missing: DataFrame, shown: int = FAILED_SHOWN) -> DataFrame:
 def page_cut(items: DataFrame, page: str, created_text: str, as_of: dt.date, days_back: int):
     """Items of a newest-first listing, up to the page that crosses the cutoff.
 
-    Pages past the first gap or the page limit do not count. Fails when page 1
-    holds only items older than the cutoff, which means the order was ignored.
+    Pages past the first gap do not count. Fails when page 1 holds only items older
+    than the cutoff, which means the order was ignored.
     """
     cutoff = F.date_sub(F.lit(as_of), days_back)
     created = safe.loader_date(F.col(created_text))
     pages = (
-        items.filter(F.col(page).between(1, MAX_PAGES))
+        items.filter(F.col(page) >= 1)
         .groupBy(F.col(page).cast("long").alias("p"))
         .agg(F.min(created).alias("oldest"), F.max(created).alias("newest"))
     )
-    # One row per page, so at most MAX_PAGES rows from here on.
     crossed = F.min(F.when(F.col("oldest") < cutoff, F.col("p")))
     unsorted = F.bool_or((F.col("p") == 1) & (F.col("newest") < cutoff))
     bad_order = F.raise_error(F.lit("listing is not newest first: page 1 is older than the cutoff"))
-    last = (
-        pages.agg(
-            crossed.alias("crossed"),
-            F.array_sort(F.collect_list("p")).alias("numbers"),
-            unsorted.alias("unsorted"),
-        )
-        # Pages in a row from page 1 on: those that sit at their own position.
-        .withColumn("unbroken", F.expr("size(filter(numbers, (p, i) -> p = i + 1))"))
-        .select(
-            F.when(F.col("unsorted"), bad_order)
-            .otherwise(F.least("crossed", "unbroken"))
-            .cast("long")
-            .alias("last")
-        )
+    one = items.sparkSession.range(1, 2).toDF("p")
+    unbroken = _first_absent(pages.select("p"), one, "p").select(F.col("p") - 1).scalar()
+    last = pages.agg(crossed.alias("crossed"), unsorted.alias("unsorted")).select(
+        F.when(F.col("unsorted"), bad_order)
+        .otherwise(F.least("crossed", unbroken))
+        .cast("long")
+        .alias("last")
     )
     return items.filter(F.col(page).between(F.lit(1), last.scalar()))
 
 
-def page_completeness(pages: DataFrame, day: str, size: str, total: str) -> DataFrame:
-    """Landed records against the announced total, per day."""
+def page_completeness(
+    pages: DataFrame, day: str, size: str, total: str, max_pages: int = MAX_DAY_PAGES
+) -> DataFrame:
+    """Landed records against the announced total, per day.
+
+    A short day is an ``overflow`` if it has as many pages as a loader fetches.
+    """
     got, want, n = F.sum(size), F.max(total), F.count("*")
     status = (
-        F.when(got >= want, "ok").when(n >= MAX_DAY_PAGES, "overflow").otherwise("short")
+        F.when(got >= want, "ok").when(n >= max_pages, "overflow").otherwise("short")
     )
     return pages.groupBy(day).agg(
         got.cast("long").alias("collected"),

@@ -900,9 +900,9 @@ WHERE (29 - o_orderkey % 30) * 4 + o_orderkey // 30 % 4 + 1 <= (
     FROM orders GROUP BY 1
   )
   SELECT least(
-    (SELECT coalesce(min(p), 100) FROM pages_seen WHERE oldest < 17),
-    (SELECT count(*) FROM (SELECT p, row_number() OVER (ORDER BY p) AS rn FROM pages_seen
-      WHERE p <= 100) WHERE p = rn))
+    (SELECT min(p) FROM pages_seen WHERE oldest < 17),
+    (SELECT count(*) FROM (SELECT p, row_number() OVER (ORDER BY p) AS rn FROM pages_seen)
+      WHERE p = rn))
 )
 """
 

@@ -131,9 +131,11 @@ def company_holidays(timekeep: DataFrame, cfg: Settings) -> DataFrame:
     )
 
 
-def leave_by_day(approvals: DataFrame) -> DataFrame:
+def leave_by_day(approvals: DataFrame, days: DataFrame) -> DataFrame:
     """Leave of a person on a day; the best status speaks for all requests.
 
+    Only leave on the scheduled ``days`` is grouped: requests without a usable
+    person code would make one ever larger group a day that no schedule asks for.
     Every aggregate folds partially before the shuffle. Ties on the status rank
     go to the lowest request id, then type and reason.
     """
@@ -148,6 +150,8 @@ def leave_by_day(approvals: DataFrame) -> DataFrame:
     leave = approvals.filter(
         F.col("approval_type").isin(*LEAVE_TYPES) & F.col("date_record").isNotNull()
     )
+    asked = days.select("personnel_code", F.col("schedule_date").alias("date_record"))
+    leave = leave.join(asked, ["personnel_code", "date_record"], "left_semi")
     return (
         leave.groupBy("personnel_code", "date_record")
         .agg(best.alias("b"), hours.alias("total_leave_hours"), ids.alias("leave_approval_ids"))
@@ -275,7 +279,7 @@ def schedule_daily(
     overtime = on_day(approved_overtime(approvals)).withColumn("overtime", F.lit(True))
     rows = (
         days.join(attendance, key, "left")
-        .join(on_day(leave_by_day(approvals)), key, "left")
+        .join(on_day(leave_by_day(approvals, days)), key, "left")
         .join(overtime, key, "left")
         .join(checkin_rates(timekeep), "personnel_code", "left")
     )

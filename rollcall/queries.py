@@ -739,7 +739,8 @@ def reload_days(spark, sf_dir):
 def stream_upsert(spark, sf_dir):
     folder = work_folder(spark, "stream")
     schema = star.table(spark, sf_dir, "events").schema
-    landed = changes.landed_files(spark, sf_dir, schema, glob="events.parquet")
+    # A glob, so that the table may be one file as well as a folder of files.
+    landed = changes.landed_files(spark, f"{sf_dir}/events.parque[t]", schema, glob="*.parquet")
     rows = landed.select("user_id", event_status().alias("status"), "event_id", "value")
     changes.log_changes(rows, f"{folder}/log", f"{folder}/checkpoint")
     return changes.current_state(

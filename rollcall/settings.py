@@ -52,6 +52,10 @@ class Settings:
     headcount_start: dt.date = dt.date(2020, 1, 1)
     active_statuses: tuple[str, ...] = field(default=("Đang làm việc", "Thử việc", "Thực tập"))
 
+    def __post_init__(self):
+        if self.as_of > self.calendar_end:
+            raise ValueError(f"the calendar ends on {self.calendar_end}, before {self.as_of}")
+
     @property
     def as_of_ts(self) -> dt.datetime:
         return dt.datetime.combine(self.as_of, dt.time(), dt.timezone.utc)

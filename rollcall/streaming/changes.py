@@ -17,10 +17,16 @@ from rollcall.sources import tables
 
 
 def landed_files(
-    spark: SparkSession, folder: str, schema: StructType, fmt: str = "parquet", glob: str = "*"
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    fmt: str = "parquet",
+    glob: str = "*",
+    files: int = 1000,
 ) -> DataFrame:
-    """New files of a landing folder as a stream."""
+    """New files of a landing folder as a stream, ``files`` at most in a batch."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    reader = reader.option("maxFilesPerTrigger", files)
     return reader.format(fmt).load(folder)
 
 

@@ -130,7 +130,9 @@ def test_best_status_speaks_for_the_day(frames):
         request(1, status="Không duyệt", hours=2.0), request(2, status="Đã duyệt", hours=3.0),
         request(10, status="Đã duyệt", hours=None, kind="Đơn vắng mặt"),
     ]
-    row = c.leave_by_day(frames([person("A")], [day("A", "2026-10-01")], requests)[3]).first()
+    approvals = frames([person("A")], [day("A", "2026-10-01")], requests)[3]
+    days = approvals.select("personnel_code", F.col("date_record").alias("schedule_date")).distinct()
+    row = c.leave_by_day(approvals, days).first()
     assert (row.leave_status, row.leave_reason, row.total_leave_hours, row.is_half_day_leave) == (
         "Đã duyệt", "r2", 5.0, True,
     )
@@ -210,3 +212,17 @@ def test_exception_rows_and_kpis(spark, frames):
     ranks = {r.department: (r.ngoai_le_tren_100_nhan_su is None, r.xep_hang_tuan_thu) for r in dept.collect()}
     # No headcount, no rate, first place; equal rates share a place.
     assert ranks == {"P1": (True, 1), "P2": (False, 2), "P3": (False, 2)}
+
+
+def test_leave_of_unknown_people_is_not_grouped(spark):
+    day = dt.date(2024, 1, 5)
+    kinds = c.LEAVE_TYPES
+    requests = [("" if n % 3 else "NV1", day, kinds[0], "Đã duyệt", 4.0, n, "x") for n in range(90)]
+    approvals = spark.createDataFrame(
+        requests,
+        "personnel_code string, date_record date, approval_type string, approval_status string, "
+        "hours_amount double, approval_id bigint, reason string",
+    )
+    days = spark.createDataFrame([("NV1", day)], "personnel_code string, schedule_date date")
+    got = c.leave_by_day(approvals, days).collect()
+    assert [r.personnel_code for r in got] == ["NV1"] and len(got[0].leave_approval_ids.split(",")) == 30

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from rollcall import queries
 from rollcall.operators import history, quality, worklist
 from rollcall.plans import pipeline
 from rollcall.settings import Settings, shared_dir
@@ -95,9 +96,10 @@ def test_id_tail_against_a_loop(spark):
     rnd = random.Random(3)
     for _ in range(6):
         probes = [(100 + n, rnd.choices(["hit", "miss", "error"], [5, 5, 0.1])[0]) for n in range(1, 260)]
+        probes = [p for p in probes if p[0] != rnd.randrange(101, 500)]
         want, misses = [], 0
-        for i, outcome in probes[:200]:
-            if outcome == "error":
+        for at, (i, outcome) in enumerate(probes):
+            if outcome == "error" or i != 101 + at:
                 break
             misses = 0 if outcome == "hit" else misses + 1
             if outcome == "hit":
@@ -110,6 +112,21 @@ def test_id_tail_against_a_loop(spark):
         assert sorted(r[0] for r in got.collect()) == want
 
 
+def test_id_tail_has_no_budget_and_ends_at_a_gap(spark):
+    known = frame(spark, [(1,)], "id int")
+    hits = frame(spark, [(n, "hit") for n in range(2, 502)], "id int, outcome string")
+    assert worklist.id_tail(known, hits, "id", "id", "outcome").count() == 500
+    gap = frame(spark, [(2, "hit"), (3, "miss"), (6, "hit")], "id int, outcome string")
+    assert rows(worklist.id_tail(known, gap, "id", "id", "outcome")) == [(2,)]
+    none = frame(spark, [(6, "hit")], "id int, outcome string")
+    assert worklist.id_tail(known, none, "id", "id", "outcome").count() == 0
+
+
+def test_page_cut_takes_every_page(spark):
+    df = frame(spark, [(n // 10 + 1, "09/10/2026 11:19") for n in range(1200)], "page int, created string")
+    assert worklist.page_cut(df, "page", "created", dt.date(2026, 10, 9), 30).count() == 1200
+
+
 @pytest.mark.parametrize(
     "pages, taken",
     [
@@ -253,3 +270,16 @@ def test_run_writes_marts_and_skips_without_the_sheet(spark, tmp_path):
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert Settings(as_of=dt.date(2026, 1, 1)).as_of_ts.tzinfo is UTC
+
+
+def test_stream_reads_a_table_of_many_files(spark, tmp_path):
+    one = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    one.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    got = queries.QUERIES["stream_upsert"](spark, str(tmp_path))
+    want = queries.QUERIES["stream_upsert"](spark, "/root/testdata/sf0.001")
+    assert rows(got) == rows(want) and got.count() > 0
+
+
+def test_calendar_must_reach_today():
+    with pytest.raises(ValueError, match="calendar ends"):
+        Settings(as_of=dt.date(2031, 1, 1))

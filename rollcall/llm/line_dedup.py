@@ -92,7 +92,7 @@ def _end_lengths(size: np.ndarray) -> list[np.ndarray]:
 ENDS = ("_e0", "_e1", "_e2", "_e3")
 
 
-def _hashed(batches: Iterable[pa.RecordBatch], ends: bool) -> Iterator[pa.RecordBatch]:
+def _hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column("_text"))
         for lo, hi in slices(data, offsets):
@@ -102,27 +102,18 @@ def _hashed(batches: Iterable[pa.RecordBatch], ends: bool) -> Iterator[pa.Record
             at = pa.array(row + lo)
             columns = [batch.column("_doc").take(at), batch.column("_code").take(at), pa.array(position.astype(np.int32))]
             columns += [pa.array(h(begin, end).view(np.int64)) for h in hashers]
-            if ends:
-                size = end - begin
-                long, short = _end_lengths(size)
-                for k, h in enumerate((long, long, short, short)):
-                    used = (size >= NEAR_CHARS) & ((k < 2) | (short != long))
-                    h = np.minimum(h, size)
-                    key = hashers[0](begin, begin + h) if k % 2 == 0 else hashers[0](end - h, end)
-                    key = mix(key ^ (h.astype(np.uint64) * _SIDE[k % 2]))
-                    columns.append(pa.array(key.view(np.int64), mask=~used))
-            names = ["_doc", "_code", "_pos", "_line", "_more", *(ENDS if ends else ())]
+            size = end - begin
+            long, short = _end_lengths(size)
+            for k, h in enumerate((long, long, short, short)):
+                used = (size >= NEAR_CHARS) & ((k < 2) | (short != long))
+                h = np.minimum(h, size)
+                key = hashers[0](begin, begin + h) if k % 2 == 0 else hashers[0](end - h, end)
+                key = mix(key ^ (h.astype(np.uint64) * _SIDE[k % 2]))
+                columns.append(pa.array(key.view(np.int64), mask=~used))
+            names = ["_doc", "_code", "_pos", "_line", "_more", *ENDS]
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _with_ends(batches):
-    return _hashed(batches, True)
-
-
-def _without_ends(batches):
-    return _hashed(batches, False)
-
-
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = col(text_col).cast("string")
     doc = F.coalesce(col(id_col).cast("long"), F.lit(LAST))
@@ -269,7 +260,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``_doc, _code, _drop``: positions of the lines that go, per document that loses any."""
     texts = _texts(docs, id_col, text_col)
     keys = ["_line", "_more"]
-    lines = texts.mapInArrow(_with_ends, _LINE + "".join(f", {e} bigint" for e in ENDS))
+    lines = checkpointed(texts.mapInArrow(_hashed, _LINE + "".join(f", {e} bigint" for e in ENDS)))
     classes = checkpointed(
         lines.select(*keys, _at().alias("_at"), *ENDS)
         .groupBy(*keys)
@@ -278,8 +269,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near = checkpointed(near_lines(texts, classes))
     doomed = classes.select(*keys, "_first", "_again").join(spread(near.withColumn("_near", F.lit(True))), keys, "left")
     doomed = doomed.where("_near or _again")
-    bare = texts.mapInArrow(_without_ends, _LINE)
-    gone = bare.join(spread(doomed), keys).withColumn("_at", _at()).where("_near or _at <> _first")
+    gone = lines.drop(*ENDS).join(spread(doomed), keys).withColumn("_at", _at()).where("_near or _at <> _first")
     return gone.groupBy("_doc", "_code").agg(F.collect_set("_pos").alias("_drop"))
 
 

@@ -302,10 +302,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     joined = rows.join(drops, ["_doc", "_code"], "left")
     text = F.col("_row").getField(text_col).cast("string")
-    feeds = F.length(text) - F.length(F.translate(text, "\n", ""))
+    # Only texts that lose a line are handed to Python; counting the feeds is a search of bytes.
+    losing = F.when(F.col("_drop").isNotNull(), text)
+    feeds = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     return joined.select(
         "_row",
         F.coalesce(feeds + 1, F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("_drop"), F.lit(0)).alias("n_removed"),
-        F.arrow_udf("string")(_without)(text, F.col("_drop")).alias("new_text"),
+        F.coalesce(F.arrow_udf("string")(_without)(losing, F.col("_drop")), text).alias("new_text"),
     )

@@ -22,6 +22,7 @@ The earliest partner found is then verified by its edit distance.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,7 +31,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import checkpointed, col, constants, measured, mix, packed, slices, small_batches, spread, utf8
+from rollcall.llm.common import (
+    SLICE_BYTES,
+    checkpointed,
+    col,
+    constants,
+    measured,
+    mix,
+    packed,
+    slices,
+    small_batches,
+    spread,
+    utf8,
+)
 
 NEAR_CHARS = 16
 WINDOW = 32
@@ -46,20 +59,30 @@ _SIDE = constants(23, 2)
 _SLACK = 4
 
 
-def _powers(base: int, count: int) -> np.ndarray:
+def _computed_powers(base: int, count: int) -> np.ndarray:
     steps = np.full(count, np.uint64(base))
     steps[0] = 1
     return np.cumprod(steps)
 
 
+@functools.cache
+def _first_powers(base: int) -> np.ndarray:
+    """Powers for all slices but those of a single longer text."""
+    return _computed_powers(base, SLICE_BYTES + 1)
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    return _first_powers(base)[:count] if count <= SLICE_BYTES + 1 else _computed_powers(base, count)
+
+
 class _Hasher:
     """Hashes of any stretches of some bytes, from one running sum (arithmetic modulo 2**64)."""
 
-    def __init__(self, data: np.ndarray, base: int):
+    def __init__(self, values: np.ndarray, base: int):
         inverse = pow(base, -1, 1 << 64)
-        self.back = _powers(inverse, len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_VALUES[data] * _powers(base, len(data) + 1)[:-1], out=self.sums[1:])
+        self.back = _powers(inverse, len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * _powers(base, len(values) + 1)[:-1], out=self.sums[1:])
 
     def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[begin]) * self.back[begin] + (end - begin).astype(np.uint64))
@@ -98,7 +121,8 @@ def _hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in slices(data, offsets):
             part = data[offsets[lo] : offsets[hi]]
             row, position, begin, end = line_spans(part, offsets[lo : hi + 1] - offsets[lo])
-            hashers = [_Hasher(part, base) for base in _BASES]
+            values = _VALUES[part]
+            hashers = [_Hasher(values, base) for base in _BASES]
             at = pa.array(row + lo)
             columns = [batch.column("_doc").take(at), batch.column("_code").take(at), pa.array(position.astype(np.int32))]
             columns += [pa.array(h(begin, end).view(np.int64)) for h in hashers]

@@ -6,7 +6,8 @@ weight over its tokens, scaled to at most one, is the probability with which its
 documents are sampled. Sampling goes by a hash of the document id, so it can be
 repeated. All of it is DataFrame operations: grouped sums over all documents, and
 joins of sums with the much smaller table of cells, dealt anew so that Spark may
-split a hot source (or broadcast a table it has found to be small).
+split a hot source. The probabilities of the cells are counted before they meet the
+texts: few of them are broadcast, so no text moves; more are dealt by key.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import checkpointed, col, packed, spread
+from rollcall.llm.common import checkpointed, col, measured, packed, spread
 
 ROUNDS = 6
 SEED = 11
@@ -129,8 +130,8 @@ def sample(
     raked = rake(cells, targets)
     ratio = raked.select(*MARGINS, F.try_divide(F.col("weight"), F.col("tokens")).alias("_ratio"))
     top = ratio.agg(F.max("_ratio").alias("_top")).select("_top").scalar()
-    rates = checkpointed(ratio.select(*MARGINS, F.coalesce(F.try_divide(F.col("_ratio"), top), F.lit(0.0)).alias("_rate")))
-    rated = rows.join(spread(rates), list(MARGINS), "left")
+    rates = ratio.select(*MARGINS, F.coalesce(F.try_divide(F.col("_ratio"), top), F.lit(0.0)).alias("_rate"))
+    rated = rows.join(measured(rates), list(MARGINS), "left")
     probability = F.when(F.col("tokens") > 0, F.coalesce("_rate", F.lit(0.0))).otherwise(F.lit(0.0))
     out = rated.select("_row", "topic", "tokens", probability.alias("probability"))
     return out.withColumn("sampled", uniform(F.col("_row").getField(id_col), seed) < F.col("probability"))

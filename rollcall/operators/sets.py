@@ -8,6 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def presence(ids: DataFrame, key: str) -> tuple[Column, Column]:
+    """Whether there are any rows, and whether a key among them is NULL, from one pass."""
+    facts = F.struct((F.count("*") > 0).alias("any"), (F.count_if(F.col(key).isNull()) > 0).alias("unknown"))
+    seen = ids.agg(facts.alias("seen")).select("seen").scalar()
+    return seen.getField("any"), seen.getField("unknown")
+
+
 def not_in(df: DataFrame, key: str, ids: DataFrame, id_key: str) -> DataFrame:
     """``key NOT IN (SELECT id_key ...)``.
 
@@ -15,8 +22,7 @@ def not_in(df: DataFrame, key: str, ids: DataFrame, id_key: str) -> DataFrame:
     every row out, and a row with NULL key is in only when there are no ids.
     Unlike the SQL form, no side has to fit in one executor.
     """
-    some_null = ids.filter(F.col(id_key).isNull()).exists()
-    some_id = ids.exists()
+    some_id, some_null = presence(ids, id_key)
     found = ids.select(F.col(id_key).alias("_id"))
     rest = df.join(found, F.col(key) == F.col("_id"), "left_anti")
     return rest.filter(~some_null & (F.col(key).isNotNull() | ~some_id))

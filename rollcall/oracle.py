@@ -596,7 +596,8 @@ SELECT CAST(d AS VARCHAR) AS date, count(*) AS events,
   'Tháng ' || month(d) AS month_name,
   CASE WHEN isodow(d) = 7 THEN 'Chủ nhật' ELSE 'Thứ ' || (isodow(d) + 1) END AS day_name,
   isodow(d) < 6 AS is_weekday
-FROM (SELECT CAST(ts AS DATE) AS d FROM events)
+FROM (SELECT CAST(ts AS DATE) AS d FROM events
+  UNION ALL SELECT CAST(o_orderdate + INTERVAL 28 YEAR AS DATE) FROM orders)
 WHERE d BETWEEN DATE '2020-01-01' AND DATE '2030-12-31' GROUP BY d
 """
 

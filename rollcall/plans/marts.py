@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rollcall.functions import jsonx, safe
 from rollcall.operators.flatten import two_level
 from rollcall.operators.latest import first_by
+from rollcall.operators.sets import presence
 from rollcall.operators.spine import month_headcount
 from rollcall.settings import (
     BLOCK_OFFICE,
@@ -144,25 +145,21 @@ def tenure_band(months: Column) -> Column:
 def missing_people(profiles: DataFrame, approvals: DataFrame, timekeep: DataFrame) -> DataFrame:
     """Codes seen only in requests (with their greatest name) or only in attendance.
 
-    Both fact sides are reduced to one row per code, map side first, before any
-    join, so the joins run on people rather than on facts.
+    Both fact sides are reduced together to one row per code, map side first, before
+    the one join, so the join runs on people rather than on facts.
     """
     known = profiles.filter(F.col("code").isNotNull()).select("code").distinct()
-    by_request = (
-        approvals.filter(F.col("personnel_code").isNotNull())
-        .groupBy(F.col("personnel_code").alias("code"))
-        .agg(F.max("personnel_name").alias("name"))
+    code = F.col("personnel_code").alias("code")
+    by_request = approvals.select(code, F.col("personnel_name").alias("name"), F.lit(True).alias("requested"))
+    by_day = timekeep.select(code, F.lit(None).cast("string").alias("name"), F.lit(False).alias("requested"))
+    people = (
+        by_request.unionByName(by_day)
+        .filter(F.col("code").isNotNull())
+        .groupBy("code")
+        .agg(F.max("name").alias("name"), F.bool_or("requested").alias("requested"))
     )
-    by_day = (
-        timekeep.filter(F.col("personnel_code").isNotNull())
-        .select(F.col("personnel_code").alias("code"))
-        .distinct()
-    )
-    requested = by_request.join(known, "code", "left_anti")
-    clocked = by_day.join(known, "code", "left_anti").join(
-        by_request.select("code"), "code", "left_anti"
-    )
-    return requested.unionByName(clocked.withColumn("name", F.lit(UNKNOWN)))
+    name = F.when(F.col("requested"), F.col("name")).otherwise(F.lit(UNKNOWN))
+    return people.join(known, "code", "left_anti").select("code", name.alias("name"))
 
 
 def mart_profiles(
@@ -342,7 +339,7 @@ def mart_approvals(
     Both inputs are unique per id. Documents are flattened where they lie, each
     with one row for the document itself, and joined to the list once; that join
     yields the status of every event and shows which requests have no details.
-    ``details`` is read three times, so pass a written table where it is large.
+    ``details`` is read twice, so pass a written table where it is large.
     """
     has_detail = F.lit(False)
     for c in DETAIL_KINDS.values():
@@ -352,8 +349,7 @@ def mart_approvals(
     # "not in the documents" unknown for every listed request, and a listed one
     # is only known to be absent when no document has details at all.
     detailed = details.filter(has_detail)
-    no_unknown = ~detailed.filter(F.col("ID").isNull()).exists()
-    none_detailed = ~detailed.exists()
+    some_detailed, unknown = presence(detailed, "ID")
 
     known = F.col("ID").isNotNull()
     documents = details.select(
@@ -375,8 +371,8 @@ def mart_approvals(
     # A row is an event of a document, or else stands for a whole request. The
     # latter counts when it is listed and its document has no details.
     whole = F.col("kind").isNull()
-    unmatchable = F.col("l_ID").isNull() & ~none_detailed
-    other = F.col("listed") & ~F.coalesce("detailed", F.lit(False)) & ~unmatchable & no_unknown
+    unmatchable = F.col("l_ID").isNull() & some_detailed
+    other = F.col("listed") & ~F.coalesce("detailed", F.lit(False)) & ~unmatchable & ~unknown
     events = events.filter(~whole | other)
 
     instead = lambda column, value: F.when(whole, value).otherwise(F.col(column))

@@ -79,6 +79,25 @@ def test_mixing_hits_its_targets(spark):
     assert all(mixing.residual(raked, targets[m], m) < 1e-6 for m in mixing.MARGINS)
 
 
+def test_mixing_budget_survives_a_tiny_source(spark):
+    text = "word " * 50
+    rows = [(k, text, "l" + str(k % 2), "s" + str(k % 7 % 3)) for k in range(400)]
+    rows += [(1000, "a few words", "rare", "tiny"), (1001, text, "l0", "tiny2")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    out = mixing.sample(docs, budget=0.5).select("_row.*", "tokens", "probability", "sampled").collect()
+    total = sum(r.tokens for r in out)
+    assert abs(sum(r.tokens * r.probability for r in out) / total - 0.5) < 0.01
+    assert all(r.probability > 0.99 for r in out if r.doc_id >= 1000)
+    assert 160 < sum(r.sampled for r in out) < 240
+    # Margins: sources s0..s2 stand to each other as their tempered shares.
+    kept, there = ({s: sum(f(r) for r in out if r.source == s) for s in ("s0", "s1", "s2")} for f in (lambda r: r.tokens * r.probability, lambda r: r.tokens))
+    assert abs(kept["s0"] / kept["s2"] - (there["s0"] / there["s2"]) ** 0.7) < 0.05
+    whole = mixing.sample(docs, budget=1.0).select("tokens", "probability").collect()
+    assert all(r.probability > 0.999 for r in whole)
+    none = mixing.sample(docs, {"lang": {"l0": 1.0}}, budget=0.9).select("_row.lang", "probability").collect()
+    assert all((r.probability > 0.999) == (r.lang == "l0") for r in none)
+
+
 VECTORS = "vec_id bigint, embedding array<double>, kept string"
 
 

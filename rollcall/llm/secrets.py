@@ -44,8 +44,12 @@ PATTERNS = {
     "web_token": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*",
     "private_key": r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END (?:[A-Z]+ )*PRIVATE KEY-----)?",
     "assigned": r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|auth|credential|access[_-]?key|bearer)[A-Za-z_]{0,12}"
-    r"[\"']?\s{0,3}(?:[:=]|=>|:=|\s)\s{0,3}[\"']?(?P<value>[^\s\"',;<>()\[\]{}|]{6,})",
+    r"[\"']?\s{0,3}(?:[:=]|=>|:=|\s)\s{0,3}[\"']?(?:(?i:basic|ntlm|hawk|dpop|hmac)\s{1,3})?(?P<value>[^\s\"',;<>()\[\]{}|]{6})",
 }
+#: The value goes on to here.
+_STOP = re.compile(r"[\s\"',;<>()\[\]{}|]|\Z")
+#: Schemes of six letters and more that may stand before the value of a header; names such as Bearer are found as names.
+_SCHEME = re.compile(r"(?i:digest|negotiate|mutual|sso-key|signature)\s{1,3}(?P<value>[^\s\"',;<>()\[\]{}|]{6})")
 KINDS = tuple(PATTERNS)
 _CANDIDATE = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PATTERNS.items()))
 #: A text without any of these has no candidate; they are looked for first.
@@ -74,11 +78,48 @@ class Finding:
 
 
 def candidates(text: str, source: str = "") -> Iterator[Finding]:
-    """Every candidate of a text, whole text, left to right."""
-    for found in _CANDIDATE.finditer(text):
+    """Every candidate of a text, whole text, by where its match begins.
+
+    Candidates may overlap: the search goes on at the beginning of an assigned value, so
+    that a name or a scheme word taken as the value of another name ("Authorization:
+    Bearer <key>", "secret password = <key>") still gives out its own value. Of
+    several assigned values within one run of characters the first is the whole run,
+    and the others reach to the next name, so that their lengths add up to the run's.
+    """
+
+    def finding(kind: str, start: int, end: int) -> Finding:
+        return Finding(kind, start, text[start:end], text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT], source)
+
+    at, run, last, seen = 0, -1, -1, (-1, -1)
+    while found := _CANDIDATE.search(text, at):
         kind = found.lastgroup if found.lastgroup != "value" else "assigned"
-        start, end = found.span("value") if kind == "assigned" else found.span()
-        yield Finding(kind, start, text[start:end], text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT], source)
+        inner = kind == "assigned" and found.start("value") < run
+        if last >= 0 and (kind == "assigned" or found.start() >= run):
+            end = min(run, found.start()) if inner else run
+            if end - last >= 6:
+                yield finding("assigned", last, end)
+                seen = last, end
+            last = -1
+        if kind != "assigned":
+            start, end = found.span()
+            if (start, end) != seen:
+                yield finding(kind, start, end)
+            # A key without its end mark runs on into the words behind it.
+            cut_off = kind == "private_key" and "-----END" not in text[max(start, end - 80) : end]
+            at = start + len("-----BEGIN") if cut_off else end
+            continue
+        at = start = found.start("value")
+        if inner:
+            last = start
+            continue
+        run = _STOP.search(text, start).start()
+        seen = start, run
+        yield finding("assigned", start, run)
+        if scheme := _SCHEME.match(text, start):
+            behind = scheme.start("value")
+            yield finding("assigned", behind, _STOP.search(text, behind).start())
+    if last >= 0:
+        yield finding("assigned", last, run)
 
 
 def dictionary(texts: list[str]) -> frozenset[str]:

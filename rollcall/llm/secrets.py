@@ -10,6 +10,11 @@ The labelled findings are made by a stated rule from a bounded sample of texts
 (``TRAINING_TEXTS``): random keys put behind telling words are secrets; words of
 the corpus, placeholders, digests named as such, numbers and paths are not. Other
 labelled findings can be given.
+
+The dictionary is counted over all texts: words of four letters and more in two texts
+or more, by a grouped count. Only those of its words that stand within a candidate
+matter, so the letter stretches of all candidates are joined to the counted table by
+key. Up to ``DICTIONARY_WORDS`` matches go to the scanner; more are joined to their texts.
 """
 
 from __future__ import annotations
@@ -18,17 +23,19 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import col, packed, slices, utf8
+from rollcall.llm.common import checkpointed, col, packed, slices, small_batches, utf8
 
 TRAINING_TEXTS = 300
 FINDINGS = 4000
+#: Dictionary words within candidates that every scanner may hold (some 20 MB); counted first.
+DICTIONARY_WORDS = 200_000
 TREES, DEPTH, LEAST = 30, 9, 3
 THRESHOLD = 0.5
 CONTEXT = 40  # characters before and after a candidate
@@ -54,6 +61,19 @@ KINDS = tuple(PATTERNS)
 _CANDIDATE = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PATTERNS.items()))
 #: A text without any of these has no candidate; they are looked for first.
 _HINT = re.compile(r"AKIA|ASIA|gh[pousr]_|xox[abprs]-|[spr]k[-_]|eyJ|-----BEGIN|(?i:pass|pwd|secret|token|api[_-]?key|auth|credential|access[_-]?key|bearer)")
+_EXACT = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "sk-", "sk_", "pk-", "pk_", "rk-", "rk_", "eyJ", "-----BEGIN")
+_FOLDED = ("pass", "pwd", "secret", "token", "apikey", "api_key", "api-key", "auth", "credential", "accesskey", "access_key", "access-key", "bearer")
+
+
+def hinted(text: str) -> bool:
+    """Whether ``_HINT`` may be found: searches for fixed strings, many times faster than the pattern."""
+    folded = text.casefold()
+    if not text.isascii():
+        folded = folded.replace("\u0131", "i").replace("i\u0307", "i")  # equal to i where case is ignored
+    some = any(word in folded for word in _FOLDED) or any(word in text for word in _EXACT)
+    return some and _HINT.search(text) is not None
+
+
 PLACEHOLDERS = (
     "changeme", "example", "your_token_here", "xxxxxxxxxxxx", "password", "placeholder", "************", "undefined",
     "required", "<redacted>", "0000000000", "1234567890", "abcdefghijkl", "${SECRET}", "os.environ", "getenv(TOKEN)",
@@ -122,13 +142,53 @@ def candidates(text: str, source: str = "") -> Iterator[Finding]:
         yield finding("assigned", last, run)
 
 
-def dictionary(texts: list[str]) -> frozenset[str]:
-    """Words of four letters and more that stand in at least two of the texts."""
-    seen: dict[str, int] = {}
-    for text in texts:
-        for word in {w for w in re.findall(r"[^\W\d_]{4,}", text.lower())}:
-            seen[word] = seen.get(word, 0) + 1
-    return frozenset(w for w, n in seen.items() if n > 1) | {"password", "token", "secret", "example", "change", "your", "here", "test"}
+#: Dictionary words in any corpus.
+COMMON = frozenset({"password", "token", "secret", "example", "change", "your", "here", "test"})
+
+
+def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``_word``: words of four letters and more, in lower case, that stand in at least two of all the texts."""
+    text = F.lower(col(text_col).cast("string"))
+    words = F.array_distinct(F.regexp_extract_all(text, F.lit(r"\p{L}{4,}"), F.lit(0)))
+    counted = docs.select(F.explode(words).alias("_word")).groupBy("_word").agg(F.count("*").alias("_n"))
+    return checkpointed(counted.where("_n > 1").select("_word"))
+
+
+def stretches(value: str, lengths: list[int]) -> Iterator[str]:
+    """All stretches of letters of the value that have one of some lengths (ascending), in lower case."""
+    for run in re.findall(r"[^\W\d_]{4,}", value.lower()):
+        for n in lengths:
+            if n > len(run):
+                break
+            for at in range(len(run) - n + 1):
+                yield run[at : at + n]
+
+
+def _stretched(lengths: list[int], most: int = 20_000):
+    """For mapInArrow: the stretches of all candidates, by the hash of their text."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(found: list[tuple[int, str]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([w for _, w in found], pa.string())], ["_code", "_word"])
+
+        held: set[tuple[int, str]] = set()
+        for batch in batches:
+            _, offsets = utf8(batch.column("_text"))
+            for lo, hi in slices(offsets, offsets):
+                part = batch.slice(lo, hi - lo)
+                for code, text in zip(part.column("_code").to_pylist(), part.column("_text").to_pylist(), strict=True):
+                    if not text or not hinted(text):
+                        continue
+                    for one in candidates(text):
+                        for word in stretches(one.value, lengths):
+                            held.add((code, word))
+                            if len(held) >= most:
+                                yield rows(list(held))
+                                held.clear()
+        if held:
+            yield rows(list(held))
+
+    return split
 
 
 def coverage(value: str, words: frozenset[str]) -> float:
@@ -257,52 +317,80 @@ def labelled_findings(texts: list[str], count: int = FINDINGS, seed: int = SEED)
 
 @dataclass
 class Scanner:
+    """``by_text`` (``_code, _words``) has the dictionary words within a text's candidates where ``words`` has not all."""
+
     forest: Forest
     words: frozenset[str]
+    by_text: DataFrame | None = None
 
-    def scan(self, text: str, source: str = "") -> list[dict]:
-        if not _HINT.search(text):
+    def scan(self, text: str, source: str = "", words: list[str] | None = None) -> list[dict]:
+        if not hinted(text):
             return []
         found = list(candidates(text, source))
         if not found:
             return []
-        chances = self.forest(np.array([describe(f, self.words) for f in found]))
+        known = self.words if words is None else COMMON.union(words)
+        chances = self.forest(np.array([describe(f, known) for f in found]))
         return [
             {"kind": f.kind, "start": f.start, "length": len(f.value), "chance": round(float(p), 6), "secret": bool(p >= THRESHOLD)}
             for f, p in zip(found, chances, strict=True)
         ]
 
 
-def fit(texts: list[str], findings: list[tuple[Finding, int]] | None = None) -> Scanner:
-    words = dictionary(texts)
-    rows = findings or labelled_findings(texts)
+def fit(rows: list[tuple[Finding, int]], words: frozenset[str]) -> Scanner:
     return Scanner(Forest(np.array([describe(f, words) for f, _ in rows]), np.array([float(y) for _, y in rows])), words)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = TRAINING_TEXTS) -> Scanner:
-    """A scanner whose dictionary and findings use ``sample`` texts at most (least hash of the id)."""
-    rows = docs.select(F.xxhash64(col(id_col)).alias("_hash"), col(text_col).cast("string").alias("_text"))
-    texts = rows.where(F.col("_text").isNotNull()).orderBy("_hash", "_text").limit(sample).select("_text").collect()
-    return fit([t for (t,) in texts])
+def train(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    sample: int = TRAINING_TEXTS,
+    findings: list[tuple[Finding, int]] | None = None,
+    at_once: int = DICTIONARY_WORDS,
+) -> Scanner:
+    """A scanner with the dictionary of all texts; its labelled findings use ``sample`` texts at most (least hash of the id)."""
+    spark, text = docs.sparkSession, col(text_col).cast("string")
+    rows = docs.select(F.xxhash64(col(id_col)).alias("_hash"), text.alias("_text")).where(F.col("_text").isNotNull())
+    texts = [t for (t,) in rows.orderBy("_hash", "_text").limit(sample).select("_text").collect()]
+    labelled = findings or labelled_findings(texts)
+    table = dictionary(docs, text_col)
+    lengths = sorted(n for (n,) in table.select(F.length("_word")).distinct().collect())
+    mine = {w for one, _ in labelled for w in stretches(one.value, lengths)}
+    mine |= {w for t in texts for w in re.findall(r"[^\W\d_]{4,}", t.lower())}
+    asked = spark.createDataFrame([(w,) for w in sorted(mine)], "_word string")
+    base = [w for (w,) in table.join(asked, "_word", "left_semi").collect()]
+    scanner = fit(labelled, COMMON.union(base))
+    coded = small_batches(docs).select(F.xxhash64(text).alias("_code"), text.alias("_text"))
+    parts = coded.mapInArrow(_stretched(lengths), "_code bigint, _word string").distinct()
+    known = checkpointed(parts.join(table, "_word"))
+    words = known.select("_word").distinct()
+    if words.count() <= at_once:
+        return replace(scanner, words=scanner.words.union(w for (w,) in words.collect()))
+    return replace(scanner, by_text=known.groupBy("_code").agg(F.collect_set("_word").alias("_words")))
 
 
 FOUND = "array<struct<kind:string,start:bigint,length:bigint,chance:double,secret:boolean>>"
 
 
 def finder(scanner: Scanner):
-    """Column function: text, source -> all candidates with their chance to be a secret."""
+    """Column function: text, source, words -> all candidates with their chance to be a secret.
+
+    ``words`` are the dictionary words of the text's candidates; null for those that the scanner has.
+    """
+    scanner = replace(scanner, by_text=None)
     kind = pa.list_(
         pa.struct([("kind", pa.string()), ("start", pa.int64()), ("length", pa.int64()), ("chance", pa.float64()), ("secret", pa.bool_())])
     )
 
     @F.arrow_udf(FOUND)
-    def find(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, sources in batches:
+    def find(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, sources, words in batches:
             _, offsets = utf8(texts)
             out: list[list] = []
             for lo, hi in slices(offsets, offsets):
-                part = texts.slice(lo, hi - lo).to_pylist()
-                out += [scanner.scan(t or "", s or "") for t, s in zip(part, sources.slice(lo, hi - lo).to_pylist(), strict=True)]
+                part = zip(*(a.slice(lo, hi - lo).to_pylist() for a in (texts, sources, words)), strict=True)
+                out += [scanner.scan(t or "", s or "", w) for t, s, w in part]
             yield pa.array(out, kind)
 
     return find
@@ -317,6 +405,14 @@ def findings(docs: DataFrame, scanner: Scanner, text_col: str = "text", source_c
     """
     field = F.col("_row").getField
     rows = packed(docs)
-    return rows.select(
-        "_row", finder(scanner)(field(text_col).cast("string"), field(source_col).cast("string")).alias("found")
-    )
+    text = field(text_col).cast("string")
+    words = F.lit(None).cast("array<string>")
+    if scanner.by_text is None:
+        rows = rows.withColumn("_words", words)
+    else:
+        # Only texts that may have candidates meet the words; the others stay in place.
+        hint = F.coalesce(text.rlike(_HINT.pattern.replace("(?i:", "(?iu:")), F.lit(False))
+        some = rows.where(hint).withColumn("_code", F.xxhash64(text)).join(scanner.by_text, "_code", "left")
+        some = some.select("_row", F.coalesce("_words", F.array().cast("array<string>")).alias("_words"))
+        rows = some.unionByName(rows.where(~hint).withColumn("_words", words))
+    return rows.select("_row", finder(scanner)(text, field(source_col).cast("string"), F.col("_words")).alias("found"))

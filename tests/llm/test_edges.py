@@ -203,3 +203,17 @@ def test_names_and_schemes_do_not_use_up_the_secret(docs):
     scanner = secrets.train(docs.sparkSession.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     for text in ("Authorization: Bearer {}", "auth token: {}", 'the secret password = "{}"'):
         assert [f["secret"] for f in scanner.scan(text.format(key))] == [False, True], text
+
+
+def test_dictionary_counts_all_texts(spark):
+    rows = [(k, "plain words of no note " + str(k)) for k in range(40)]
+    rows += [(100, "grundstein gelegt"), (101, "der grundstein"), (102, "einmalwort"), (103, "password = grundsteingelegt"), (104, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("source", F.lit("a"))
+    assert {"grundstein", "plain"} <= (found := {r._word for r in secrets.dictionary(docs).collect()}) and "einmalwort" not in found
+    # Two texts are enough for the findings, the dictionary has the words of the others too.
+    few = secrets.train(docs, sample=2)
+    assert "grundstein" in few.words and few.by_text is None
+    joined = secrets.train(docs, sample=2, at_once=0)
+    assert joined.by_text is not None
+    one, other = ([(r.doc_id, r.found) for r in secrets.findings(docs, s).select("_row.doc_id", "found").orderBy("doc_id").collect()] for s in (few, joined))
+    assert one == other and len(one) == len(rows) and [k for k, f in one if f] == [103]

@@ -191,18 +191,38 @@ def _stretched(lengths: list[int], most: int = 20_000):
     return split
 
 
+HEAD = 16
+
+
+class Dictionary(frozenset):
+    """Words, and the lengths of those longer than ``HEAD`` by their first letters, the longest first."""
+
+    def __new__(cls, words=()):
+        self = super().__new__(cls, words)
+        self.longer = {}
+        for word in self:
+            if len(word) > HEAD:
+                self.longer.setdefault(word[:HEAD], set()).add(len(word))
+        self.longer = {head: sorted(lengths, reverse=True) for head, lengths in self.longer.items()}
+        return self
+
+
 def coverage(value: str, words: frozenset[str]) -> float:
-    """Share of the value's characters that dictionary words cover, the longest first from the left."""
-    low, at, covered = value.lower(), 0, 0
-    while at < len(low):
-        step = next((n for n in range(min(16, len(low) - at), 3, -1) if low[at : at + n] in words), 0)
-        covered += step
-        at += step or 1
+    """Share of the value's characters that dictionary words cover, the longest first from the left; whole value."""
+    words = words if isinstance(words, Dictionary) else Dictionary(words)
+    low, covered = value.lower(), 0
+    for run in re.findall(r"[^\W\d_]{4,}", low):
+        at = 0
+        while at + 4 <= len(run):
+            steps = (*words.longer.get(run[at : at + HEAD], ()), *range(min(HEAD, len(run) - at), 3, -1))
+            step = next((n for n in steps if at + n <= len(run) and run[at : at + n] in words), 0)
+            covered += step
+            at += step or 1
     return covered / max(len(low), 1)
 
 
 def describe(finding: Finding, words: frozenset[str]) -> np.ndarray:
-    raw = np.frombuffer(finding.value[:4096].encode("utf-8", "replace"), np.uint8)
+    raw = np.frombuffer(finding.value.encode("utf-8", "replace"), np.uint8)
     classes = _CLASS[raw]
     steps = np.bincount(classes[:-1] * 4 + classes[1:], minlength=16) / max(len(raw) - 1, 1)
     counts = np.bincount(raw, minlength=256)
@@ -215,7 +235,7 @@ def describe(finding: Finding, words: frozenset[str]) -> np.ndarray:
     kinds = [float(finding.kind == k) for k in KINDS]
     figures = [
         len(finding.value), math.log1p(len(finding.value)), entropy, entropy / math.log2(max(len(raw), 2)),
-        coverage(finding.value[:4096], words), float(_VOWELS[raw].mean()) if len(raw) else 0.0,
+        coverage(finding.value, words), float(_VOWELS[raw].mean()) if len(raw) else 0.0,
         len(set(finding.value)) / max(len(finding.value), 1), float(finding.before.rstrip(" \"'")[-1:] in ("=", ":")),
         float("/" in finding.source or "." in finding.source), zlib.crc32(finding.source.encode("utf-8", "replace")) % 16,
     ]
@@ -329,7 +349,7 @@ class Scanner:
         found = list(candidates(text, source))
         if not found:
             return []
-        known = self.words if words is None else COMMON.union(words)
+        known = self.words if words is None else Dictionary(COMMON.union(words))
         chances = self.forest(np.array([describe(f, known) for f in found]))
         return [
             {"kind": f.kind, "start": f.start, "length": len(f.value), "chance": round(float(p), 6), "secret": bool(p >= THRESHOLD)}
@@ -360,13 +380,13 @@ def train(
     mine |= {w for t in texts for w in re.findall(r"[^\W\d_]{4,}", t.lower())}
     asked = spark.createDataFrame([(w,) for w in sorted(mine)], "_word string")
     base = [w for (w,) in table.join(asked, "_word", "left_semi").collect()]
-    scanner = fit(labelled, COMMON.union(base))
+    scanner = fit(labelled, Dictionary(COMMON.union(base)))
     coded = small_batches(docs).select(F.xxhash64(text).alias("_code"), text.alias("_text"))
     parts = coded.mapInArrow(_stretched(lengths), "_code bigint, _word string").distinct()
     known = checkpointed(parts.join(table, "_word"))
     words = known.select("_word").distinct()
     if words.count() <= at_once:
-        return replace(scanner, words=scanner.words.union(w for (w,) in words.collect()))
+        return replace(scanner, words=Dictionary(scanner.words.union(w for (w,) in words.collect())))
     return replace(scanner, by_text=known.groupBy("_code").agg(F.collect_set("_word").alias("_words")))
 
 

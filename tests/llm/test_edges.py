@@ -217,3 +217,13 @@ def test_dictionary_counts_all_texts(spark):
     assert joined.by_text is not None
     one, other = ([(r.doc_id, r.found) for r in secrets.findings(docs, s).select("_row.doc_id", "found").orderBy("doc_id").collect()] for s in (few, joined))
     assert one == other and len(one) == len(rows) and [k for k, f in one if f] == [103]
+
+
+def test_secrets_are_described_whole():
+    long = "donaudampfschifffahrtsgesellschaft"
+    words = secrets.Dictionary({long, "donau"})
+    assert secrets.coverage(long + "1234567890abcd", words) == len(long) / (len(long) + 14)
+    head, tail = "a1" * 2048, "Zq9+" * 2000
+    one, other = (secrets.describe(secrets.Finding("assigned", 0, v, "", ""), words) for v in (head + tail, head + "a1" * 4000))
+    assert len(head + tail) == len(head) + 8000 and one[2] > other[2] + 0.5
+    assert secrets.coverage(head + long * 100, words) > 0.4

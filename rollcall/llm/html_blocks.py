@@ -46,8 +46,12 @@ HIDDEN_CONTENT = frozenset(
 )
 RAW = frozenset("script style textarea title iframe noscript".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(>|$)""", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+# By the rules of HTML: a quote opens a string only as the first character of a value, elsewhere it is a character like others.
+_NAMED = r"""[^\s/>][^\s/>=]*+"""
+_VALUE = r"""\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+|(?=>))"""
+_TAG = re.compile(rf"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|{_NAMED}(?:{_VALUE})?+)*+)(>|$)""", re.DOTALL)
+_ATTRIBUTE = re.compile(rf"""({_NAMED})((?:{_VALUE})?+)""")
+_PATH_ATTRIBUTES = frozenset(("class", "id", "role", "hidden", "style"))
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -62,7 +66,9 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     """What a tag says on the path: its name and the words of class, id and role."""
     words = [tag]
     for key, value in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'").lower()
+        key, value = key.lower(), value.strip().removeprefix("=").strip().strip("\"'").lower()
+        if key not in _PATH_ATTRIBUTES:
+            continue
         if key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "")):
             words.append("@hidden")
         elif key != "style":
@@ -103,8 +109,6 @@ def leaf_blocks(page: str) -> list[Block]:
         add(page[at:tag])
         found = _TAG.match(page, tag)
         if not found:
-            if re.match(r"</?[a-zA-Z]", page[tag : tag + 3]):
-                break  # the page ends within a tag
             add("<")
             at = tag + 1
             continue
@@ -113,7 +117,11 @@ def leaf_blocks(page: str) -> list[Block]:
         if name is None:
             continue
         if not end:
-            break
+            # A string that is never closed, or closed by a quote of the text, ends with its tag.
+            stop = page.find(">", tag)
+            if stop < 0:
+                break  # the page ends within a tag
+            attributes, at = page[found.start(3) : stop], stop + 1
         name = name.lower()
         if not closing and name in RAW:
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(page, at)

@@ -227,3 +227,15 @@ def test_secrets_are_described_whole():
     one, other = (secrets.describe(secrets.Finding("assigned", 0, v, "", ""), words) for v in (head + tail, head + "a1" * 4000))
     assert len(head + tail) == len(head) + 8000 and one[2] > other[2] + 0.5
     assert secrets.coverage(head + long * 100, words) > 0.4
+
+
+def test_stray_quotes_do_not_end_the_page():
+    texts = lambda page: [b.text for b in html_blocks.leaf_blocks(page)]
+    assert texts("<p title=it's>First paragraph.</p><p>Second.</p>") == ["First paragraph.", "Second."]
+    assert texts('<a href="x"">Link</a> body text one <p class="c">two</p>') == ["Link body text one", "two"]
+    assert texts("<a href='x''>Link</a> body text</p>") == ["Link body text"]
+    assert texts('<p class="a>One</p><p>Two</p>') == ["One", "Two"]
+    assert texts('<p title="a > b" class=c>One</p><p title=\'"\' id = "x">Two</p><p x= >Three</p><p') == ["One", "Two", "Three"]
+    assert texts("one</div" + " a=" * 50_000) == ["one"] and texts("<p " + "x='" * 50_001 + "<p>last") == ["last"]
+    found = html_blocks.leaf_blocks('<div title="my class=no" class = "Yes more"id=it\'s>x</div>')
+    assert found[0].path == ("div", ".yes", ".more", ".it", ".s", "^div")

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import (
+    BROADCAST_ROWS,
     SLICE_BYTES,
     checkpointed,
     col,
@@ -227,10 +228,14 @@ def _variants(window: Column, around: Column) -> Column:
 
 def _asked(texts: DataFrame, lines: DataFrame) -> DataFrame:
     """``_doc, _code, _text, _wanted``: the texts that hold the first occurrence of some lines."""
-    wanted = lines.select("_first.*", "_line", "_more").groupBy("_doc", "_code").agg(
-        F.collect_set(F.struct("_pos", "_line", "_more")).alias("_wanted")
-    )
-    return texts.join(measured(wanted), ["_doc", "_code"])
+    keys = ["_doc", "_code"]
+    lines = checkpointed(lines.select("_first.*", "_line", "_more"))
+    wanted = lines.groupBy(*keys).agg(F.collect_set(F.struct("_pos", "_line", "_more")).alias("_wanted"))
+    # The lists of positions are as long as their texts: what counts is the lines, not the texts.
+    if lines.count() <= BROADCAST_ROWS:
+        return texts.join(F.broadcast(wanted), keys)
+    some = texts.join(measured(lines.select(*keys).distinct()), keys, "left_semi")
+    return some.join(spread(wanted), keys)
 
 
 def _shared(rows: DataFrame, key: str) -> DataFrame:

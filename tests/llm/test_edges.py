@@ -1,10 +1,12 @@
 """Nulls, empty texts, ties, repeated rows, empty tables and clashing column names."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rollcall.llm import chat, embed_dedup, html_blocks, langid, line_dedup, minhash, mixing, pieces, secrets, topk
+from rollcall.llm import chat, common, embed_dedup, html_blocks, langid, line_dedup, minhash, mixing, pieces, secrets, topk
 from rollcall.llm.queries import TOKENIZER
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept boolean, component_id string"
@@ -239,3 +241,26 @@ def test_stray_quotes_do_not_end_the_page():
     assert texts("one</div" + " a=" * 50_000) == ["one"] and texts("<p " + "x='" * 50_001 + "<p>last") == ["last"]
     found = html_blocks.leaf_blocks('<div title="my class=no" class = "Yes more"id=it\'s>x</div>')
     assert found[0].path == ("div", ".yes", ".more", ".it", ".s", "^div")
+
+
+def test_lines_asked_for_are_broadcast_by_their_number(spark, monkeypatch):
+    line = "line number {} of a text that others share{}".format
+    rows = [(d, "\n".join(line(k, "x" * (d % 2)) for k in range(40))) for d in range(4)] + [(9, "some other text")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    texts = line_dedup._texts(docs, "doc_id", "text")
+    lines = texts.where("_doc < 9").select(
+        F.explode(F.transform(F.sequence(F.lit(0), F.lit(39)), lambda p: F.struct("_doc", "_code", p.alias("_pos")))).alias("_first"),
+        F.lit(1).cast("long").alias("_line"), F.lit(2).cast("long").alias("_more"),
+    )
+
+    def asked():
+        df = line_dedup._asked(texts, lines)
+        broadcast = re.search(r"BroadcastHashJoin[^\n]*Inner", df._jdf.queryExecution().executedPlan().toString())
+        return broadcast is not None, sorted((r._doc, len(r._wanted)) for r in df.collect())
+
+    few = asked(), line_dedup.dedup_lines(docs).select("_row.doc_id", "new_text").sort("doc_id").collect()
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 100, raising=False)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 100)
+    many = asked(), line_dedup.dedup_lines(docs).select("_row.doc_id", "new_text").sort("doc_id").collect()
+    assert few[0] == (True, [(d, 40) for d in range(4)]) and many[0] == (False, few[0][1])
+    assert few[1] == many[1] and few[1][1].new_text == ""

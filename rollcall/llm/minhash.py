@@ -280,7 +280,8 @@ def _posted(classes: DataFrame) -> DataFrame:
 def _sets(ends: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``_set, _all``: the full sets of some classes."""
     wanted = classes.join(ends.distinct(), "_set", "left_semi").select("_id", "_code")
-    texts = docs.join(measured(wanted.distinct()), ["_id", "_code"], "left_semi").select("_text")
+    same = F.col("d._id").eqNullSafe(F.col("w._id")) & (F.col("d._code") == F.col("w._code"))
+    texts = docs.alias("d").join(measured(wanted.distinct()).alias("w"), same, "left_semi").select("_text")
     sets = texts.mapInArrow(_full_sets, "_set binary, _all array<bigint>")
     # One text of each class is enough; texts that share id and hash are the same text.
     return sets.groupBy("_set").agg(F.first("_all").alias("_all"))
@@ -328,7 +329,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``_code`` is a hash of the text: with ``_id`` it tells rows apart that repeat an
     id. Null, empty and blank texts have no shingles, a component of their own and
     are kept. A null id never is the least of a component unless all its ids are
-    null. Rows that repeat id and text both carry the same result. An empty table
+    null; then the text with the least hash is kept. Rows that repeat id and text both carry the same result. An empty table
     gives no rows.
     """
     texts = keyed(docs, id_col, text_col)
@@ -343,16 +344,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = classes.join(joined, "_set", "left").withColumn("_component", F.coalesce("component", "_set"))
     links = _between(labelled.select("_set", "_size", "_sign", "_component"), classes, texts)
     final = measured(components(stars.unionByName(links), "_a", "_b").withColumnRenamed("node", "_set"))
-    heads = classes.join(final, "_set").groupBy("component").agg(F.min("_id").alias("_head"))
+    first = F.struct(F.col("_id").isNull().alias("_none"), "_id", "_code")
+    heads = classes.join(final, "_set").groupBy("component").agg(F.min(first).alias("_head"))
     by_set = (
         classes.join(final, "_set", "left")
         .join(measured(heads), "component", "left")
-        .select("_set", F.coalesce("_head", "_id").alias("component_id"))
+        .select("_set", F.coalesce("_head", first).alias("_head"))
+        .select("_set", F.col("_head._id").alias("component_id"), F.col("_head._code").alias("_least"))
     )
     by_set = spread(by_set)
-    with_words = worded.join(by_set, "_set").select("_id", "_code", F.col("_size").alias("n_shingles"), "component_id")
-    without = described.where("_size = 0").select("_id", "_code", F.col("_size").alias("n_shingles"), F.col("_id").alias("component_id"))
-    return with_words.unionByName(without).withColumn("kept", F.col("_id").eqNullSafe(F.col("component_id")))
+    kept = F.col("_id").eqNullSafe(F.col("component_id")) & (F.col("_id").isNotNull() | (F.col("_code") == F.col("_least")))
+    shingles = F.col("_size").alias("n_shingles")
+    with_words = worded.join(by_set, "_set").select("_id", "_code", shingles, "component_id", kept.alias("kept"))
+    without = described.where("_size = 0").select("_id", "_code", shingles, F.col("_id").alias("component_id"), F.lit(True).alias("kept"))
+    return with_words.unionByName(without)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -264,3 +264,17 @@ def test_lines_asked_for_are_broadcast_by_their_number(spark, monkeypatch):
     many = asked(), line_dedup.dedup_lines(docs).select("_row.doc_id", "new_text").sort("doc_id").collect()
     assert few[0] == (True, [(d, 40) for d in range(4)]) and many[0] == (False, few[0][1])
     assert few[1] == many[1] and few[1][1].new_text == ""
+
+
+def test_near_copies_without_ids(spark):
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join(words), " ".join([*words, "more"]), " ".join([*words, "again", "more"]), " ".join(words).upper()]
+    other = " ".join(f"v{k}" for k in range(60))
+    rows = [(None, t) for t in near] + [(None, other), (None, None), (None, ""), (7, other + " end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = minhash.near_duplicates(docs).collect()
+    assert len(out) == len(rows) and sum(r.kept for r in out if r.n_shingles > 0) == 2
+    kept = [(r.doc_id, r.text) for r in minhash.keep_one(docs).collect()]
+    assert len([t for _, t in kept if t in near]) == 1 and (7, other + " end") in kept and (None, other) not in kept
+    plain = minhash.keep_one(docs.where("doc_id is null and text <> ''")).collect()
+    assert len(plain) == 2

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, embed_dedup, html_blocks, langid, line_dedup, minhash, mixing, pieces, secrets, topk
+from rollcall.llm import byte_bpe, chat, embed_dedup, filter_audit, html_blocks, langid, line_dedup, minhash, mixing, pieces, secrets, topk
 from rollcall.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +16,7 @@ SQL: dict[str, str] = {}
 
 #: Where the vocabulary is; every machine reads it through the driver.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def query(build):
@@ -111,6 +113,24 @@ def op10_minhash(spark, sf_dir):
     return found.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+@query
+def op12_byte_bpe(spark, sf_dir):
+    ranks = byte_bpe.Ranks(RANKS, public_tokenizers.PATTERN)
+    rows = byte_bpe.encoded(table(spark, sf_dir, "documents"), ranks).select("_row.doc_id", "ids")
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(byte_bpe.little_endian("ids"), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decoder(ranks)("ids"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    failed = filter_audit.failures(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(failed, table(spark, sf_dir, "labels"))
+
+
 # ---- the same results in DuckDB SQL -----------------------------------------------
 
 
@@ -166,6 +186,36 @@ def _chat_sql() -> str:
     FROM s GROUP BY conv_id"""
 
 
+def _audit_sql() -> str:
+    names = filter_audit.FILTERS
+    bits = ", ".join(f"('{x}', {1 << i})" for i, x in enumerate(names))
+    order = [f"x{i}" for i in range(len(names))]
+    apart = " AND ".join(f"{a}.f <> {b}.f" for i, a in enumerate(order) for b in order[:i])
+    before = " + ".join(f"CASE WHEN step > {i + 1} THEN {x}.b ELSE 0 END" for i, x in enumerate(order))
+    here = " ".join(f"WHEN {i + 1} THEN {x}.b" for i, x in enumerate(order))
+    return f"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+      coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS again FROM d),
+    f AS (SELECT doc_id, part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+        + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT
+        + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * again::INT AS failed FROM w),
+    k AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    c AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f LEFT JOIN k USING (doc_id) GROUP BY part, failed),
+    l(f, b) AS (VALUES {bits}),
+    o AS (SELECT {' || '.join(x + '.f' for x in order)} AS filter_order, step, {before} AS earlier, CASE step {here} END AS own
+      FROM {', '.join('l ' + x for x in order)}, range(1, 6) s(step) WHERE {apart}),
+    r AS (SELECT part, filter_order, step::INT AS step, own,
+      sum(CASE WHEN failed & (earlier | own) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+      sum(CASE WHEN failed & own > 0 AND failed & earlier = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+      sum(CASE WHEN failed & own > 0 AND failed & earlier > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+      sum(CASE WHEN failed = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+      sum(CASE WHEN failed & own > 0 AND failed & earlier = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+      sum(CASE WHEN failed & own > 0 AND failed & earlier = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM c, o GROUP BY part, filter_order, step, own)
+    SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r"""
+
+
 _REACH = """link AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
     reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)"""
 
@@ -185,6 +235,7 @@ SQL |= {
           FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
     SELECT query_id, rank::INT AS rank, vec_id, score FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""",
+    "op13_filter_audit": _audit_sql(),
     "op10_minhash": f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
       FROM documents),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import byte_bpe, chat, embed_dedup, filter_audit, html_blocks, langid, line_dedup, minhash, mixing, pieces, secrets, topk
+from rollcall.llm import byte_bpe, chat, embed_dedup, filter_audit, html_blocks, langid, line_dedup, minhash, mixing, phrases, pieces, secrets, topk
 from rollcall.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,11 @@ def op10_minhash(spark, sf_dir):
     return found.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+@query
+def op11_collocations(spark, sf_dir):
+    return phrases.collocations(phrases.frequent_phrases(table(spark, sf_dir, "documents")))
+
+
 @query
 def op12_byte_bpe(spark, sf_dir):
     ranks = byte_bpe.Ranks(RANKS, public_tokenizers.PATTERN)
@@ -186,6 +191,30 @@ def _chat_sql() -> str:
     FROM s GROUP BY conv_id"""
 
 
+def _phrases_sql() -> str:
+    return f"""WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+    w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+    g AS (SELECT lang, s, unnest(list_transform(range(1, len(w) - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))) AS phrase
+      FROM w, range(1, 5) x(s) WHERE len(w) >= s),
+    f AS (SELECT lang, s, phrase, count(*) AS f FROM g GROUP BY lang, s, phrase),
+    n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE s = 1 GROUP BY lang),
+    c AS (SELECT lang, s, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE s > 1 AND f >= 30),
+    longer AS (SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+      FROM c, range(2, 4) x(m), range(1, 4) y(i) WHERE m < s AND i + m - 1 <= s),
+    kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM longer o
+      WHERE o.lang = c.lang AND o.phrase = c.phrase AND 100::HUGEINT * o.a >= 80::HUGEINT * c.a)),
+    cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+      FROM kept, range(1, 4) x(k) WHERE k < s),
+    scored AS (SELECT cuts.*, h.f AS l, t.f AS r, ({phrases.SCALE}::HUGEINT * a // (h.f + t.f))::BIGINT AS score
+      FROM cuts JOIN f h ON h.lang = cuts.lang AND h.phrase = head JOIN f t ON t.lang = cuts.lang AND t.phrase = tail),
+    least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least) JOIN n USING (lang)
+    WHERE rank <= {phrases.TOP}"""
+
+
 def _audit_sql() -> str:
     names = filter_audit.FILTERS
     bits = ", ".join(f"('{x}', {1 << i})" for i, x in enumerate(names))
@@ -235,6 +264,7 @@ SQL |= {
           FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
     SELECT query_id, rank::INT AS rank, vec_id, score FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""",
+    "op11_collocations": _phrases_sql(),
     "op13_filter_audit": _audit_sql(),
     "op10_minhash": f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w

@@ -83,19 +83,19 @@ def test_audit_against_loops(spark, monkeypatch, size):
     assert {(r.part, r.filter_order, r.step): tuple(r[n] for n in names) for r in got.collect()} == expected(ROWS, LABELS)
 
 
-def test_matrix_holds_all_words(spark):
+def test_matrix_holds_all_words(spark, monkeypatch):
+    monkeypatch.setattr(filter_audit, "SHARD_BYTES", 1500)
     docs = spark.createDataFrame(ROWS, "doc_id bigint, text string, lang string").repartition(3)
-    sharded = filter_audit.shards(docs, "doc_id", "text", "lang")
-    codes = {r.term: r.code for r in filter_audit.dictionary(sharded).collect()}
-    assert sorted(codes.values()) == list(range(len(codes)))
-    names, seen = {c: t for t, c in codes.items()}, []
-    for r in filter_audit.matrix(sharded, filter_audit.dictionary(sharded)).collect():
-        at = {p.at: p.code for p in r.codes}
-        for a, b in zip(r.bounds[:-1], r.bounds[1:], strict=True):
-            seen.append(Counter({names[at[w]]: c for w, c in zip(r.words[a:b], r.counts[a:b], strict=True)}))
-    want = [Counter((t or "").encode().split()) for _, t, _ in ROWS]
-    key = lambda c: sorted(c.items())
-    assert sorted(map(key, seen)) == sorted(key({w.decode(): n for w, n in c.items()}) for c in want)
+    packed, slots = filter_audit.shards(docs, "doc_id", "text", "lang")
+    words = filter_audit.dictionary(packed, slots).collect()
+    names = {r.code: r.term for r in words}
+    every = {w.decode() for _, t, _ in ROWS for w in (t or "").encode().split()}
+    assert len(words) == len(names) == len(every) and set(names.values()) == every
+    rows = filter_audit.rows_of(filter_audit.matrix(packed, slots)).collect()
+    seen = [(r._id, Counter({names[c]: n for c, n in zip(r.columns, r.counts, strict=True)})) for r in rows]
+    want = [(i, Counter(w.decode() for w in (t or "").encode().split())) for i, t, _ in ROWS]
+    key = lambda x: (str(x[0]), sorted(x[1].items()))
+    assert sorted(map(key, seen)) == sorted(map(key, want))
 
 
 def test_empty_tables(spark):

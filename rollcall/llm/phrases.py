@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -54,71 +55,110 @@ _FOLD[9] = 32
 _FOLD = _FOLD.tobytes()
 _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[list(_BREAKS)] = True
+_SOLID = np.ones(256, bool)
+_SOLID[[32, _END]] = False
 _PLACE = constants(11, LONGEST + 1)
-_LETTER, _WORD = constants(12, 2)
+_CHUNK, _LENGTH = constants(12, 2)
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
-COUNTS = "lang string, size int, phrase string, n bigint"
+#: What a pass counts by: language, line feed, phrase. No phrase holds a line feed, so the last one parts them.
+COUNTS = "key string, n bigint"
 
 
-def _word_hashes(terms: pa.Array, lang: str) -> np.ndarray:
-    """A hash of every word within its language."""
-    _, offsets, data = terms.buffers()
-    cuts = np.frombuffer(offsets, np.int32)[: len(terms) + 1].astype(np.int64)
-    raw = np.frombuffer(data, np.uint8)[: cuts[-1]].astype(np.uint64) + np.uint64(1)
-    lengths = np.diff(cuts)
-    powers = np.full(int(lengths.max()), _LETTER)
-    powers[0] = 1
-    place = np.arange(len(raw)) - np.repeat(cuts[:-1], lengths)
-    sums = np.add.reduceat(raw * np.cumprod(powers)[place], cuts[:-1])
+def _span_hashes(text: np.ndarray, begin: np.ndarray, length: np.ndarray, lang: str) -> np.ndarray:
+    """A hash of every span of bytes within its language, eight bytes at a time."""
+    eight = np.ndarray(max(len(text) - 7, 0), "<u8", text, strides=(1,))
     salt = np.frombuffer(hashlib.blake2b(lang.encode(), digest_size=8).digest(), np.uint64)
-    return mix(sums * _WORD + salt)
+    out = mix((eight[begin] & _MASK[np.minimum(length, 8)]) * _CHUNK + length.astype(np.uint64) * _LENGTH + salt)
+    more, at = np.flatnonzero(length > 8), 8
+    while len(more):
+        chunk = eight[begin[more] + at] & _MASK[np.minimum(length[more] - at, 8)]
+        out[more] = mix(out[more] * _LENGTH + chunk * _CHUNK)
+        at += 8
+        more = more[length[more] > at]
+    return out
 
 
 class Words:
-    """The words of a slice of one language: codes in the order of the text, 0 ends a piece."""
+    """The words of a slice of one language in the order of the text."""
 
     def __init__(self, lang: str, raw: bytes):
-        number: dict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        number[b"\xff"]
-        # No white space but spaces is left, so this splits words as the operator does.
-        tokens = raw.translate(_FOLD).replace(b"\xff", b" \xff ").split()
-        self.codes = np.fromiter(map(number.__getitem__, tokens), np.int32, len(tokens))
-        self.terms = pa.array(list(number), pa.binary())
-        self.hashes = _word_hashes(self.terms, lang)[self.codes]
+        self.lang = lang
+        self.text = raw.translate(_FOLD)
+        text = np.frombuffer(self.text + b" " * 8, np.uint8)
+        solid = np.zeros(len(text) + 1, bool)
+        solid[1:] = _SOLID[text]
+        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        self.begin, self.end = edges[::2], edges[1::2]
+        self.piece = np.cumsum(text == _END, dtype=np.int32)[self.begin]
+        self.hashes = _span_hashes(text, self.begin, self.end - self.begin, lang)
+
+    def __len__(self) -> int:
+        return len(self.begin)
 
     def phrases(self, size: int) -> np.ndarray:
         """A hash for every place at which ``size`` words could begin."""
-        ends = max(len(self.codes) - size + 1, 0)
+        ends = max(len(self) - size + 1, 0)
         return mix(sum((self.hashes[k : k + ends] * _PLACE[k] for k in range(size)), _PLACE[size]))
 
     def whole(self, size: int) -> np.ndarray:
         """Whether ``size`` words of one piece begin at a place."""
-        ends = max(len(self.codes) - size + 1, 0)
-        return np.logical_and.reduce([self.codes[k : k + ends] != 0 for k in range(size)])
+        ends = max(len(self) - size + 1, 0)
+        return self.piece[:ends] == self.piece[size - 1 :][:ends]
+
+    @cached_property
+    def coded(self) -> tuple[np.ndarray, list[bytes]]:
+        """A code for every word, and what the codes stand for."""
+        number: dict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        # No white space but spaces is left, so this gives the same words.
+        tokens = self.text.replace(b"\xff", b" ").split()
+        return np.fromiter(map(number.__getitem__, tokens), np.int32, len(tokens)), list(number)
+
+    def _some(self, at: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+        """The same for a few words only; the other codes mean nothing."""
+        number: dict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        spans = zip(self.begin[at].tolist(), self.end[at].tolist(), strict=True)
+        codes = np.zeros(len(self), np.int32)
+        codes[at] = [number[self.text[a:b]] for a, b in spans]
+        return codes, list(number)
 
-    def counted(self, begin: np.ndarray, size: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    def counted(self, begin: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
         """The phrases that begin at some places, and how often each."""
-        picked = self.codes[begin[:, None] + np.arange(size)]
-        used = np.zeros(len(self.terms), bool)
-        used[picked.ravel()] = True
+        used = np.zeros(len(self), bool)
+        for k in range(size):
+            used[begin + k] = True
+        at = np.flatnonzero(used)
+        codes, names = self.coded if 4 * len(at) > len(self) else self._some(at)
+        yield from self._keyed(begin, size, codes, pa.array(names, pa.binary()))
+
+    def _keyed(self, begin: np.ndarray, size: int, codes: np.ndarray, terms: pa.Array) -> Iterator[pa.RecordBatch]:
+        used = np.zeros(len(terms), bool)
+        for k in range(size):
+            used[codes[begin + k]] = True
         words = np.flatnonzero(used)
         if len(words) > 1 << 16:
             # Words in use get 16 bits each, so that four make an exact key; halves use fewer of them.
             half = len(begin) // 2
-            yield from self.counted(begin[:half], size)
-            yield from self.counted(begin[half:], size)
+            yield from self._keyed(begin[:half], size, codes, terms)
+            yield from self._keyed(begin[half:], size, codes, terms)
             return
-        small = np.zeros(len(self.terms), np.uint64)
+        small = np.zeros(len(terms), np.uint64)
         small[words] = np.arange(len(words), dtype=np.uint64)
         key = np.zeros(len(begin), np.uint64)
         for k in range(size):
-            key = (key << np.uint64(16)) | small[picked[:, k]]
+            key = (key << np.uint64(16)) | small[codes[begin + k]]
         keys, counts = np.unique(key, return_counts=True)
-        names = self.terms.take(pa.array(words)).cast(pa.string())
+        names = terms.take(pa.array(words)).cast(pa.string())
         shifts = [np.uint64(16 * (size - 1 - k)) for k in range(size)]
-        parts = [names.take(pa.array((keys >> shift) & np.uint64(0xFFFF))) for shift in shifts]
-        yield pc.binary_join_element_wise(*parts, " "), counts
+        parts = [names.take(pa.array(((keys >> shift) & np.uint64(0xFFFF)).astype(np.int32))) for shift in shifts]
+        yield _keys(self.lang, pc.binary_join_element_wise(*parts, " "), counts)
+
+
+def _keys(lang: str, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    keys = pc.binary_join_element_wise(pa.scalar(f"{lang}\n"), phrases, "")
+    return pa.RecordBatch.from_arrays([keys, pa.array(counts)], ["key", "n"])
 
 
 def _bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,16 +186,16 @@ def _cut(raw: bytes) -> Iterator[bytes]:
     yield raw[begin:]
 
 
-def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
-    """The texts in slices of one language, with that language's name."""
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[Words]:
+    """The texts in slices of one language."""
     held: dict[str, list[bytes]] = defaultdict(list)
     size: dict[str, int] = defaultdict(int)
 
-    def emptied(names: list[str]) -> Iterator[tuple[str, Words]]:
+    def emptied(names: list[str]) -> Iterator[Words]:
         for name in names:
             size.pop(name)
             for raw in _cut(b"\n".join(held.pop(name))):
-                yield name, Words(name, raw)
+                yield Words(name, raw)
 
     for batch in batches:
         data, cuts = utf8(batch.column("_text"))
@@ -175,7 +215,7 @@ def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
 
 def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of all phrases of the sample, with their counts in a slice."""
-    for _, words in _slices(batches):
+    for words in _slices(batches):
         found = [words.phrases(size)[words.whole(size)] for size in range(1, LONGEST + 1)]
         keys, counts = np.unique(np.concatenate(found), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
@@ -183,50 +223,46 @@ def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield _field_rows(batch.column("key").to_numpy().view(np.uint64))
+        yield _field_rows(batch.column("key").to_numpy().view(np.uint64), 0)
+
 
+FIELD_ROWS = "word bigint, bits bigint, sizes int"
 
-def _field_rows(hashes: np.ndarray) -> pa.RecordBatch:
+
+def _field_rows(hashes: np.ndarray, size: int) -> pa.RecordBatch:
     word, bit = _bits(hashes)
-    return pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], ["word", "bits"])
+    sizes = pa.array(np.full(len(word), 1 << size, np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64)), sizes], ["word", "bits", "sizes"])
 
 
-def _field(rows: DataFrame) -> tuple[np.ndarray, bool]:
-    """The field with the bits of some rows set, and whether there were any."""
-    # At most FIELD_BITS / 64 rows of two numbers, whatever the table.
-    found = rows.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+def _field(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """The field with the bits of some rows set, and the sizes of their phrases as bits."""
+    # At most FIELD_BITS / 64 rows of three numbers, whatever the table.
+    found = rows.groupBy("word").agg(F.bit_or("bits").alias("bits"), F.bit_or("sizes").alias("sizes")).toArrow()
     field = np.zeros(FIELD_BITS // 64, np.uint64)
     field[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return field, found.num_rows > 0
+    return field, int(np.bitwise_or.reduce(found.column("sizes").to_numpy(), initial=0))
 
 
-def _counter(now, before):
-    """A pass: counts of the phrases that the proposals ``now`` open and ``before`` did not."""
+def _counter(now, before, sizes: list[int]):
+    """A pass: counts of the phrases of some sizes that the proposals ``now`` open and ``before`` did not."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = np.frombuffer(now.value, np.uint64)
         old = None if before is None else np.frombuffer(before.value, np.uint64)
-
-        def rows(lang: str, size: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.repeat(lang, len(phrases)), pa.repeat(pa.scalar(size, pa.int32()), len(phrases)), phrases, pa.array(counts)],
-                ["lang", "size", "phrase", "n"],
-            )
-
-        for lang, words in _slices(batches):
-            if old is None:
-                counts = np.bincount(words.codes, minlength=len(words.terms))[1:]
-                yield rows(lang, 1, words.terms[1:].cast(pa.string()), counts)
-                yield rows(lang, 0, pa.array([""]), counts.sum(keepdims=True))
-            for size in range(2, LONGEST + 1):
-                parts, whole = words.phrases(size - 1), words.whole(size)
+        for words in _slices(batches):
+            if old is None and len(words):
+                codes, names = words.coded
+                yield _keys(words.lang, pa.array(names, pa.binary()).cast(pa.string()), np.bincount(codes))
+                yield _keys(words.lang, pa.array([""]), np.array([len(codes)]))
+            for size in sizes:
+                parts = words.phrases(size - 1)
                 has = _has(field, parts)
-                begin = np.flatnonzero(has[:-1] & has[1:] & whole)
+                begin = np.flatnonzero(has[:-1] & has[1:] & words.whole(size))
                 if old is not None:
                     begin = begin[~(_has(old, parts[begin]) & _has(old, parts[begin + 1]))]
                 if len(begin):
-                    for phrases, counts in words.counted(begin, size):
-                        yield rows(lang, size, phrases, counts)
+                    yield from words.counted(begin, size)
 
     return run
 
@@ -237,12 +273,12 @@ def _failures(now):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = np.frombuffer(now.value, np.uint64)
         # A phrase is a piece of its own here: split again, it gives the same words.
-        for _, words in _slices(batches):
-            ends = np.flatnonzero(np.append(words.codes, 0) == 0)
-            begin = np.concatenate([[0], ends[:-1] + 1])
+        for words in _slices(batches):
+            begin = np.flatnonzero(np.diff(words.piece, prepend=-1))
+            length = np.diff(begin, append=len(words))
             for size in range(1, LONGEST):
-                hashes = words.phrases(size)[begin[ends - begin == size]]
-                yield _field_rows(hashes[~_has(field, hashes)])
+                hashes = words.phrases(size)[begin[length == size]]
+                yield _field_rows(hashes[~_has(field, hashes)], size)
 
     return run
 
@@ -263,17 +299,23 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sample = texts.where(F.pmod("_code", F.lit(ONE_IN)) == 0).select("_lang", "_text")
     texts = texts.select("_lang", "_text")
     proposed = sample.mapInArrow(_sampled, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    field, _ = _field(proposed.where(F.col("n") >= PROPOSE).select("key").mapInArrow(_placed, "word bigint, bits bigint"))
-    before, passes = None, []
+    field, _ = _field(proposed.where(F.col("n") >= PROPOSE).select("key").mapInArrow(_placed, FIELD_ROWS))
+    phrase = F.substring_index("key", "\n", -1)
+    lang = F.expr("left(key, length(key) - length(phrase) - 1)").alias("lang")
+    size = F.expr("if(phrase = '', 0, size(split(phrase, ' ')))").alias("size")
+    before, passes, sizes = None, [], list(range(2, LONGEST + 1))
     while True:
         now = spark.sparkContext.broadcast(field.tobytes())
-        counts = texts.mapInArrow(_counter(now, before), COUNTS).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-        passes.append(checkpointed(counts.where(f"n >= {LEAST} OR size = 0")))
+        counts = texts.mapInArrow(_counter(now, before, sizes), COUNTS).groupBy("key").agg(F.sum("n").alias("n"))
+        frequent = counts.withColumn("phrase", phrase).where(f"n >= {LEAST} OR phrase = ''")
+        passes.append(checkpointed(frequent.select(lang, size, "phrase", "n")))
         short = passes[-1].where(f"size BETWEEN 1 AND {LONGEST - 1}")
         failed = short.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_text"))
-        more, open_ = _field(failed.mapInArrow(_failures(now), "word bigint, bits bigint"))
+        more, open_ = _field(failed.mapInArrow(_failures(now), FIELD_ROWS))
         if not open_:
             break
+        # A phrase that is new now has a new part, one word shorter.
+        sizes = [k for k in range(2, LONGEST + 1) if open_ >> (k - 1) & 1]
         field, before = field | more, now
     found = passes[0]
     for one in passes[1:]:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from rollcall.llm import phrases
@@ -58,7 +59,7 @@ def texts(seed, count):
     return [(i, make(), dice.choice(["en", "de", None, "und"]), "x") for i in range(count)]
 
 
-ODD = [(900, None, "en", None), (901, "", None, None), (902, " . \t,\n", "fr", ""), (None, "the of the of", None, ""), (903, "one", "", "")]
+ODD = [(910, "the longest-word-of-all-the-words-here of", "a\nb", ""), (900, None, "en", None), (901, "", None, None), (902, " . \t,\n", "fr", ""), (None, "the of the of", None, ""), (903, "one", "", "")]
 
 
 @pytest.mark.parametrize("one_in, propose, slice_", [(16, 2, 4_000_000), (3, 4, 300), (10**9, 2, 4_000_000)])
@@ -91,12 +92,10 @@ def test_shared_bits_change_nothing(spark, monkeypatch):
 def test_many_words_in_a_slice(monkeypatch):
     text = " ".join(f"w{i}" for i in range(70_000)) + " w1 w2 w3 w4"
     words = phrases.Words("en", text.encode())
-    import numpy as np
-
     total = Counter()
-    for names, counts in words.counted(np.flatnonzero(words.whole(4)), 4):
-        total.update(dict(zip(names.to_pylist(), counts.tolist(), strict=True)))
-    assert sum(total.values()) == 70_001 and total["w1 w2 w3 w4"] == 2
+    for batch in words.counted(np.flatnonzero(words.whole(4)), 4):
+        total.update(dict(zip(batch.column("key").to_pylist(), batch.column("n").to_pylist(), strict=True)))
+    assert sum(total.values()) == 70_001 and total["en\nw1 w2 w3 w4"] == 2
     monkeypatch.setattr(phrases, "SLICE", 1000)
     cut = list(phrases._cut(b"ab cd, " * 2000))
     assert max(map(len, cut)) < 2000 and b",".join(cut) == b"ab cd, " * 2000
@@ -105,7 +104,7 @@ def test_many_words_in_a_slice(monkeypatch):
 def test_exact_beyond_64_bits(spark):
     big = 9 * 10**15
     rows = [("en", 0, "", big * 3), ("en", 1, "x", big), ("en", 1, "y", big + 1), ("en", 2, "x y", big - 7)]
-    got = phrases.collocations(spark.createDataFrame(rows, phrases.COUNTS)).collect()
+    got = phrases.collocations(spark.createDataFrame(rows, "lang string, size int, phrase string, n bigint")).collect()
     assert [r.score for r in got] == [phrases.SCALE * (big - 7) // (2 * big + 1)]
 
 

@@ -24,7 +24,9 @@ def _checksum(edges: DataFrame) -> tuple:
 def _star(edges: DataFrame, count: int) -> DataFrame:
     # There are at most twice as many nodes as edges, so the size of the sides is known.
     side = F.broadcast if 2 * count <= BROADCAST_ROWS else spread
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    # Exploded, not united: a union of a written table with itself trips over its constraints.
+    ends = [F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in ("uv", "vu")]
+    both = edges.select(F.explode(F.array(*ends)).alias("edge")).select("edge.*")
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     large = both.where("v > u").join(side(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     low = large.groupBy("u").agg(F.min("v").alias("m"))

@@ -5,13 +5,17 @@
 2. Classes are posted under the first ``COORDINATES - MATCHES + 1`` coordinates of
    their signature. Two signatures that agree in ``MATCHES`` places or more must
    share one of these (the prefix rule), so the other places need no postings.
-3. Merging a posting list counts agreeing places from the signatures in the
-   postings. First every entry is held against the least of its block (a star),
-   the survivors are confirmed on the full sets, and classes are joined to
-   components. Then the lists are merged again for pairs of *different*
-   components only: rows with such a pair meet once more with their full sets,
-   and a block hands on the links that join components. So a group of near copies
-   never emits all its pairs, and no link that could join two components is lost.
+3. Each posting list of the prefix first gives one star: its least class against the
+   others, one row a posting. Pairs whose signatures agree in ``MATCHES`` places are
+   confirmed on the full sets, and classes are joined to components.
+4. Then only the lists that still hold several components are merged, for pairs of
+   *different* components. A pair belongs to its first common coordinate; a list with
+   more than ``LONG_LIST`` rows outside its largest component is posted again under
+   the second one, so that rows which share a place by chance part. In what is left, the
+   rows outside a list's largest component meet all its rows in blocks; rows of
+   pairs that agree in enough places meet once more with their full sets, and a
+   block hands on the links that join components. So a group of near copies never
+   emits all its pairs, and no link that could join two components is lost.
 
 A pair of similarity 0.75 agrees in 7 of 20 places with probability 0.99997.
 """
@@ -22,12 +26,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import (
     block_numbers,
-    buckets_in_blocks,
     checkpointed,
     col,
     constants,
@@ -48,7 +51,12 @@ SIMILARITY = 75  # hundredths
 COORDINATES = 20
 MATCHES = 7
 PREFIX = COORDINATES - MATCHES + 1
-BLOCK = 512
+BLOCK = 256
+#: Lists with more rows outside their largest component are posted again: dealing such a
+#: list in blocks would take more rows than that. Near copies share most coordinates, so
+#: every further one multiplies their rows; hence one more at most.
+LONG_LIST = 8 * BLOCK
+DEEPEST = 2
 
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
@@ -157,7 +165,7 @@ def _full_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = data[offsets[lo] : offsets[hi]]
             shingles, cuts = shingle_sets(part, offsets[lo : hi + 1] - offsets[lo])
             lists = pa.ListArray.from_arrays(cuts.astype(np.int32), pa.array(shingles.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([_binary(signatures(shingles, cuts)[0]), lists], ["_set", "_all"])
+            yield pa.RecordBatch.from_arrays([batch.column("_key").slice(lo, hi - lo), lists], ["_key", "_all"])
 
 
 def _signs(rows: pa.Table) -> np.ndarray:
@@ -172,24 +180,7 @@ def _fits(sizes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return 100 * small >= SIMILARITY * large
 
 
-_BLOCK_KEYS = ("_bucket", "lo", "hi")
-
-
-def _pairs(rows: pa.Table, i: list[np.ndarray], j: list[np.ndarray]) -> pa.RecordBatch:
-    sets = rows.column("_set").combine_chunks()
-    a, b = (pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (i, j))
-    return pa.RecordBatch.from_arrays([sets.take(a), sets.take(b)], ["_a", "_b"])
-
-
-def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in whole_blocks(batches, _BLOCK_KEYS):
-        block = block_numbers(rows, _BLOCK_KEYS)
-        signs, sizes = _signs(rows), rows.column("_size").to_numpy()
-        first = np.searchsorted(block, block)
-        at = np.flatnonzero(first < np.arange(len(block)))
-        near = (signs[at] == signs[first[at]]).sum(1) >= MATCHES
-        at = at[near & _fits(sizes, at, first[at])]
-        yield _pairs(rows, [first[at]], [at])
+_BLOCK_KEYS = ("_bucket", "home", "guest")
 
 
 def _contested(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,33 +188,26 @@ def _contested(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in whole_blocks(batches, _BLOCK_KEYS):
         block = block_numbers(rows, _BLOCK_KEYS)
         signs, sizes = _signs(rows), rows.column("_size").to_numpy()
-        chunk, place = rows.column("chunk").to_numpy(), rows.column("_place").to_numpy()
-        mixed = rows.column("lo").to_numpy() != rows.column("hi").to_numpy()
-        group = rows.column("_component").combine_chunks().dictionary_encode().indices.to_numpy()
+        place, depth = rows.column("_place").to_numpy(), rows.column("_depth").to_numpy()
+        group = rows.column("_component").to_numpy()
+        lives, visits = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("lives", "visits"))
         cuts = np.concatenate([np.flatnonzero(np.diff(block, prepend=-1)), [len(block)]])
         marked = np.zeros(len(block), bool)
         for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            names, which, counts = np.unique(group[begin:end], return_inverse=True, return_counts=True)
-            if len(names) < 2:
-                continue
-            # Rows outside the largest component, each against the rows of that
-            # component and the later ones outside it.
-            inner = begin + np.flatnonzero(which == counts.argmax())
-            outer = begin + np.flatnonzero(which != counts.argmax())
-            for k, one in enumerate(outer):
-                others = np.concatenate([inner, outer[k + 1 :]])
-                others = others[_fits(sizes, np.full(len(others), one), others) & (group[others] != group[one])]
-                if mixed[one]:
-                    others = others[chunk[others] != chunk[one]]
+            homes = begin + np.flatnonzero(lives[begin:end])
+            for one in begin + np.flatnonzero(visits[begin:end]):
+                # Two rows that both live and visit here meet once.
+                others = homes[~visits[homes] | (homes > one)] if lives[one] else homes
+                others = others[(group[others] != group[one]) & _fits(sizes, np.full(len(others), one), others)]
                 same = signs[others] == signs[one]
-                # A pair that meets under an earlier coordinate is left to that one.
-                keep = (same.sum(1) >= MATCHES) & ~same[:, : place[one]].any(1)
+                # A pair belongs to the list of its first common coordinates.
+                keep = (same.sum(1) >= MATCHES) & (same[:, : place[one] + 1].sum(1) == depth[one])
                 if keep.any():
                     marked[one] = True
                     marked[others[keep]] = True
         if marked.any():
             some = rows.take(pa.array(np.flatnonzero(marked))).combine_chunks()
-            yield from some.select([*_BLOCK_KEYS, "_set", "_component"]).to_batches()
+            yield from some.select([*_BLOCK_KEYS, "_key", "_component"]).to_batches()
 
 
 def _links(cuts: np.ndarray, shingles: np.ndarray, group: np.ndarray) -> tuple[list[int], list[int]]:
@@ -255,7 +239,8 @@ def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between components within a block, found on the full sets."""
     for rows in whole_blocks(batches, _BLOCK_KEYS):
         block = block_numbers(rows, _BLOCK_KEYS)
-        group = rows.column("_component").combine_chunks().dictionary_encode().indices.to_numpy()
+        group = rows.column("_component").to_numpy()
+        keys = rows.column("_key").to_numpy()
         lists = rows.column("_all").combine_chunks()
         ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
         shingles = lists.flatten().to_numpy()
@@ -264,37 +249,53 @@ def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
             inside = ends[begin : end + 1]
             a, b = _links(inside - inside[0], shingles[inside[0] : inside[-1]], group[begin:end])
-            found[0].append(begin + np.array(a, np.int64))
-            found[1].append(begin + np.array(b, np.int64))
-        yield _pairs(rows, *found)
+            found[0].append(keys[begin + np.array(a, np.int64)])
+            found[1].append(keys[begin + np.array(b, np.int64)])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], ["_a", "_b"])
+
+
+def _value(place: Column) -> Column:
+    return F.substring(F.col("_sign"), place * 4 + 1, F.lit(4))
 
 
 def _posted(classes: DataFrame) -> DataFrame:
-    """One posting per class and prefix coordinate, in blocks of bounded size."""
-    place = F.explode(F.sequence(F.lit(0), F.lit(PREFIX - 1)))
-    value = F.substring(F.col("_sign"), F.col("_place") * 4 + 1, F.lit(4))
-    postings = classes.withColumn("_place", place).select(F.xxhash64("_place", value).alias("_bucket"), "_place", "_set")
-    return buckets_in_blocks(postings, classes, "_bucket", "_set", BLOCK)
+    """One posting per class and prefix coordinate, under the coordinate and its value."""
+    place = F.col("_place")
+    several = classes.withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(PREFIX - 1))))
+    return several.withColumn("_bucket", F.xxhash64(place, _value(place)))
+
+
+def _stars(classes: DataFrame) -> DataFrame:
+    """The pairs of each list's least class and another whose signatures agree in enough places."""
+    postings = _posted(classes).select("_bucket", "_key")
+    centres = postings.groupBy("_bucket").agg(F.min("_key").alias("_a"), F.max("_key").alias("_most")).where("_a < _most")
+    pairs = postings.withColumnRenamed("_key", "_b").join(spread(centres), "_bucket").where("_a < _b").select("_a", "_b").distinct()
+    side = lambda n: spread(classes.select(F.col("_key").alias(f"_{n}"), F.col("_sign").alias(f"_s{n}"), F.col("_size").alias(f"_n{n}")))
+    both = pairs.join(side("a"), "_a").join(side("b"), "_b")
+    places = [F.substring("_sa", 4 * c + 1, 4) == F.substring("_sb", 4 * c + 1, 4) for c in range(COORDINATES)]
+    agreeing = sum((place.cast("int") for place in places), F.lit(0))
+    alike = 100 * F.least("_na", "_nb") >= SIMILARITY * F.greatest("_na", "_nb")
+    return both.where(alike & (agreeing >= MATCHES)).select("_a", "_b")
 
 
 def _sets(ends: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``_set, _all``: the full sets of some classes."""
-    wanted = classes.join(ends.distinct(), "_set", "left_semi").select("_id", "_code")
+    """``_key, _all``: the full sets of some classes."""
+    wanted = classes.join(ends.distinct(), "_key", "left_semi").select("_key", "_id", "_code")
     same = F.col("d._id").eqNullSafe(F.col("w._id")) & (F.col("d._code") == F.col("w._code"))
-    texts = docs.alias("d").join(measured(wanted.distinct()).alias("w"), same, "left_semi").select("_text")
-    sets = texts.mapInArrow(_full_sets, "_set binary, _all array<bigint>")
+    texts = docs.alias("d").join(measured(wanted).alias("w"), same).select("_key", "_text")
+    sets = texts.mapInArrow(_full_sets, "_key bigint, _all array<bigint>")
     # One text of each class is enough; texts that share id and hash are the same text.
-    return sets.groupBy("_set").agg(F.first("_all").alias("_all"))
+    return sets.groupBy("_key").agg(F.first("_all").alias("_all"))
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    pairs = checkpointed(pairs.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct())
-    ends = pairs.select(F.col("_a").alias("_set")).union(pairs.select("_b"))
+    pairs = checkpointed(pairs)
+    ends = pairs.select(F.col("_a").alias("_key")).union(pairs.select("_b"))
     sets = _sets(ends, classes, docs)
     # ``_a`` is the middle of a star and may be hot; ``_b`` stands in as many pairs as it has postings.
-    left = spread(sets.select(F.col("_set").alias("_a"), F.col("_all").alias("_x")))
-    right = sets.select(F.col("_set").alias("_b"), F.col("_all").alias("_y"))
+    left = spread(sets.select(F.col("_key").alias("_a"), F.col("_all").alias("_x")))
+    right = sets.select(F.col("_key").alias("_b"), F.col("_all").alias("_y"))
     common = F.size(F.array_intersect("_x", "_y"))
     union = F.size("_x") + F.size("_y") - F.col("_common")
     return checkpointed(
@@ -306,14 +307,77 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
     )
 
 
+def _disputed(postings: DataFrame) -> DataFrame:
+    """The postings of lists that hold several components, with the list's size and its largest component."""
+    parts = postings.groupBy("_bucket", "_component").agg(F.count("*").alias("n"))
+    lists = parts.groupBy("_bucket").agg(
+        F.sum("n").alias("_n"), F.max(F.struct("n", "_component")).alias("_top"), F.count("*").alias("_parts")
+    )
+    lists = lists.where("_parts > 1").select("_bucket", "_n", F.col("_top._component").alias("_main"), F.col("_top.n").alias("_inside"))
+    return postings.join(spread(lists), "_bucket")
+
+
+def _parted(labelled: DataFrame) -> DataFrame:
+    """Postings of disputed lists; long ones parted by further common coordinates."""
+    shown = ["_bucket", "_place", "_key", "_component", "_sign", "_n", "_main", "_inside"]
+    now = checkpointed(_disputed(_posted(labelled).drop("_size")).select(*shown))
+    done, long = [], F.col("_n") - F.col("_inside") > LONG_LIST
+    for depth in range(1, DEEPEST + 1):
+        if depth == DEEPEST or now.where(long).isEmpty():
+            done.append(now.withColumn("_depth", F.lit(depth)))
+            break
+        done.append(now.where(~long).withColumn("_depth", F.lit(depth)))
+        # The next common coordinate stands behind the last one and leaves room for those that must follow.
+        last = COORDINATES - MATCHES + depth
+        further = now.where(long & (F.col("_place") < last)).drop("_n", "_main", "_inside")
+        further = further.withColumn("_place", F.explode(F.sequence(F.col("_place") + 1, F.lit(last))))
+        again = F.xxhash64("_bucket", "_place", _value(F.col("_place")))
+        now = checkpointed(_disputed(further.withColumn("_bucket", again)).select(*shown))
+    found = done[0]
+    for one in done[1:]:
+        found = found.unionByName(one)
+    return found.drop("_sign")
+
+
+def _blocks(disputed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Blocks of at most about ``2 * BLOCK`` rows in which all pairs meet that a list is read for.
+
+    Every row lives in one part of its list. The rows outside the largest component
+    visit all of these parts, ``BLOCK`` of them at a time.
+    """
+    homes = F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int")
+    guests = F.ceil((F.col("_n") - F.col("_inside")) / F.lit(BLOCK)).cast("int")
+    dealt = lambda seed, parts: F.pmod(F.xxhash64(F.lit(seed), "_key"), parts).cast("int")
+    outside = F.col("_component") != F.col("_main")
+    at_home = "transform(sequence(0, _guests - 1), g -> named_struct('home', _home, 'guest', g))"
+    visiting = "transform(sequence(0, _homes - 1), h -> named_struct('home', h, 'guest', _guest))"
+    placed = (
+        disputed.withColumns({"_homes": homes, "_guests": guests, "_outside": outside})
+        .withColumns({"_home": dealt(17, F.col("_homes")), "_guest": dealt(19, F.col("_guests"))})
+        .withColumn("_at", F.expr(f"explode(IF(_outside, array_union({at_home}, {visiting}), {at_home}))"))
+        .select(
+            "_bucket",
+            F.col("_at.home").alias("home"),
+            F.col("_at.guest").alias("guest"),
+            (F.col("_at.home") == F.col("_home")).alias("lives"),
+            (F.col("_outside") & (F.col("_at.guest") == F.col("_guest"))).alias("visits"),
+            "_place",
+            "_depth",
+            "_key",
+            "_component",
+        )
+    )
+    signed = placed.join(spread(classes.select("_key", "_size", "_sign")), "_key")
+    return signed.repartition(partitions(classes.sparkSession), *_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS, "_key")
+
+
 def _between(labelled: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links between the components of ``labelled``, enough of them to join what is similar."""
-    contested = checkpointed(
-        _posted(labelled).mapInArrow(_contested, "_bucket bigint, lo int, hi int, _set binary, _component binary")
-    )
-    blocks = contested.join(_sets(contested.select("_set"), classes, docs), "_set")
-    dealt = blocks.repartition(partitions(docs.sparkSession), *_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS, "_set")
-    return checkpointed(dealt.mapInArrow(_verified, "_a binary, _b binary"))
+    blocks = _blocks(_parted(labelled), labelled)
+    contested = checkpointed(blocks.mapInArrow(_contested, "_bucket bigint, home int, guest int, _key bigint, _component bigint"))
+    whole = contested.join(_sets(contested.select("_key"), classes, docs), "_key")
+    dealt = whole.repartition(partitions(docs.sparkSession), *_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS, "_key")
+    return checkpointed(dealt.mapInArrow(_verified, "_a bigint, _b bigint"))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -338,16 +402,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     worded = described.where("_size > 0")
     least = F.min(F.struct(F.col("_id").isNull(), "_id", "_code", "_size", "_sign")).alias("_least")
-    classes = checkpointed(worded.groupBy("_set").agg(least).select("_set", "_least.*"))
-    stars = checkpointed(_confirmed(_posted(classes).mapInArrow(_stars, "_a binary, _b binary"), classes, texts))
-    joined = measured(components(stars, "_a", "_b").withColumnRenamed("node", "_set"))
-    labelled = classes.join(joined, "_set", "left").withColumn("_component", F.coalesce("component", "_set"))
-    links = _between(labelled.select("_set", "_size", "_sign", "_component"), classes, texts)
-    final = measured(components(stars.unionByName(links), "_a", "_b").withColumnRenamed("node", "_set"))
+    found = worded.groupBy("_set").agg(least).select("_set", "_least.*")
+    classes = checkpointed(found.withColumn("_key", F.monotonically_increasing_id()))
+    stars = _confirmed(_stars(classes), classes, texts)
+    joined = measured(components(stars, "_a", "_b").withColumnRenamed("node", "_key"))
+    labelled = classes.join(joined, "_key", "left").withColumn("_component", F.coalesce("component", "_key"))
+    links = _between(labelled.select("_key", "_size", "_sign", "_component"), classes, texts)
+    final = measured(components(stars.unionByName(links), "_a", "_b").withColumnRenamed("node", "_key"))
     first = F.struct(F.col("_id").isNull().alias("_none"), "_id", "_code")
-    heads = classes.join(final, "_set").groupBy("component").agg(F.min(first).alias("_head"))
+    heads = classes.join(final, "_key").groupBy("component").agg(F.min(first).alias("_head"))
     by_set = (
-        classes.join(final, "_set", "left")
+        classes.join(final, "_key", "left")
         .join(measured(heads), "component", "left")
         .select("_set", F.coalesce("_head", first).alias("_head"))
         .select("_set", F.col("_head._id").alias("component_id"), F.col("_head._code").alias("_least"))

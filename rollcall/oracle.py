@@ -854,6 +854,10 @@ SQL["verified_rewrite"] = """
 SELECT o_orderstatus, count(*) AS kept FROM orders GROUP BY o_orderstatus
 """
 
+SQL["recover_rewrite"] = """
+SELECT o_orderstatus, count(*) AS kept, 'clean,dropped,restored' AS said FROM orders GROUP BY o_orderstatus
+"""
+
 SQL["expiring_tables"] = f"""
 SELECT 'RAW_' || c_name AS table_name,
   strftime({AS_OF} + CAST(c_custkey % 90 AS INTEGER), '%Y-%m-%d %H:%M:%S') AS expires
@@ -961,10 +965,42 @@ _LATER = {
     "position_title": "CASE WHEN p.id % 6 = 0 THEN 'Trưởng nhóm' ELSE p.position_title END",
     "department_full": "CASE WHEN p.id % 12 = 11 THEN 'Phòng mới' ELSE p.department_full END",
 }
+def _three_loads(checked: list[str], other: list[str], later: dict[str, str]) -> str:
+    """The second load as in ``_history``; the third is the first again, whole, with longer names."""
+    row = lambda of: ", ".join(f'"{c}": {of(c)}' for c in (*other, *checked))
+    one = row(lambda c: f'p."{c}"')
+    two = row(lambda c: later.get(c, f'p."{c}"'))
+    three = row(lambda c: "p.name || ' *'" if c == "name" else f'p."{c}"')
+    differ = lambda a, b: " OR ".join(f"{a}.{c} IS DISTINCT FROM {b}.{c}" for c in checked)
+    out = lambda r: ", ".join(f"{r}.{c} AS {c}" for c in (*other, *checked))
+    day = lambda d: f"'2024-01-{d:02d} 00:00:00'"
+    return f"""
+WITH loads AS (SELECT p.id, p.id % 15 <> 7 AS had, p.id % 15 <> 4 AS got,
+  {{{one}}} AS a, {{{two}}} AS b, {{{three}}} AS c FROM people p),
+steps AS (SELECT *, got AND (NOT had OR {differ("a", "b")}) AS opens FROM loads),
+ends AS (SELECT *, CASE WHEN opens THEN ({differ("b", "c")}) ELSE ({differ("a", "c")}) END AS again FROM steps)
+SELECT id AS "ID", {out("a")}, {day(1)} AS valid_from,
+  CASE WHEN opens THEN {day(15)} WHEN again THEN {day(30)} END AS valid_to FROM ends WHERE had
+UNION ALL
+SELECT id, {out("b")}, {day(15)}, CASE WHEN again THEN {day(30)} END FROM ends WHERE opens
+UNION ALL
+SELECT id, {out("c")}, {day(30)}, NULL FROM ends WHERE again
+"""
+
+
 SQL["scd2_history"] = _history(
     ["department_full", "position_title", "job_status", "salary_real"],
     {**_LATER, "salary_real": "CASE WHEN p.id % 9 = 2 THEN p.salary_real + 1 ELSE p.salary_real END"},
 )
+SQL["history_table"] = _three_loads(
+    ["department_full", "position_title", "job_status", "salary_real"],
+    ["name", "code", "work_place"],
+    {
+        **_LATER,
+        "salary_real": "CASE WHEN p.id % 9 = 2 THEN p.salary_real + 1 ELSE p.salary_real END",
+        "work_place": "CASE WHEN p.id % 9 <> 2 THEN p.work_place END",
+    },
+)
 SQL["scd2_placement"] = _history(
     [
         "department_id", "department_full", "position_id", "position_title", "job_status",
@@ -1174,6 +1210,8 @@ SELECT * REPLACE (CAST(date_created AS VARCHAR) AS date_created,
 FROM mapp
 """
 
+SQL["approvals_incremental"] = SQL["mart_approvals"]
+
 SQL["int_details_flat"] = """
 SELECT * REPLACE (CAST(date_record AS VARCHAR) AS date_record) FROM flat_first
 """

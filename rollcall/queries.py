@@ -18,7 +18,7 @@ from rollcall.operators import flatten, history, latest, quality, sets, spine, w
 from rollcall.plans import columns, marts, staging
 from rollcall.plans.pipeline import Pipeline, check_all
 from rollcall.settings import APPROVED, PENDING, REFUSED, prepare_session, shared_dir
-from rollcall.sources import raw, star, tables
+from rollcall.sources import histories, layouts, raw, star, tables, versions
 from rollcall.streaming import changes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,9 +512,9 @@ def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_replace(spark, sf_dir):
     path = work_folder(spark, "replace")
     days = event_days(spark, sf_dir)
-    tables.replace(days.filter(F.col("event_type") == "click"), path)
-    tables.replace(days, path)
-    back = spark.read.schema(days.schema).parquet(path)
+    versions.publish(days.filter(F.col("event_type") == "click"), path)
+    versions.publish(days, path)
+    back = versions.read(spark, path, days.schema)
     return back.groupBy("event_type").agg(F.count("*").alias("landed"))
 
 
@@ -522,13 +522,12 @@ def full_replace(spark, sf_dir):
 def window_replace(spark, sf_dir):
     path = work_folder(spark, "window")
     old = event_days(spark, sf_dir)
-    tables.replace(old, path)
+    layouts.write_days(old, path, "SYNC_DATE")
     # The new pull lacks one of the days it covers; that day has to vanish.
     landed = old.filter(
         (F.col("SYNC_DATE") >= "2024-01-20") & (F.col("SYNC_DATE") != "2024-01-25")
     ).withColumn("load", F.lit("new"))
-    kept = spark.read.schema(old.schema).parquet(path)
-    tables.replace(tables.window_rows(kept, landed, "SYNC_DATE", "2024-01-20"), path)
+    layouts.replace_days(landed, path, "SYNC_DATE", "2024-01-20")
     back = spark.read.schema(old.schema).parquet(path)
     return back.groupBy("SYNC_DATE", "load").agg(F.count("*").alias("landed"))
 
@@ -564,6 +563,9 @@ def rewrite_with_add(spark, sf_dir):
     return back.groupBy("event_type", "load").agg(F.count("*").alias("landed"))
 
 
+UPSERT_BUCKETS = 8
+
+
 @query
 def upsert_changed(spark, sf_dir):
     path = work_folder(spark, "upsert")
@@ -581,14 +583,13 @@ def upsert_changed(spark, sf_dir):
         F.when(F.col("i") == 1, PENDING).otherwise(F.col("state")).alias("status"),
         (o * 2 + 1 - F.col("i")).alias("seq"),
     )
-    tables.replace(old, path)
-    kept = spark.read.schema(old.schema).parquet(path)
+    layouts.write_buckets(old, path, "APPROVAL_ID", "status", "seq", UPSERT_BUCKETS)
     top = orders.agg(F.max("o_orderkey")).scalar()
     changed = orders.filter(o % 7 == 0).select(
         o.alias("APPROVAL_ID"), F.lit(REFUSED).alias("status"), (top * 2 + 2 + o).alias("seq")
     )
-    tables.replace(tables.upsert_rows(kept, changed, "APPROVAL_ID", "status", "seq"), path)
-    return spark.read.schema(old.schema).parquet(path)
+    layouts.upsert_buckets(changed, path, "APPROVAL_ID", "status", "seq", UPSERT_BUCKETS)
+    return layouts.read_buckets(spark, path).select(*old.columns)
 
 
 @query
@@ -606,18 +607,32 @@ def clustered_mart(spark, sf_dir):
 def verified_rewrite(spark, sf_dir):
     path = work_folder(spark, "rewrite")
     orders = star.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    tables.replace(orders, path)
-    tables.verified_rewrite(spark, path)
-    # A side copy that is one status short must not replace the table.
-    spark.read.parquet(path).filter(F.col("o_orderstatus") != "P").write.mode("overwrite").parquet(
-        path + tables.SIDE_SUFFIX
-    )
-    tables.swap_if_equal(spark, path)
-    tables.recover(spark, path)
-    back = spark.read.schema(orders.schema).parquet(path)
+    versions.publish(orders, path)
+    versions.verified_rewrite(spark, path)
+    # A copy that is one status short must not become the table.
+    short = versions.read(spark, path).filter(F.col("o_orderstatus") != "P")
+    versions.publish_if_equal(spark, path, versions.stage(short, path))
+    back = versions.read(spark, path, orders.schema)
     return back.groupBy("o_orderstatus").agg(F.count("*").alias("kept"))
 
 
+@query
+def recover_rewrite(spark, sf_dir):
+    """Two interrupted rewrites: one left data behind, the other a pointer to half a version."""
+    path = work_folder(spark, "recover")
+    orders = star.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    versions.publish(orders, path)
+    said = [versions.recover(spark, path)]
+    versions.stage(orders.filter(F.col("o_orderstatus") == "F"), path)
+    said.append(versions.recover(spark, path))
+    versions.publish(orders.filter(F.col("o_orderstatus") == "O"), path)
+    known = versions.versions(spark, path)
+    tables.drop(spark, f"{known[max(known)]}/_SUCCESS")
+    said.append(versions.recover(spark, path))
+    back = versions.read(spark, path, orders.schema)
+    return back.groupBy("o_orderstatus").agg(F.count("*").alias("kept")).withColumn("said", F.lit(",".join(said)))
+
+
 @query
 def expiring_tables(spark, sf_dir):
     k = F.col("c_custkey")
@@ -787,6 +802,40 @@ def scd2_placement(spark, sf_dir):
     return two_loads(spark, sf_dir, history.PLACEMENT_HISTORY_COLUMNS)
 
 
+@query
+def history_table(spark, sf_dir):
+    """Three loads of whole rows: keys vanish and return, some columns are not watched."""
+    path = work_folder(spark, "history")
+    key, check = history.STAFF_HISTORY_KEY, history.STAFF_HISTORY_COLUMNS
+    names = [key, "name", "code", "work_place", *check]
+    first, later = staff_batches(spark, sf_dir, names)
+    whole = staging.stg_profiles(star.sources(spark, sf_dir).profiles, names)
+    third = whole.withColumn("name", F.concat("name", F.lit(" *")))
+    for day, batch in ((1, first), (15, later), (30, third)):
+        histories.load(batch, path, key, check, dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc))
+    return histories.read(spark, path).select(*names, "valid_from", "valid_to")
+
+
+@query
+def approvals_incremental(spark, sf_dir):
+    """Two runs of the daily request mart, the second from the greatest day on."""
+    path = work_folder(spark, "approvals")
+    built = models(spark, sf_dir, keep=("stg_approval_details", "stg_approvals", "stg_profiles"))
+    names = ("stg_approval_details", "stg_approvals", "stg_profiles")
+
+    def rows(since: str | None) -> DataFrame:
+        day = None if since is None else dt.date.fromisoformat(since)
+        return marts.mart_approvals(*(built.model(n) for n in names), incremental_since=day)
+
+    # The first run ends within a day: half of the requests of that day come later.
+    cut, half = F.lit("2024-01-12").cast("date"), F.col("approval_id") % 2 == 0
+    early = F.col("date_created").isNull() | (F.col("date_created") < cut) | ((F.col("date_created") == cut) & half)
+    layouts.refresh_days(lambda since: rows(since).filter(early), path, "date_created", spark)
+    layouts.refresh_days(rows, path, "date_created", spark)
+    schema = rows(None).schema
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 CHECKED = [
     "stg_profiles",
     "stg_approvals",

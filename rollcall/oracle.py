@@ -532,6 +532,19 @@ SELECT strftime(TIMESTAMP '2024-01-01' + to_days(day - 1), '%Y-%m-%d %H:%M:%S')
 FROM snaps
 """
 
+SQL["landed_loads"] = """
+WITH e AS (SELECT *, event_id // 20 AS e, (event_id // 20) % 12 AS k FROM events),
+env AS (SELECT DISTINCT e, k FROM e)
+SELECT event_type AS what, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum, count(*) FILTER (k = 8) AS stamped
+FROM e WHERE k NOT IN (3, 4, 5, 6, 7, 9) GROUP BY event_type
+UNION ALL
+SELECT CASE k WHEN 4 THEN 'envelope is not whole JSON' WHEN 5 THEN 'envelope is not whole JSON'
+  WHEN 6 THEN 'envelope without a data array' WHEN 7 THEN 'no RAW_DATA' ELSE 'line is not JSON' END,
+  count(*), NULL, NULL FROM env WHERE k IN (4, 5, 6, 7, 9) GROUP BY 1
+UNION ALL
+SELECT 'ledger', count(*) FILTER (k NOT IN (4, 5, 6, 7, 9)), count(*) FILTER (k IN (4, 5, 6, 7, 9)), 2 FROM env
+"""
+
 SQL["envelope_pack"] = """
 SELECT event_type, count(*) AS records, CAST(sum(event_id) AS BIGINT) AS id_sum,
   max(value) AS max_value, TRUE AS within_size

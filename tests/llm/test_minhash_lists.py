@@ -74,10 +74,12 @@ def test_all_pairs_across_components_meet_in_blocks(spark, monkeypatch):
     for r in rows:
         by_block.setdefault((r._bucket, r.home, r.guest), []).append(r)
     assert max(map(len, by_block.values())) <= 4 * 5
-    met = set()
+    met = []
     for block in by_block.values():
-        met |= {frozenset((a._key, b._key)) for a in block if a.visits for b in block if b.lives and a._key != b._key}
-    assert {frozenset((a, b)) for a in range(25) for b in range(a) if parts[a] != parts[b]} <= met
+        guests, homes = [r for r in block if r.visits], [r for r in block if r.lives]
+        met += {(block[0]._bucket, frozenset((a._key, b._key))) for a in guests for b in homes if a._key != b._key}
+    assert len(met) == len(set(met))
+    assert {frozenset((a, b)) for a in range(25) for b in range(a) if parts[a] != parts[b]} <= {pair for _, pair in met}
 
 
 def test_rows_are_linear_in_a_group_of_near_copies(spark):

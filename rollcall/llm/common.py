@@ -55,6 +55,23 @@ def measured(df: DataFrame) -> DataFrame:
     return F.broadcast(written) if written.count() <= BROADCAST_ROWS else spread(written)
 
 
+def sampled_texts(df: DataFrame, id_col: str, text_col: str, sample: int) -> list[str]:
+    """``sample`` texts at most: those whose id has the least hash, ties by the text's hash; repeated rows once.
+
+    The last place of the sample is found over hashes alone, so no more than the
+    sample's own texts leave their partitions. Null texts take no part.
+    """
+    text = col(text_col).cast("string")
+    rows = df.select(F.xxhash64(col(id_col)).alias("_hash"), F.xxhash64(text).alias("_code"), text.alias("_text"))
+    rows = rows.where(F.col("_text").isNotNull())
+    places = rows.select(F.struct("_hash", "_code").alias("_place"))
+    last = places.orderBy("_place").limit(sample).agg(F.max("_place")).first()[0]
+    if last is None:
+        return []
+    chosen = rows.where((F.col("_hash") < last["_hash"]) | ((F.col("_hash") == last["_hash"]) & (F.col("_code") <= last["_code"])))
+    return [r["_text"] for r in sorted(chosen.distinct().collect())]
+
+
 def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

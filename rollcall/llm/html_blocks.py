@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import col
+from rollcall.llm.common import sampled_texts
 
 TRAINING_PAGES = 120
 LAYOUTS = 1600  # pages made up from them
@@ -33,7 +33,8 @@ EPOCHS = 16
 BATCH = 64
 SEED = 5
 
-# Elements that begin and end blocks, elements without content, elements whose content is no text.
+# Elements that begin and end blocks, elements without content, elements whose content is no text, elements
+# whose content stands in for something not shown, and what neither a button nor a list of choices can hold.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -41,15 +42,19 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN_CONTENT = frozenset(
-    "head script style noscript template svg math iframe object select button textarea option datalist canvas audio video "
-    "title".split()
+    "script style template svg iframe select button textarea option datalist title annotation annotation-xml".split()
 )
-RAW = frozenset("script style textarea title iframe noscript".split())
+FALLBACKS = frozenset("noscript object canvas audio video".split())
+CHOICES = frozenset("select button option datalist".split())
+ENDS_CHOICES = frozenset(
+    "article aside blockquote footer form h1 h2 h3 h4 h5 h6 header main nav ol p pre section table ul".split()
+)
+RAW = frozenset("script style textarea title iframe".split())
 
 # By the rules of HTML: a quote opens a string only as the first character of a value, elsewhere it is a character like others.
 _NAMED = r"""[^\s/>][^\s/>=]*+"""
 _VALUE = r"""\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+|(?=>))"""
-_TAG = re.compile(rf"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|{_NAMED}(?:{_VALUE})?+)*+)(>|$)""", re.DOTALL)
+_TAG = re.compile(rf"""<!--(?:-?>|.*?(?:--!?>|$))|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|{_NAMED}(?:{_VALUE})?+)*+)(>|$)""", re.DOTALL)
 _ATTRIBUTE = re.compile(rf"""({_NAMED})((?:{_VALUE})?+)""")
 _PATH_ATTRIBUTES = frozenset(("class", "id", "role", "hidden", "style"))
 _NAME = re.compile(r"[a-z]+")
@@ -76,40 +81,145 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(words)
 
 
-def leaf_blocks(page: str) -> list[Block]:
-    """The page's leaf blocks: runs of text between the beginnings and ends of block elements."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    blocks: list[Block] = []
-    text: list[str] = []
-    hidden: list[str] = []
-    linked, links = 0, 0
-
-    def flush() -> None:
-        nonlocal linked
-        joined = " ".join(html.unescape("".join(text)).split()) if text else ""
+@dataclass
+class _Within:
+    """An open element that is hidden (no ``outer``) or a fallback (with what it interrupts)."""
+
+    name: str
+    depth: int  # it ends when fewer elements than these are open
+    outer: tuple | None = None
+
+
+class _Leaves:
+    """Collects the runs of text between the beginnings and ends of block elements.
+
+    Fallback content (``FALLBACKS``) makes blocks of its own, which follow the block
+    they stand in and leave it whole. Hidden and fallback content ends with its
+    parent at the latest, a button or list of choices at the next of its kind or at
+    an element it cannot hold.
+    """
+
+    def __init__(self) -> None:
+        self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.within: list[_Within] = []
+        self.hidden = self.links = 0
+        self._fresh()
+
+    def _fresh(self) -> None:
+        self.blocks: list[Block] = []
+        self.after: list[Block] = []  # fallbacks of the running block
+        self.text: list[str] = []
+        self.linked = 0
+
+    def add(self, piece: str) -> None:
+        if piece and not self.hidden:
+            self.text.append(piece)
+            if self.links:
+                self.linked += len(piece)
+
+    def flush(self) -> None:
+        joined = " ".join(html.unescape("".join(self.text)).split()) if self.text else ""
         if joined:
-            path = tuple(dict.fromkeys(w for _, words in stack for w in words))
-            blocks.append(Block((*path, "^" + (stack[-1][0] if stack else "")), joined, min(1.0, linked / len(joined))))
-        text.clear()
-        linked = 0
-
-    def add(piece: str) -> None:
-        nonlocal linked
-        if piece and not hidden:
-            text.append(piece)
-            if links:
-                linked += len(piece)
+            path = tuple(dict.fromkeys(w for _, words in self.open for w in words))
+            last = "^" + (self.open[-1][0] if self.open else "")
+            self.blocks.append(Block((*path, last), joined, min(1.0, self.linked / len(joined))))
+        self.blocks += self.after
+        self.text, self.after, self.linked = [], [], 0
+
+    def _leave(self) -> None:
+        one = self.within.pop()
+        if one.outer is None:
+            self.hidden -= 1
+            del self.open[one.depth :]
+            return
+        self.flush()
+        found = self.blocks
+        self.blocks, self.after, self.text, self.linked = one.outer
+        self.after += found
+        del self.open[one.depth - 1 :]
+
+    def leave(self, names: Iterable[str]) -> None:
+        """End the elements from the outermost of the innermost run of ``names`` on, if one is open."""
+        at = len(self.within)
+        while at and self.within[at - 1].name in names:
+            at -= 1
+        while len(self.within) > at:
+            self._leave()
+
+    def _break(self) -> None:
+        """A block begins or ends here; what is hidden breaks nothing."""
+        if not self.hidden:
+            self.flush()
+
+    def start(self, name: str, attributes: str) -> None:
+        if name in HIDDEN_CONTENT or name in FALLBACKS:
+            if name in CHOICES:
+                self._next_choice(name)
+            if attributes.rstrip().endswith("/"):
+                return
+            if name in HIDDEN_CONTENT:
+                self.within.append(_Within(name, len(self.open)))
+                self.hidden += 1
+            else:
+                outer = (self.blocks, self.after, self.text, self.linked)
+                self._fresh()
+                self.open.append((name, _names(name, attributes)))
+                self.within.append(_Within(name, len(self.open), outer))
+            return
+        if name in ENDS_CHOICES:
+            self.leave(CHOICES)
+        if name not in BLOCKS:
+            return
+        self._break()
+        if name in VOID:
+            return
+        floor = self.within[-1].depth if self.within else 0
+        if len(self.open) > floor:
+            last = self.open[-1][0]
+            if last == "p" or (name in ("li", "dt", "dd", "tr", "td", "th") and last == name):
+                self.open.pop()
+        self.open.append((name, _names(name, attributes)))
+
+    def _next_choice(self, name: str) -> None:
+        """A button ends an open button, an option an open option."""
+        if self.within and self.within[-1].name == name:
+            self._leave()
+
+    def end(self, name: str) -> None:
+        if name in HIDDEN_CONTENT or name in FALLBACKS:
+            if any(one.name == name for one in self.within):
+                while self.within[-1].name != name:
+                    self._leave()
+                self._leave()
+        elif name in BLOCKS:
+            self._break()
+            places = [k for k, (open_, _) in enumerate(self.open) if open_ == name]
+            if places:
+                while self.within and self.within[-1].depth > places[-1]:
+                    self._leave()
+                self._break()
+                del self.open[places[-1] :]
+
+    def finish(self) -> list[Block]:
+        while self.within:
+            self._leave()
+        self.flush()
+        return self.blocks
 
+
+def leaf_blocks(page: str) -> list[Block]:
+    """The page's leaf blocks. ``head`` and ``body`` need not be marked: text stands in the body wherever it is met."""
+    leaves = _Leaves()
     at, size = 0, len(page)
     while at < size:
         tag = page.find("<", at)
         if tag < 0:
-            add(page[at:])
+            leaves.add(page[at:])
             break
-        add(page[at:tag])
+        leaves.add(page[at:tag])
         found = _TAG.match(page, tag)
         if not found:
-            add("<")
+            leaves.add("<")
             at = tag + 1
             continue
         at = found.end()
@@ -128,32 +238,15 @@ def leaf_blocks(page: str) -> list[Block]:
             at = stop.start() if stop else size
             if stop:
                 at = page.find(">", at) + 1 or size
-            continue
-        if name in HIDDEN_CONTENT:
-            if not closing and not attributes.rstrip().endswith("/"):
-                hidden.append(name)
-            elif closing and name in hidden:
-                while hidden.pop() != name:
-                    pass
-            continue
-        if name == "body":
-            hidden.clear()
-        if name == "br":
-            add(" ")
+        elif name == "br":
+            leaves.add(" ")
         elif name == "a":
-            links = 0 if closing else 1
-        elif name in BLOCKS:
-            flush()
-            if closing:
-                if any(open_ == name for open_, _ in stack):
-                    while stack.pop()[0] != name:
-                        pass
-            elif name not in VOID:
-                if stack and (stack[-1][0] == "p" or (name in ("li", "dt", "dd", "tr", "td", "th") and stack[-1][0] == name)):
-                    stack.pop()
-                stack.append((name, _names(name, attributes)))
-    flush()
-    return blocks
+            leaves.links = 0 if closing else 1
+        elif closing:
+            leaves.end(name)
+        else:
+            leaves.start(name, attributes)
+    return leaves.finish()
 
 
 def features(blocks: list[Block]) -> np.ndarray:
@@ -320,13 +413,14 @@ PHRASES = {
     "aside": ("Related articles", "Most read", "Popular"),
     "footer": ("© Example", "All rights reserved", "Privacy", "Terms of use", "Imprint"),
 }
+STAND_INS = ("Please turn on JavaScript.", "Your browser cannot play this video.", "Your browser does not support this element.")
 
 
 class Layouts:
     """Makes pages of known labels from the sentences of sampled pages."""
 
     def __init__(self, sentences: list[str], seed: int = SEED):
-        self.rng = np.random.default_rng([seed, 1])
+        self.rng, self.other = np.random.default_rng([seed, 1]), np.random.default_rng([seed, 2])
         self.sentences = sentences or ["Nothing to read here."]
 
     def _one(self, values) -> str:
@@ -429,6 +523,11 @@ class Layouts:
             pieces = [(text, 1)] if self._flip(0.25) else [("<p>", -1), (text, 1), ("</p>", -1)] if self._flip(0.2) else body
         if self._flip(0.1):
             pieces = pieces[: int(self.rng.integers(1, len(pieces) + 1))]
+        if self.other.random() < 0.1:
+            tag = sorted(FALLBACKS)[int(self.other.integers(len(FALLBACKS)))]
+            text = STAND_INS[int(self.other.integers(len(STAND_INS)))]
+            place = int(self.other.integers(len(pieces) + 1))
+            pieces[place:place] = [(f"<{tag}>", -1), (text, 0), (f"</{tag}>", -1)]
         # Each block's label is found by a mark that no page holds.
         marked = "".join(f"\x00{label}\x00{piece}" if label >= 0 else piece for piece, label in pieces)
         blocks, labels = [], []
@@ -443,9 +542,8 @@ class Layouts:
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = TRAINING_PAGES) -> dict[str, np.ndarray]:
     """Weights of the labeller, from the sentences of ``sample`` pages at most (least hash of the id)."""
-    rows = pages.select(F.xxhash64(col(id_col)).alias("_hash"), col(html_col).cast("string").alias("_html"))
-    texts = rows.where(F.col("_html").isNotNull()).orderBy("_hash", "_html").limit(sample).select("_html").collect()
-    sentences = sorted({b.text for (page,) in texts for b in leaf_blocks(page)})
+    texts = sampled_texts(pages, id_col, html_col, sample)
+    sentences = sorted({b.text for page in texts for b in leaf_blocks(page)})
     layouts = Layouts(sentences)
     return fit([layouts.page() for _ in range(LAYOUTS)])
 

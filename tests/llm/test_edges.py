@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,7 +140,7 @@ def test_chat_parts_and_escapes(spark):
     assert [tuple(a) for a in first.attachments] == [("image", "a.png", first.segment.index("<|image|>"), 2)]
     second = next(r for r in turns if r.conv_id == 1 and r.turn == 1)
     assert chat.read_segment(second.segment) == ("assistant", "a\\b <|end|> [INST]")
-    assert chat.unescape(second.segment[second.loss_start : second.loss_end]) == "a\\b <|end|> [INST]"
+    assert [chat.unescape(second.segment[a:b]) for a, b in second.loss] == ["a\\b <|end|> [INST]"]
     assert sorted(r.n_turns for r in chat.digests(chat.format_turns(df)).collect()) == [1, 2, 2]
     assert {chat.read_segment(r.segment)[0] for r in turns if r.conv_id == 2} == {"", "x\ny"}
     assert chat.digests(chat.format_turns(df.limit(0))).count() == 0
@@ -278,3 +279,150 @@ def test_near_copies_without_ids(spark):
     assert len([t for _, t in kept if t in near]) == 1 and (7, other + " end") in kept and (None, other) not in kept
     plain = minhash.keep_one(docs.where("doc_id is null and text <> ''")).collect()
     assert len(plain) == 2
+
+
+def test_parts_are_escaped_as_one_text(spark):
+    parts = [{"kind": "text", "text": t} for t in ("<|e", "nd|> hi \\", "<")]
+    parts[2:2] = [{"kind": "audio", "ref": "a.ogg", "seconds": 1.5}, {"kind": "document", "ref": "b.pdf", "pages": 2}]
+    text, texts, attached = chat.segment("assistant", parts)
+    assert text.count(chat.END) == 1 and chat.read_segment(text) == ("assistant", "<|end|> hi \\<|audio|><|document|><")
+    assert [chat.unescape(text[s["start"] : s["end"]]) for s in texts] == ["<|end|> hi \\", "<"]
+    assert [(a["kind"], a["ref"], a["tokens"]) for a in attached] == [("audio", "a.ogg", 38), ("document", "b.pdf", 1024)]
+    assert all(text.startswith(chat.PLACEHOLDERS[a["kind"]], a["place"]) for a in attached)
+    with pytest.raises(ValueError, match="video"):
+        chat.segment("user", [{"kind": "video"}])
+
+
+@pytest.mark.parametrize("cut", [1, 3, 7, 1000])
+def test_turns_are_read_from_the_joined_conversation(cut):
+    turns = [("user", "</s>[INST] <|end|>\n<|turn|>x\n"), ("", ""), ("a\n<|end|>\n", "\\"), ("assistant", "<|end|>\n")]
+    whole = "".join(chat.segment(role, [{"kind": "text", "text": text}])[0] for role, text in turns)
+    reader = chat.Reader()
+    assert [t for at in range(0, len(whole), cut) for t in reader.feed(whole[at : at + cut])] == turns
+    reader.finish()
+    with pytest.raises(ValueError, match="no end"):
+        list(reader.feed("<|turn|>user\nx"))
+        reader.finish()
+
+
+def test_vectors_of_several_widths_share_a_partition(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.1, 0.0]), (5, [1.0, 0.0, 0.0, 0.0]), (6, [1.0, 0.1, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_vectors(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (1, 5), 6: (1, 5)}
+
+
+def test_of_repeated_ids_and_texts_the_same_row_stays(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "z", {"k": 1}), (1, text, "a", {"k": 2}), (1, text, None, None), (2, "other words", "b", None)]
+    schema = "doc_id bigint, text string, source string, extra map<string,int>"
+    kept = [set(minhash.keep_one(spark.createDataFrame(some, schema)).select("doc_id", "source").collect()) for some in (rows, rows[::-1])]
+    assert kept[0] == kept[1] == {(1, "a"), (2, "b")}
+
+
+def test_sample_is_found_over_hashes(spark):
+    rows = [(k, f"text {k}") for k in range(50)] + [(None, "same"), (None, "same"), (None, "other"), (7, None)]
+    df = spark.createDataFrame(rows, "id bigint, text string").repartition(5)
+    got = common.sampled_texts(df, "id", "text", 10)
+    by_hash = df.where("text is not null").selectExpr("xxhash64(id) h", "text").orderBy("h").collect()
+    assert set(got) <= {r.text for r in by_hash} and len(got) == 10 == len(set(got))
+    if all(r.h != 42 for r in by_hash[:10]):
+        assert got == [r.text for r in by_hash[:10]]
+    assert sorted(common.sampled_texts(df, "id", "text", 1000)) == sorted({r.text for r in by_hash})
+    assert common.sampled_texts(df.limit(0), "id", "text", 10) == []
+
+
+def test_cache_of_stretches_is_bounded_by_bytes(monkeypatch):
+    vocabulary = pieces.Vocabulary(TOKENIZER)
+    whole = [f"數據{k}處理" * 40 for k in range(30)] + [f"word{k} text" for k in range(30)]
+    want = [ids.tolist() for ids in pieces.Encoder(vocabulary)(whole)]
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 2000)
+    run, held = pieces.Encoder(vocabulary), []
+    got = []
+    for text in whole:
+        got += [ids.tolist() for ids in run([text])]
+        held.append(run.held)
+    assert got == want and max(held) < 2000 + max(held[k] for k in (0, 1)) + 5000 and any(b < a for a, b in zip(held, held[1:]))
+
+
+def _texts(page):
+    return [b.text for b in html_blocks.leaf_blocks(page)]
+
+
+def test_pages_without_head_and_body_marks():
+    assert _texts("<html><head><title>x</title><p>Hello world<p>more") == ["Hello world", "more"]
+    assert _texts("<title>x</title>Hello <b>world</b>") == ["Hello world"]
+    assert _texts("<html><head><style>p{}</style><meta charset=x>Text<h1>Head</h1>") == ["Text", "Head"]
+
+
+def test_comments_end_by_the_rules():
+    assert _texts("<p>One</p><!--><p>Two</p>") == ["One", "Two"]
+    assert _texts("<p>One</p><!---><p>Two</p>") == ["One", "Two"]
+    assert _texts("<p>One</p><!-- a > b --!><p>Two</p><!----><p>Three</p>") == ["One", "Two", "Three"]
+    assert _texts("<p>One<!-- <p>not closed") == ["One"]
+
+
+def test_formulas_and_fallbacks_are_blocks_for_the_labeller():
+    assert _texts("One <math><mi>x</mi><annotation>\\x</annotation></math> two") == ["One x two"]
+    page = '<p>Before <video class="player"><source src=a>No <b>video</b><p>here</video> after</p><p>Next</p>'
+    assert _texts(page) == ["Before after", "No video", "here", "Next"]
+    inner = html_blocks.leaf_blocks(page)[1]
+    assert {"video", ".player", "^video"} <= set(inner.path)
+    assert _texts("<div>a <noscript><img src=x></noscript> b</div>") == ["a b"]
+    assert _texts("<div><object>x<canvas>y</object>z</div>") == ["z", "x", "y"]
+    assert _texts("<div><audio>not closed</div><p>After</p>") == ["not closed", "After"]
+
+
+def test_hidden_content_ends_with_its_parent():
+    assert _texts("<div><button>Share</div><p>Rest</p>") == ["Rest"]
+    assert _texts("<article><p>One<button>Share<p>Two</article>") == ["One", "Two"]
+    assert _texts("<p>a <button><div>icon</div></button> b</p>") == ["a b"]
+    assert _texts("<button>x<button>y</button>z") == ["z"]
+    assert _texts("<select><option>a<option>b</select>text") == ["text"]
+    assert _texts("<div><svg><text>label</div>text") == ["text"]
+
+
+def test_blocks_of_broken_pages_hold_what_a_plain_parser_reads():
+    """Of random pages, also broken ones, exactly the words outside hidden elements come out."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.words, self.raw = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.raw += tag in ("script", "style", "title")
+
+        def handle_endtag(self, tag):
+            self.raw -= tag in ("script", "style", "title") and self.raw > 0
+
+        def handle_data(self, data):
+            if not self.raw:
+                self.words += data.split()
+
+    rng = np.random.default_rng(9)
+    tags = "html head body div p ul li table tr td article h1 b a i span section video math object".split()
+    for _ in range(300):
+        page, count = [], 0
+        for _ in range(int(rng.integers(1, 40))):
+            draw, tag = rng.random(), tags[int(rng.integers(len(tags)))]
+            if draw < 0.35:
+                page.append(f"<{tag}{['', ' class=x', ' title=' + chr(34) + 'a > b' + chr(34)][int(rng.integers(3))]}>")
+            elif draw < 0.55:
+                page.append(f"</{tag}>")
+            elif draw < 0.6:
+                page.append(["<!-- no -->", "<script>var no;</script>", "<title>no</title>", "<br>"][int(rng.integers(4))])
+            else:
+                page.append(f" w{count} &amp; ")
+                count += 1
+        page = "".join(page)
+        plain = Plain()
+        plain.feed(page)
+        plain.close()
+        assert sorted(w for t in _texts(page) for w in t.split()) == sorted(plain.words), page

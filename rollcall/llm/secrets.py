@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import checkpointed, col, packed, slices, small_batches, utf8
+from rollcall.llm.common import checkpointed, col, packed, sampled_texts, slices, small_batches, utf8
 
 TRAINING_TEXTS = 300
 FINDINGS = 4000
@@ -371,8 +371,7 @@ def train(
 ) -> Scanner:
     """A scanner with the dictionary of all texts; its labelled findings use ``sample`` texts at most (least hash of the id)."""
     spark, text = docs.sparkSession, col(text_col).cast("string")
-    rows = docs.select(F.xxhash64(col(id_col)).alias("_hash"), text.alias("_text")).where(F.col("_text").isNotNull())
-    texts = [t for (t,) in rows.orderBy("_hash", "_text").limit(sample).select("_text").collect()]
+    texts = sampled_texts(docs, id_col, text_col, sample)
     labelled = findings or labelled_findings(texts)
     table = dictionary(docs, text_col)
     lengths = sorted(n for (n,) in table.select(F.length("_word")).distinct().collect())

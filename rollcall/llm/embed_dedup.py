@@ -79,9 +79,17 @@ def _roots(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
+def _by_width(rows: pa.Table) -> Iterator[pa.Table]:
+    """The rows whose vectors have the same length, in their order."""
+    size = rows.column("_vector").combine_chunks().value_lengths().to_numpy()
+    widths = np.unique(size)
+    for width in widths:
+        yield rows.take(pa.array(np.flatnonzero(size == width))) if len(widths) > 1 else rows
+
+
 def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per row of a block: how many vectors it links to there, and the root of its links."""
-    for rows in whole_blocks(batches, _KEYS):
+    for rows in (part for whole in whole_blocks(batches, _KEYS) for part in _by_width(whole)):
         block, lists = block_numbers(rows, _KEYS), rows.column("_vector").combine_chunks()
         unit = _matrix(lists)
         signs = rows.column("_sign").combine_chunks().flatten().to_numpy().reshape(len(unit), TABLES)

@@ -10,7 +10,8 @@ attachment's reference and the number of tokens it will expand to. Turns look li
 Control strings inside texts and roles are broken by a backslash after their first
 character (a backslash of the text is doubled), so they can neither end a turn nor
 pass for a placeholder, and taking the backslashes out again gives back the text.
-The loss covers the assistant's text, not the marks around it.
+Neighbouring text parts are escaped as one, for a control string may span them.
+The loss covers the assistant's text, neither the marks around it nor placeholders.
 
 Formatting and reading back stream over conversations sorted within partitions: a
 conversation is never gathered, however long it is.
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import col, partitions
 
 TURN, END = "<|turn|>", "<|end|>"
+_LAST = END + "\n"
 PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
 LEARNED = "assistant"
 PATCH, MAX_PATCHES = 28, 1280  # pixels a side of an image token; tokens an image has at most
@@ -65,17 +67,24 @@ def unescape(text: str) -> str:
 
 @dataclass
 class Flattener:
-    """Visits the parts of one message in order."""
+    """Visits the parts of one message in order; ``finish`` ends it."""
 
     body: list[str] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
+    texts: list[tuple[int, int]] = field(default_factory=list)  # where texts stand in the body
+    run: list[str] = field(default_factory=list)  # text parts since the last attachment
+    size: int = 0
 
     def visit(self, part: dict) -> None:
         kind = part.get("kind") or "text"
         getattr(self, f"visit_{kind}", self.visit_unknown)(part)
 
     def visit_text(self, part: dict) -> None:
-        self.body.append(escape(part.get("text") or ""))
+        self.run.append(part.get("text") or "")
+
+    def finish(self) -> str:
+        self._end_run()
+        return "".join(self.body)
 
     def visit_image(self, part: dict) -> None:
         wide, high = (max(part.get(side) or PATCH, 1) for side in ("width", "height"))
@@ -91,20 +100,33 @@ class Flattener:
         raise ValueError(f"unknown kind of content part: {part.get('kind')}")
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
-        place = sum(map(len, self.body))
-        self.attachments.append({"kind": kind, "ref": part.get("ref"), "place": place, "tokens": tokens})
-        self.body.append(PLACEHOLDERS[kind])
+        self._end_run()
+        self.attachments.append({"kind": kind, "ref": part.get("ref"), "place": self.size, "tokens": tokens})
+        self._put(PLACEHOLDERS[kind])
+
+    def _end_run(self) -> None:
+        text = escape("".join(self.run))
+        self.run.clear()
+        if text:
+            self.texts.append((self.size, self.size + len(text)))
+            self._put(text)
 
+    def _put(self, piece: str) -> None:
+        self.body.append(piece)
+        self.size += len(piece)
 
-def segment(role: str, parts: list[dict]) -> tuple[str, int, list[dict]]:
-    """A formatted turn, where its body begins, and its attachments (places count from the segment's start)."""
+
+def segment(role: str, parts: list[dict]) -> tuple[str, list[dict], list[dict]]:
+    """A formatted turn, where its texts stand, and its attachments (places count from the segment's start)."""
     flat = Flattener()
     for part in parts:
         flat.visit(part)
+    body = flat.finish()
     head = TURN + escape(role).replace("\n", "\\\n") + "\n"
     for one in flat.attachments:
         one["place"] += len(head)
-    return head + "".join(flat.body) + END + "\n", len(head), flat.attachments
+    texts = [{"start": len(head) + a, "end": len(head) + b} for a, b in flat.texts]
+    return head + body + END + "\n", texts, flat.attachments
 
 
 def read_segment(text: str) -> tuple[str, str]:
@@ -114,16 +136,38 @@ def read_segment(text: str) -> tuple[str, str]:
     return unescape(inner[: head - 1]), unescape(inner[head:])
 
 
+class Reader:
+    """Reads turns back from a formatted conversation by its marks alone, however it is cut into pieces."""
+
+    def __init__(self) -> None:
+        self.rest, self.seen = "", 0
+
+    def feed(self, piece: str) -> Iterator[tuple[str, str]]:
+        self.rest += piece
+        while (end := self.rest.find(_LAST, self.seen)) >= 0:
+            end += len(_LAST)
+            turn, self.rest, self.seen = self.rest[:end], self.rest[end:], 0
+            if not turn.startswith(TURN):
+                raise ValueError("a turn has no beginning")
+            yield read_segment(turn)
+        self.seen = max(len(self.rest) - len(_LAST) + 1, 0)
+
+    def finish(self) -> None:
+        if self.rest:
+            raise ValueError("a turn has no end")
+
+
 TURNS = (
-    "conv_id bigint, turn bigint, place bigint, role string, segment string, loss_start bigint, loss_end bigint, "
+    "conv_id bigint, turn bigint, place bigint, role string, segment string, loss array<struct<start:int,end:int>>, "
     "attachments array<struct<kind:string,ref:string,place:int,tokens:int>>, attachment_tokens bigint"
 )
 
 
 def _formatted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in TURNS.split(", ")]
+    spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     kinds = pa.list_(pa.struct([("kind", pa.string()), ("ref", pa.string()), ("place", pa.int32()), ("tokens", pa.int32())]))
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), kinds, pa.int64()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), spans, kinds, pa.int64()]
     now, place = object(), 0
     for batch in batches:
         out = []
@@ -132,11 +176,10 @@ def _formatted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 now, place = row["conv_id"], 0
             role = row["role"] or ""
             parts = row["parts"] or [{"kind": "text", "text": row["text"]}]
-            text, body, attached = segment(role, parts)
-            learned = role == LEARNED
-            start, end = (body, len(text) - len(END) - 1) if learned else (0, 0)
+            text, texts, attached = segment(role, parts)
+            loss = texts if role == LEARNED else []
             tokens = sum(a["tokens"] for a in attached)
-            out.append((row["conv_id"], row["turn"], place, role, text, start, end, attached, tokens))
+            out.append((row["conv_id"], row["turn"], place, role, text, loss, attached, tokens))
             place += len(text)
         columns = zip(*out, strict=True) if out else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
@@ -152,8 +195,8 @@ def format_turns(
 ) -> DataFrame:
     """One formatted segment per turn, the turns of a conversation in order within a partition.
 
-    ``place`` is the segment's offset in its conversation's text; ``loss_start`` and
-    ``loss_end`` bound the learned text within the segment, both 0 if there is none.
+    ``place`` is the segment's offset in its conversation's text; ``loss`` holds
+    the bounds of the learned texts within the segment, without the placeholders between.
     ``parts_col`` names an array of structs with ``kind`` and what that kind needs;
     without it, or where it is null or empty, the text is the only part. A null text
     is empty, a null role is the empty role, null turns come first, null
@@ -184,19 +227,21 @@ class _Digest:
     attachments: int = 0
 
     def __post_init__(self):
-        self.all, self.learned = hashlib.sha256(), hashlib.sha256()
+        self.all, self.learned, self.reader = hashlib.sha256(), hashlib.sha256(), Reader()
 
     def add(self, row: dict) -> None:
-        role, text = read_segment(row["segment"])
-        self.all.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-        learned = unescape(row["segment"][row["loss_start"] : row["loss_end"]])
-        self.learned.update(learned.encode("utf-8", "surrogatepass"))
-        self.turns += 1
+        for role, text in self.reader.feed(row["segment"]):
+            self.all.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+            self.turns += 1
+        for span in row["loss"]:
+            learned = unescape(row["segment"][span["start"] : span["end"]])
+            self.learned.update(learned.encode("utf-8", "surrogatepass"))
+            self.loss += len(learned)
         self.chars += len(row["segment"])
-        self.loss += len(learned)
         self.attachments += len(row["attachments"])
 
     def row(self) -> tuple:
+        self.reader.finish()
         return (self.conv_id, self.turns, self.all.hexdigest(), self.loss, self.learned.hexdigest(), self.chars, self.attachments)
 
 
@@ -211,7 +256,7 @@ def _digested(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now: _Digest | None = None
     for batch in batches:
         done = []
-        for row in batch.select(["conv_id", "segment", "loss_start", "loss_end", "attachments"]).to_pylist():
+        for row in batch.select(["conv_id", "segment", "loss", "attachments"]).to_pylist():
             if now is None or now.conv_id != row["conv_id"]:
                 if now is not None:
                     done.append(now.row())

@@ -28,7 +28,8 @@ from rollcall.llm.common import packed, slices, utf8
 SPACE = "▁"
 #: Stands for a U+2581 of the text itself, which must not turn into a space; no valid text holds it.
 ESCAPED = "\udc81"
-CACHE = 250_000  # stretches whose pieces a task remembers
+CACHE_BYTES = 64_000_000  # what a task may hold of stretches and their pieces, beyond one batch's
+ENTRY_BYTES = 150  # of a remembered stretch, besides its characters and ids
 BATCH_BYTES = 2_000_000
 LONG = 128  # longer stretches are relaxed one by one, with a heap
 NEVER = np.int32(2**31 - 1)
@@ -193,23 +194,31 @@ def encode_stretches(stretches: Sequence[str], vocabulary: Vocabulary) -> list[b
     return out
 
 
+def _width(stretch: str) -> int:
+    """Bytes a character takes in memory."""
+    return 1 if stretch.isascii() else 4 if max(stretch) > "\uffff" else 2
+
+
 class Encoder:
     """Encodes texts batch by batch and remembers stretches it has met."""
 
     _stretch = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+")
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.known = vocabulary, {}
+        self.vocabulary, self.known, self.held = vocabulary, {}, 0
 
     def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
         parts = [
             self._stretch.findall(SPACE + t.replace(SPACE, ESCAPED).replace(" ", SPACE)) if t else [] for t in texts
         ]
-        if len(self.known) > CACHE:
+        if self.held > CACHE_BYTES:
             self.known.clear()
+            self.held = 0
         new = list(set().union(*parts).difference(self.known))
         if new:
-            self.known.update(zip(new, encode_stretches(new, self.vocabulary), strict=True))
+            ids = encode_stretches(new, self.vocabulary)
+            self.known.update(zip(new, ids, strict=True))
+            self.held += sum(ENTRY_BYTES + _width(s) * len(s) + len(b) for s, b in zip(new, ids, strict=True))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, part)), np.int32) for part in parts]
 
 

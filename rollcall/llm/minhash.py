@@ -450,7 +450,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns; of rows that repeat id and text, one."""
+    """The rows of ``docs`` that are kept, all columns; of rows that repeat id and text, one.
+
+    Which one does not depend on their order: the one whose other columns, as JSON
+    text, come first.
+    """
     kept = near_duplicates(docs, id_col, text_col).where("kept").select("_id", "_code").distinct()
     keys = packed(docs).select(
         "_row",
@@ -459,5 +463,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     same = F.col("k._id").eqNullSafe(F.col("d._id")) & (F.col("k._code") == F.col("d._code"))
     found = keys.alias("d").join(spread(kept).alias("k"), same).select("d._id", "d._code", "d._row")
-    once = found.groupBy("_id", "_code").agg(F.first("_row").alias("_row"))
+    others = F.to_json(F.struct(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c != text_col]))
+    once = found.groupBy("_id", "_code").agg(F.min_by("_row", others).alias("_row"))
     return once.select("_row.*")

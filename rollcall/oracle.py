@@ -954,6 +954,14 @@ SELECT user_id, status, event_id, value FROM (
 ) WHERE rn = 1
 """
 
+SQL["stream_folded"] = f"""
+SELECT user_id, status, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id
+    ORDER BY (coalesce(status, '') = 'Chờ duyệt') ASC, event_id % 3, event_id) AS rn
+  FROM (SELECT *, {STATUS_OF_EVENT} AS status FROM events)
+) WHERE rn = 1
+"""
+
 
 def _history(checked: list[str], later: dict[str, str]) -> str:
     """Two loads; ``later`` gives the second load's value of a changed column."""
@@ -1246,6 +1254,8 @@ SELECT CAST(tk.d AS VARCHAR) AS event_date, person AS personnel_code,
 FROM tk LEFT JOIN people p ON tk.person = p.code
 """
 
+SQL["landed_run"] = SQL["mart_attendance_events"]
+
 SQL["mart_employee_events"] = """
 SELECT profile_id, personnel_code, name, department, department_group, position_title,
   CAST(job_date_join AS VARCHAR) AS event_date, 'Tuyển mới' AS event_type

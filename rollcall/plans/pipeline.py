@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rollcall.operators import quality, spine, watch
 from rollcall.plans import compliance, marts, staging
 from rollcall.settings import Settings, shared_dir
-from rollcall.sources import tables
+from rollcall.sources import tables, versions
 from rollcall.sources.raw import Sources
 
 # Models that wait for the HR sheet, and the daily partitioned marts.
@@ -83,6 +83,10 @@ class Pipeline:
         written = self.model(name)
         return watch.results(written, name, quality.SUITES.get(name, []), self._seen[name], minimum)
 
+    def use(self, name: str, written: DataFrame) -> None:
+        """Let later models read a table that holds the model's rows."""
+        self._built[name] = written
+
     def close(self) -> None:
         """Drop the written models; frames built on them cannot be read any more."""
         if self._folder is not None:
@@ -170,29 +174,36 @@ def skipped_models(has_hr_sheet: bool) -> list[str]:
 def run(
     spark: SparkSession, sources: Sources, cfg: Settings, root: str, models: Sequence[str] = MARTS
 ) -> dict[str, str]:
-    """Write the marts under ``root``; returns the path of each one written.
+    """Publish the marts under ``root``; returns the data folder of each version published.
 
-    Everything a later model reads again is written once and read back. A mart
-    skipped for want of the HR sheet keeps its previous table; other marts that
-    need it still build on a fresh one in the staging folder.
+    A mart is a table of versions (``versions``): readers keep the one they hold, a run that
+    dies leaves all marts readable, and ``versions.read`` finds the newest. Later models read
+    what was published, so a plain mart is written once; a daily one is written to the staging
+    folder first, since its layout samples it. A mart skipped for want of the HR sheet keeps its
+    versions; other marts that need it build on a fresh one in the staging folder.
     """
     skipped = set(skipped_models(sources.hr_master is not None))
     folder = tables.layer_path(root, uuid.uuid4().hex, "STG")
-    shared = ["stg_profiles", "stg_approvals", "stg_approval_details", "stg_timekeep", *MARTS]
+    chosen = [m for m in MARTS if m in models and m not in skipped]
+    shared = ["stg_profiles", "stg_approvals", "stg_approval_details", "stg_timekeep"]
+    shared += [m for m in MARTS if m not in chosen or m in PARTITIONED]
     pipeline = Pipeline(spark, sources, cfg, keep=shared, folder=folder)
     written = {}
-    for name in models:
-        if name in skipped:
-            continue
-        path = tables.layer_path(root, name, "MART")
-        tables.recover(spark, path)
-        df = pipeline.model(name)
-        if name in PARTITIONED:
-            tables.write_mart(df, path, PARTITIONED[name], "personnel_code")
-        else:
-            tables.replace(df, path)
-        written[name] = path
-    pipeline.close()
+    try:
+        for name in chosen:
+            path = tables.layer_path(root, name, "MART")
+            versions.recover(spark, path)
+            df = pipeline.model(name)
+            if name in PARTITIONED:
+                day = PARTITIONED[name]
+                versions.publish(tables.daily_layout(df, day, "personnel_code"), path, day)
+            else:
+                versions.publish(df, path)
+            versions.expire(spark, path)
+            written[name] = versions.current(spark, path)
+            pipeline.use(name, spark.read.schema(df.schema).parquet(written[name]).select(*df.columns))
+    finally:
+        pipeline.close()
     return written
 
 

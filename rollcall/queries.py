@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import jsonx, safe, text
 from rollcall.operators import flatten, history, latest, quality, sets, spine, worklist
-from rollcall.plans import columns, marts, staging
+from rollcall.plans import columns, loads, marts, staging
 from rollcall.plans.pipeline import Pipeline, check_all
 from rollcall.settings import APPROVED, PENDING, REFUSED, prepare_session, shared_dir
 from rollcall.sources import histories, landing, layouts, raw, star, tables, versions
@@ -811,6 +811,43 @@ def stream_upsert(spark, sf_dir):
     )
 
 
+@query
+def stream_folded(spark, sf_dir):
+    """Three drains of a stream, its log folded after the first two; the third part is read from the tail."""
+    folder = work_folder(spark, "stream")
+    events = star.table(spark, sf_dir, "events").select("user_id", event_status().alias("status"), "event_id", "value")
+    state = (f"{folder}/log", events.schema, "user_id", "status", "event_id")
+    for part in range(3):
+        events.filter(F.col("event_id") % 3 == part).write.parquet(f"{folder}/in/part={part}")
+        landed = changes.landed_files(spark, f"{folder}/in/part=*", events.schema, glob="*.parquet", files=1_000_000)
+        changes.log_changes(landed.select(*events.columns), state[0], f"{folder}/checkpoint")
+        if part < 2:
+            changes.fold(spark, *state)
+    return changes.current_state(spark, *state)
+
+
+@query
+def landed_run(spark, sf_dir):
+    """Two whole loads of landed files, the second of which replaces attendance days; the attendance mart."""
+    landed, root = work_folder(spark, "landed"), work_folder(spark, "run")
+    source = star.sources(spark, sf_dir)
+
+    def land(df: DataFrame, table: str, part: str) -> None:
+        df.select(F.to_json(F.struct(*df.columns))).write.text(f"{landed}/{table}/{part}")
+
+    day = F.col("SYNC_DATE")
+    cut = "2024-01-20"
+    wrong = source.timekeep.filter(day >= cut).withColumn("SYNC_DATE", F.concat(F.lit("2024-02-"), F.substring(day, 9, 2)))
+    land(source.profiles, "profiles", "1")
+    land(source.timekeep.filter(day < cut).unionByName(wrong), "timekeep", "1")
+    at = dt.datetime(2024, 1, 23, tzinfo=dt.timezone.utc)
+    models = ("mart_attendance_events",)
+    loads.load(spark, landed, root, CFG, at, models=models)
+    land(source.timekeep.filter(day >= cut), "timekeep", "2")
+    done = loads.load(spark, landed, root, CFG, at + dt.timedelta(hours=1), models=models)
+    return spark.read.parquet(done.marts["mart_attendance_events"])
+
+
 def staff_batches(spark: SparkSession, sf_dir: str, names: list[str]):
     """Staged employees, and the same a month later with some changes."""
     source = star.sources(spark, sf_dir)

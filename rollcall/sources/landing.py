@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rollcall.operators import flatten
 from rollcall.sources import raw
 from rollcall.sources.tables import _fs, drop, exists
 
@@ -28,6 +29,9 @@ NO_TEXT = "no RAW_DATA"
 BAD_ENVELOPE = "envelope is not whole JSON"
 NO_ARRAY = "envelope without a data array"
 
+# A load of documents, as the request list's ledger names it.
+DOCUMENTS = "documents/"
+
 LEDGER = "file string, bytes bigint, rows bigint, bad_rows bigint, load string, loaded_at timestamp"
 
 
@@ -110,6 +114,31 @@ def load_new(
     return len(files)
 
 
+def list_documents(spark: SparkSession, root: str, batch_ts: dt.datetime, size: int = 500) -> int:
+    """Append the documents of new ``details`` loads to the request list, in envelopes; the number of loads taken.
+
+    Without this the list would show a request as pending until its page is pulled again.
+    A document counts when its ``data`` is an object. Each load is entered in the list's
+    ledger under its name, last, so it is taken once, also after a run that died.
+    """
+    names = F.concat(F.lit(DOCUMENTS), F.col(LOAD))
+    listed = {r[0] for r in ledger(spark, root, "approvals").select("file").filter(F.col("file").startswith(DOCUMENTS)).collect()}
+    # One row a load.
+    loads = sorted({r[0] for r in ledger(spark, root, "details").select(names).distinct().collect()} - listed)
+    if not loads:
+        return 0
+    load = uuid.uuid4().hex
+    documents = read_raw(spark, root, "details").filter(names.isin(loads))
+    record = F.get_json_object("RAW_DATA", "$.data")
+    records = documents.select(F.when(F.ltrim(record).startswith("{"), record).alias("rec"))
+    rows = flatten.pack_envelopes(records, size).select(F.lit(batch_ts).cast("timestamp").alias("SYNC_TIME"), "RAW_DATA")
+    path = f"{root}/RAW/approvals/{LOAD}={load}"
+    rows.withColumn("file", F.lit(DOCUMENTS)).write.parquet(path)
+    entries = [(name, 0, None, 0, load, batch_ts) for name in loads]
+    spark.createDataFrame(entries, LEDGER).coalesce(1).write.mode("append").parquet(f"{root}/LEDGER/approvals")
+    return len(loads)
+
+
 def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The RAW table, each row with its file and load."""
     schema = f"{raw.SCHEMAS[table]}, file string, {LOAD} string"

@@ -82,17 +82,24 @@ def upsert_rows(
     return forward_first(kept.unionByName(changed), key, status, [F.col(seq).asc()])
 
 
-def write_mart(df: DataFrame, path: str, day: str, person: str, file_rows: int = 5_000_000) -> None:
-    """Daily partitions with rows of a person close together.
+FILE_ROWS = 5_000_000
+
+
+def daily_layout(df: DataFrame, day: str, person: str) -> DataFrame:
+    """The same rows, those of a day and person close together.
 
     Range partitioning on day, person and a row hash splits a day, or a person
     within a day, that holds a large share of the rows over several tasks. It
     samples ``df`` first, so pass a written table rather than a long plan.
     """
     spread = F.xxhash64(*df.columns)
+    return df.repartitionByRange(F.col(day), F.col(person), spread).sortWithinPartitions(day, person)
+
+
+def write_mart(df: DataFrame, path: str, day: str, person: str, file_rows: int = FILE_ROWS) -> None:
+    """Daily partitions in the layout of :func:`daily_layout`."""
     (
-        df.repartitionByRange(F.col(day), F.col(person), spread)
-        .sortWithinPartitions(day, person)
+        daily_layout(df, day, person)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", file_rows)
         .partitionBy(day)

@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from rollcall.sources.tables import _fs, drop, exists
+from rollcall.sources.tables import FILE_ROWS, _fs, drop, exists
 
 KEEP = 3  # versions that stay readable behind the current one
 
@@ -53,7 +53,7 @@ def _commit(spark: SparkSession, path: str, version: str) -> int:
 def stage(df: DataFrame, path: str, *partition: str) -> str:
     """Write a version's data without publishing it; its name."""
     version = uuid.uuid4().hex
-    df.write.partitionBy(*partition).parquet(f"{path}/data/{version}")
+    df.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(*partition).parquet(f"{path}/data/{version}")
     return version
 
 
@@ -67,6 +67,11 @@ def versions(spark: SparkSession, path: str) -> dict[int, str]:
     return {int(n): f"{path}/data/{_read_manifest(spark, path, n)}" for n in _manifests(spark, path)}
 
 
+def current(spark: SparkSession, path: str) -> str:
+    """Data folder of the current version."""
+    return f"{path}/data/{_read_manifest(spark, path, _manifests(spark, path)[-1])}"
+
+
 def read(spark: SparkSession, path: str, schema: StructType | None = None, version: int | None = None) -> DataFrame:
     """The current version of a table, or a numbered one."""
     known = versions(spark, path)

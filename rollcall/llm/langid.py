@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import col, packed, slices, spread, utf8
+from rollcall.llm.common import col, measured, packed, slices, utf8
 
 LANGUAGES = ("en", "de", "fr", "es")
 UNKNOWN = "und"
@@ -221,7 +221,8 @@ def identify(
         .withColumn("_world", everywhere.scalar())
         .select(F.col("_host").alias("_of"), counts("h").alias("_counts"), smoothed(counts("d"), F.col("_world")).alias("_parent"))
     )
-    joined = rows.join(spread(priors), F.col("_host").eqNullSafe(F.col("_of")))
+    # One short row a host: broadcast when counted few, so that the texts stay where they are.
+    joined = rows.join(measured(priors), F.col("_host").eqNullSafe(F.col("_of")))
     # The document's own text is taken out of its host's counts.
     others = F.transform(F.zip_with("_counts", "_own", lambda a, b: a - b), lambda x: F.greatest(x, F.lit(0.0)))
     prior = F.transform(smoothed(others, F.col("_parent")), lambda p: F.log(p + 1e-9))

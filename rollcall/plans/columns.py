@@ -28,6 +28,8 @@ READERS: dict[str, str] = {
     "date": safe.DATE_DMY_SQL,
     "flag": "try_cast({0} AS BIGINT) = 1",
 }
+# The readers that fail on bad text.
+STRICT_KINDS = ("int", "float", "timestamp")
 
 
 @dataclass(frozen=True)

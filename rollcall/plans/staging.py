@@ -14,6 +14,7 @@ from rollcall.plans.columns import (
     APPROVAL_FIELDS,
     DETAIL_FIELDS,
     PROFILE_FIELDS,
+    STRICT_KINDS,
     TIMEKEEP_FIELDS,
     Field,
     project,
@@ -34,10 +35,22 @@ def _output(df: DataFrame, only: Sequence[str] | None) -> DataFrame:
 
 
 def stg_profiles(raw: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
-    """Latest record per employee id."""
+    """Latest record per employee id.
+
+    The pick carries the record as text: its 245 columns, mostly empty, would take
+    several times the memory in the sort. Strict columns are read before the pick as
+    well, so that bad text fails the job in records that lose, too; equal records have
+    equal ones, so they decide nothing.
+    """
+    fields = PROFILE_FIELDS if only is None else [f for f in PROFILE_FIELDS if f.name in {*only, "ID"}]
+    strict = [f for f in fields if f.kind in STRICT_KINDS]
     records = unnest_envelope(raw, "RAW_DATA", ["SYNC_TIME AS sync_time"])
-    rows = project(records, PROFILE_FIELDS, "rec", ["sync_time", _TIE], _with(only, "ID"))
-    return _output(first_by(rows, ["ID"], [F.col("sync_time").desc(), F.col("_tie")]), only)
+    read = project(records, strict, "rec", ["sync_time", "rec", _TIE])
+    strict_hash = F.xxhash64(*[F.col(f"`{f.name}`") for f in strict])
+    read = read.select("sync_time", F.col("ID").alias("_id"), "rec", "_tie", strict_hash.alias("_strict"))
+    latest = first_by(read, ["_id"], [F.col("sync_time").desc(), F.col("_tie"), F.col("_strict")])
+    rows = project(latest, fields, "rec", ["sync_time"])
+    return rows if only is None else rows.select(*only)
 
 
 def stg_approvals(raw: DataFrame, only: Sequence[str] | None = None) -> DataFrame:

@@ -19,6 +19,8 @@ from rollcall.sources.raw import HR_MASTER_COLUMNS
 
 AS_OF = dt.date(2024, 1, 30)
 SETTINGS = Settings(as_of=AS_OF)
+#: Base rows a task turns into landed rows.
+TASK_ROWS = 50_000
 
 # One department per block rule, with look-alikes, blank and none.
 DEPARTMENTS = [
@@ -52,6 +54,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The same rows, by ``keys`` if any are given, over tasks of about ``TASK_ROWS`` rows.
+
+    A row becomes hundreds of times its size as JSON, so the few splits of a small file
+    would be the only tasks of all that is derived from it.
+    """
+    return df.repartition(max(1, -(-df.count() // TASK_ROWS)), *keys)
+
+
 def _pick(values: list, at: str) -> str:
     """SQL that picks a fixed value by position."""
     items = ", ".join("NULL" if v is None else "'" + v.replace("'", "\\'") + "'" for v in values)
@@ -333,7 +344,8 @@ def details_raw(orders: DataFrame) -> DataFrame:
 
 def timekeep_raw(events: DataFrame) -> DataFrame:
     """An attendance record per user and day, some with an earlier load of the day."""
-    days = events.selectExpr("user_id AS u", "to_date(ts) AS d", "ts", "event_type").groupBy("u", "d")
+    days = events.selectExpr("user_id AS u", "to_date(ts) AS d", "ts", "event_type")
+    days = spread(days, "u", "d").groupBy("u", "d")
     clock = "date_format({0}(ts), 'yyyy-MM-dd HH:mm:ss')"
     days = days.agg(
         *map(
@@ -426,17 +438,25 @@ class StarSources:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._table = lambda name: table(spark, sf_dir, name)
 
+    @cached_property
+    def _customer(self) -> DataFrame:
+        return spread(self._table("customer"))
+
+    @cached_property
+    def _orders(self) -> DataFrame:
+        return spread(self._table("orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+
     @cached_property
     def profiles(self) -> DataFrame:
-        return profiles_raw(self._table("customer"))
+        return profiles_raw(self._customer)
 
     @cached_property
     def approvals(self) -> DataFrame:
-        return approvals_raw(self._table("orders"))
+        return approvals_raw(self._orders)
 
     @cached_property
     def details(self) -> DataFrame:
-        return details_raw(self._table("orders"))
+        return details_raw(self._orders)
 
     @cached_property
     def timekeep(self) -> DataFrame:
@@ -444,11 +464,11 @@ class StarSources:
 
     @cached_property
     def hr_master(self) -> DataFrame:
-        return hr_sheet(self._table("customer"))
+        return hr_sheet(self._customer)
 
     @cached_property
     def tracking(self) -> DataFrame:
-        return tracking_sheet(self._table("customer"))
+        return tracking_sheet(self._customer)
 
 
 def sources(spark: SparkSession, sf_dir: str) -> StarSources:

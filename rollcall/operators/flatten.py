@@ -50,7 +50,7 @@ def two_level(
         *rest, "kind", F.explode_outer(jsonx.elements(F.col("items"))).alias("outer_rec")
     )
     outer = outer.withColumn(
-        "outer_j", jsonx.record_struct(F.col("outer_rec"), outer_scalars, inner_keys)
+        "outer_j", jsonx.record_struct(F.col("outer_rec"), outer_scalars, arrays=inner_keys)
     )
     # NULL drops the element and an empty array keeps it, in one generator: a
     # filter in between would parse the element a second time.
@@ -66,8 +66,7 @@ def inner_array(inner_keys: Sequence[str], kind: str = "kind") -> Column:
     Only check-in corrections use ``inoutinfo``; every other kind uses ``detail``.
     """
     by_key = {k: F.col(f"outer_j.{k}") for k in inner_keys}
-    own = F.when(F.col(kind) == "inout", by_key["inoutinfo"]).otherwise(by_key["detail"])
-    return jsonx.variant_elements(own)
+    return F.when(F.col(kind) == "inout", by_key["inoutinfo"]).otherwise(by_key["detail"])
 
 
 def pack_envelopes(df: DataFrame, size: int, record: str = "rec") -> DataFrame:

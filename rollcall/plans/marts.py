@@ -449,12 +449,18 @@ def int_approval_details_flat(details: DataFrame) -> DataFrame:
     )
     rows = details.select(F.col("ID").alias("approval_id"), F.explode(pairs).alias("_p"))
     rows = rows.select("approval_id", "_p.detail_type", "_p.head").filter(F.col("head").isNotNull())
-    rows = rows.withColumn("_f", jsonx.record_struct(F.col("head"), [], ["detail", "inoutinfo"]))
+    keys = ["detail", "inoutinfo"]
+    rows = rows.withColumn("_f", jsonx.record_struct(F.col("head"), [], arrays=keys))
     inout = F.col("detail_type") == "inout"
-    items = F.when(inout, F.col("_f.inoutinfo")).otherwise(F.col("_f.detail"))
-    # A value that is no array, JSON null included, counts as present without events.
-    found = F.coalesce(jsonx.variant_elements(items), F.array().cast("array<string>"))
-    events = F.explode(F.when(items.isNotNull(), jsonx.present_or_null(found)))
+    own = lambda f: F.when(inout, f["inoutinfo"]).otherwise(f["detail"])
+    found = own(F.col("_f"))
+    # A value that is no array, JSON null included, counts as present without events. Only
+    # where no array was found the element is read again to tell such a value from none.
+    other = own(jsonx.record_struct(F.col("head"), [], keys))
+    alone = F.array(F.lit(None).cast("string"))
+    events = F.explode(
+        F.when(found.isNotNull(), jsonx.present_or_null(found)).when(other.isNotNull(), alone)
+    )
     rows = rows.select("approval_id", "detail_type", events.alias("rec")).withColumn(
         "_j", jsonx.record_struct(F.col("rec"), INNER_SCALARS)
     )

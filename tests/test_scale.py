@@ -1,9 +1,13 @@
 """What must not grow with the tables: width of sorted rows, rows of a task, repeated work."""
 
+import json
+
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from rollcall.plans import staging
+from rollcall.operators import flatten
+from rollcall.plans import marts, staging
 from rollcall.sources import star
 
 OLD, NEW = "2026-10-01 00:00:00", "2026-10-02 00:00:00"
@@ -43,3 +47,42 @@ def test_landed_rows_are_spread_over_tasks(spark, tmp_path, monkeypatch):
     assert source.details.rdd.getNumPartitions() == source.approvals.rdd.getNumPartitions() == 10
     assert source.timekeep.rdd.getNumPartitions() == 3
     assert rows(source.approvals) == rows(star.approvals_raw(orders))
+
+
+def documents_of(spark, elements):
+    columns = "ID bigint, personnel_code string, overtime string, inout string, leave_data string, absence string"
+    return spark.createDataFrame([(1, "NV1", None, None, json.dumps(elements, ensure_ascii=False), None)], columns)
+
+
+def test_inner_rows_are_cut_out_as_text(spark):
+    """Writing a variant out as text makes a JSON factory a string."""
+    inner = [{"date_start": "2026-10-01", "note": "a\\\"[b"}, {"date_start": 5}]
+    elements = [
+        {"reason": "r0", "detail": inner},
+        {"reason": "none"},
+        {"reason": "null", "detail": None},
+        {"reason": "text", "detail": "[1]"},
+        {"reason": "object", "detail": {"a": [1]}},
+        {"reason": "empty", "detail": []},
+        {"reason": "other key", "detail": inner[:1], "inoutinfo": "x"},
+    ]
+    flat = flatten.two_level(
+        documents_of(spark, elements), marts.DETAIL_KINDS, marts.OUTER_SCALARS, ["detail", "inoutinfo"], marts.INNER_SCALARS
+    )
+    assert "variant" not in flat._jdf.queryExecution().optimizedPlan().toString()
+    found = flat.select("outer_j.reason", F.from_json("inner_rec", "date_start string, note string").alias("i"))
+    assert rows(found, "reason", "i.date_start", "i.note") == [
+        ("empty", None, None),
+        ("other key", "2026-10-01", "a\\\"[b"),
+        ("r0", "2026-10-01", "a\\\"[b"),
+        ("r0", "5", None),
+    ]
+
+
+@pytest.mark.parametrize(
+    "element, events",
+    [({"detail": [{"date_start": "2026-10-01"}]}, 1), ({"detail": []}, 1), ({"detail": None}, 1), ({"detail": "x"}, 1),
+     ({"detail": {"a": 1}}, 1), ({}, 0), ({"detail": [{}, {}]}, 2)],
+)
+def test_first_element_keeps_values_that_are_no_array(spark, element, events):
+    assert marts.int_approval_details_flat(documents_of(spark, [element])).count() == events

@@ -53,13 +53,14 @@ def present_or_null(items: Column) -> Column:
 def scalar_sql(parsed: str, key: str, record: str) -> str:
     """SQL for the text of a scalar field; NULL for missing, JSON null, object and array.
 
-    Text that opens like a container is rare, so only then is the record read
-    again to tell a quoted string from a real container.
+    Only text that opens and ends like a container can be one (it is cut out of the
+    record as it stands there). That is rare, so only then is the record read again
+    to tell a quoted string from a real container.
     """
     text = f"{parsed}.`{key}`"
     value = f"try_variant_get(try_parse_json({record}), '$.{key}', 'variant')"
     return (
-        f"CASE WHEN substr({text}, 1, 1) IN ('{{', '[') "
+        f"CASE WHEN substr({text}, 1, 1) IN ('{{', '[') AND right({text}, 1) IN ('}}', ']') "
         f"THEN CASE WHEN schema_of_variant({value}) = 'STRING' THEN {text} END ELSE {text} END"
     )
 

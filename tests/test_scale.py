@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from rollcall.functions import jsonx
 from rollcall.operators import flatten
 from rollcall.plans import marts, staging
 from rollcall.sources import star
@@ -86,3 +87,8 @@ def test_inner_rows_are_cut_out_as_text(spark):
 )
 def test_first_element_keeps_values_that_are_no_array(spark, element, events):
     assert marts.int_approval_details_flat(documents_of(spark, [element])).count() == events
+
+
+def test_a_string_that_opens_like_an_array_is_not_read_again(spark):
+    df = spark.createDataFrame([("[Gấp] việc riêng",)], "a string").select(F.struct("a").alias("j"))
+    assert df.select(jsonx.scalar("j", "a", "raise_error('read again')")).first()[0] == "[Gấp] việc riêng"

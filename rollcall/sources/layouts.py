@@ -8,6 +8,7 @@ and a load that is run again gives the same table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from urllib.parse import unquote
 
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.operators.latest import forward_first
+from rollcall.settings import shared_dir
 from rollcall.sources.tables import _fs, drop, exists
 
 BUCKET = "_bucket"
@@ -87,14 +89,20 @@ def refresh_days(build: Callable[[str | None], DataFrame], path: str, day: str,
     ``build`` gets the greatest day the table holds (None for the first run) and returns
     all rows from that day on. These days are exchanged, so rows that came late on the
     greatest day are neither lost nor doubled; earlier days and rows without a day keep
-    their files.
+    their files. The rows are written to the shared folder first: range partitioning reads
+    them twice, to sample and to place them, and would build them twice.
     """
     since = latest_day(spark, path, day)
-    rows = _clustered(build(since), day)
-    if since is None:
-        write_days(rows, path, day)
-    else:
-        _overwrite(rows, path, day)
+    built, side = build(since), f"{shared_dir(spark)}/days-{uuid.uuid4().hex}"
+    try:
+        built.write.parquet(side)
+        rows = _clustered(spark.read.schema(built.schema).parquet(side), day)
+        if since is None:
+            write_days(rows, path, day)
+        else:
+            _overwrite(rows, path, day)
+    finally:
+        drop(spark, side)
     return since
 
 

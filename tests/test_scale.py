@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rollcall.functions import jsonx
 from rollcall.operators import flatten
 from rollcall.plans import marts, staging
-from rollcall.sources import star
+from rollcall.sources import layouts, star
 
 OLD, NEW = "2026-10-01 00:00:00", "2026-10-02 00:00:00"
 
@@ -92,3 +92,18 @@ def test_first_element_keeps_values_that_are_no_array(spark, element, events):
 def test_a_string_that_opens_like_an_array_is_not_read_again(spark):
     df = spark.createDataFrame([("[Gấp] việc riêng",)], "a string").select(F.struct("a").alias("j"))
     assert df.select(jsonx.scalar("j", "a", "raise_error('read again')")).first()[0] == "[Gấp] việc riêng"
+
+
+def test_refresh_builds_its_rows_once(spark, tmp_path):
+    built = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(v):
+        built.add(1)
+        return v
+
+    days = spark.createDataFrame([("2026-10-01", "a"), ("2026-10-02", "b"), (None, "c")], "d string, v string")
+    path = str(tmp_path / "t")
+    layouts.refresh_days(lambda since: days.select("d", seen("v").alias("v")), path, "d", spark)
+    assert built.value == 3
+    assert rows(spark.read.schema("v string, d string").parquet(path).select("d", "v")) == rows(days)

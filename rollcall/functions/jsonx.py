@@ -59,8 +59,9 @@ def scalar_sql(parsed: str, key: str, record: str) -> str:
     """
     text = f"{parsed}.`{key}`"
     value = f"try_variant_get(try_parse_json({record}), '$.{key}', 'variant')"
+    ends = lambda left, right: f"startswith({text}, '{left}') AND endswith({text}, '{right}')"
     return (
-        f"CASE WHEN substr({text}, 1, 1) IN ('{{', '[') AND right({text}, 1) IN ('}}', ']') "
+        f"CASE WHEN ({ends('{', '}')}) OR ({ends('[', ']')}) "
         f"THEN CASE WHEN schema_of_variant({value}) = 'STRING' THEN {text} END ELSE {text} END"
     )
 

@@ -73,6 +73,9 @@ def prepare_session(spark: SparkSession) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.json.enablePartialResults": "true",
+        # The JVM never compiles a method of over 8,000 bytes: Spark's fused code of a wide
+        # projection would stay interpreted, while its unfused form comes in small methods.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }.items():
         spark.conf.set(key, value)
     return spark

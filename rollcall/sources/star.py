@@ -96,15 +96,17 @@ def _envelope(record: str) -> str:
     return f"concat('{{\"data\":[', {record}, '],\"error\":false}}')"
 
 
-def _loads(df: DataFrame, versions: list[str], keep: str = "1 AS _one") -> DataFrame:
-    """A row per version of each input row; a NULL version yields none."""
-    rows = df.selectExpr(keep, f"inline(array({', '.join(versions)}))")
-    return rows.filter("RAW_DATA IS NOT NULL").drop("_one")
+def _loads(df: DataFrame, versions: dict[str, str | None], *columns: str) -> DataFrame:
+    """A row per version of each input row: ``versions`` names stamps, and when a row has them.
 
-
-def _version(stamp: str, record: str, when: str | None = None) -> str:
-    row = f"named_struct('SYNC_TIME', TIMESTAMP '{stamp}', 'RAW_DATA', {_envelope(record)})"
-    return f"CASE WHEN {when} THEN {row} END" if when else row
+    ``columns`` are built after the rows are repeated; they tell versions apart by ``v`` and
+    find the stamp as ``at``. So the code of a record is there once, not once a version: the
+    JVM never compiles a method of over 8,000 bytes.
+    """
+    there = [f"CASE WHEN {when} THEN {v} END" if when else str(v) for v, when in enumerate(versions.values())]
+    rows = df.selectExpr("*", f"explode(array({', '.join(there)})) AS v").filter("v IS NOT NULL")
+    stamps = ", ".join(f"TIMESTAMP '{stamp}'" for stamp in versions)
+    return rows.selectExpr("*", f"get(array({stamps}), v) AS at").selectExpr(*columns)
 
 
 def profiles_raw(customer: DataFrame) -> DataFrame:
@@ -162,15 +164,11 @@ def profiles_raw(customer: DataFrame) -> DataFrame:
         # A string and an array that look alike as text.
         _pick(['"jobs":"[1]"', '"jobs":[1]', None], "k % 3"),
     ]
-    rows = customer.selectExpr("*", "c_custkey AS k").selectExpr("k", f"{record} AS record")
     older = _object({"ID": "k", "name": "'Tên cũ'"})
-    return _loads(
-        rows,
-        [
-            _version("2024-01-29 00:00:00", _with_members("record", members)),
-            _version("2024-01-28 00:00:00", older, "k % 13 = 0"),
-        ],
-    )
+    text = f"CASE v WHEN 0 THEN {_with_members('record', members)} ELSE {older} END"
+    rows = customer.selectExpr("*", "c_custkey AS k").selectExpr("k", f"{record} AS record")
+    versions = {"2024-01-29 00:00:00": None, "2024-01-28 00:00:00": "k % 13 = 0"}
+    return _loads(rows, versions, "at AS SYNC_TIME", f"{_envelope(text)} AS RAW_DATA")
 
 
 def request_columns(orders: DataFrame) -> DataFrame:
@@ -195,41 +193,42 @@ def approvals_raw(orders: DataFrame) -> DataFrame:
     """A snapshot per request; some also have a stale pending one, newer by load time."""
     approved = f"any_status = '{APPROVED}'"
 
-    def record(status: str, description: str) -> str:
-        return _object(
-            {
-                "ID": "o",
-                "personnel_code": "person",
-                "personnel_name": "person_name",
-                "app_approval_status": status,
-                "app_sub_object": _pick(REQUEST_TYPES, "o % 9"),
-                "app_approval_current_id": "concat('QL ', o % 20)",
-                "date_created": f"concat({_dmy('created')}, "
-                "CASE WHEN o % 31 = 0 THEN ' 11:19' ELSE '' END)",
-                "time_created": "CASE WHEN o % 19 = 0 THEN '' "
-                f"ELSE concat({_two('o * 7 % 24')}, ':', {_two('o * 13 % 60')}) END",
-                "date_approve": f"CASE WHEN {approved} THEN "
-                + _dmy("date_add(created, CAST(o % 4 AS INT))")
-                + " END",
-                "time_approve": f"CASE WHEN {approved} THEN concat({_two('o * 5 % 24')}, ':30') END",
-                "date_start": "CASE WHEN o % 3 != 0 THEN "
-                + _dmy("date_add(created, CAST(o % 5 AS INT))")
-                + " END",
-                "department_id": "concat('D', o % 7)",
-                "desc": description,
-                "reason": "CASE WHEN o % 2 = 0 THEN '[Gấp] việc riêng' END",
-                "num_file": "o % 3",
-            }
-        )
-
-    text = "CASE WHEN o % 4 != 1 THEN concat('Lý do ', o % 11) END"
+    description = (
+        "CASE v WHEN 0 THEN CASE WHEN o % 4 != 1 THEN concat('Lý do ', o % 11) END "
+        "WHEN 1 THEN 'Bản cũ' ELSE 'Bản trước' END"
+    )
+    record = _object(
+        {
+            "ID": "o",
+            "personnel_code": "person",
+            "personnel_name": "person_name",
+            "app_approval_status": f"CASE v WHEN 1 THEN '{PENDING}' ELSE status END",
+            "app_sub_object": _pick(REQUEST_TYPES, "o % 9"),
+            "app_approval_current_id": "concat('QL ', o % 20)",
+            "date_created": f"concat({_dmy('created')}, "
+            "CASE WHEN o % 31 = 0 THEN ' 11:19' ELSE '' END)",
+            "time_created": "CASE WHEN o % 19 = 0 THEN '' "
+            f"ELSE concat({_two('o * 7 % 24')}, ':', {_two('o * 13 % 60')}) END",
+            "date_approve": f"CASE WHEN {approved} THEN "
+            + _dmy("date_add(created, CAST(o % 4 AS INT))")
+            + " END",
+            "time_approve": f"CASE WHEN {approved} THEN concat({_two('o * 5 % 24')}, ':30') END",
+            "date_start": "CASE WHEN o % 3 != 0 THEN "
+            + _dmy("date_add(created, CAST(o % 5 AS INT))")
+            + " END",
+            "department_id": "concat('D', o % 7)",
+            "desc": description,
+            "reason": "CASE WHEN o % 2 = 0 THEN '[Gấp] việc riêng' END",
+            "num_file": "o % 3",
+        }
+    )
+    versions = {
+        "2024-01-29 00:00:00": None,
+        "2024-01-30 00:00:00": "o % 4 = 0",
+        "2024-01-28 00:00:00": "o % 8 = 3",
+    }
     return _loads(
-        request_columns(orders),
-        [
-            _version("2024-01-29 00:00:00", record("status", text)),
-            _version("2024-01-30 00:00:00", record(f"'{PENDING}'", "'Bản cũ'"), "o % 4 = 0"),
-            _version("2024-01-28 00:00:00", record("status", "'Bản trước'"), "o % 8 = 3"),
-        ],
+        request_columns(orders), versions, "at AS SYNC_TIME", f"{_envelope(record)} AS RAW_DATA"
     )
 
 
@@ -305,40 +304,29 @@ def details_raw(orders: DataFrame) -> DataFrame:
             f"WHEN o % 2 = 1 THEN '\"{name}\":[]' END"
         )
 
-    def document(status: str) -> str:
-        base = _object(
-            {
-                "ID": "o",
-                "personnel_code": "person",
-                "app_approval_status": status,
-                "date_created": _dmy("created"),
-                "date_approve": f"CASE WHEN any_status != '{PENDING}' THEN "
-                f"{_dmy('date_add(created, 2)')} END",
-            }
-        )
-        return f"""concat('{{"data":', {_with_members(base, ["arrays"])}, '}}')"""
-
-    def version(text: str, ingested: str, when: str | None = None) -> str:
-        row = f"named_struct('RAW_DATA', {text}, 'INGEST_TS', TIMESTAMP '{ingested}')"
-        return f"CASE WHEN {when} THEN {row} END" if when else row
-
     own = f"CASE WHEN o % 6 = 0 THEN '{APPROVED}' WHEN o % 6 != 1 THEN status END"
+    base = _object(
+        {
+            "ID": "o",
+            "personnel_code": "person",
+            "app_approval_status": f"CASE v WHEN 0 THEN {own} ELSE '{PENDING}' END",
+            "date_created": _dmy("created"),
+            "date_approve": f"CASE WHEN any_status != '{PENDING}' THEN "
+            f"{_dmy('date_add(created, 2)')} END",
+        }
+    )
+    document = f"""concat('{{"data":', {_with_members(base, ["arrays"])}, '}}')"""
     error = '\'{"error":true,"message":"Post not found"}\''
-    first = f"CASE WHEN o % 17 = 0 THEN {error} ELSE {document(own)} END"
-    pending = document(f"'{PENDING}'")
+    text = f"CASE WHEN v = 0 AND o % 17 = 0 THEN {error} ELSE {document} END"
     shaped = request_columns(orders).selectExpr(
         "*",
         "sequence(0L, o div 5 % 2) AS outers",
         "CASE WHEN o div 10 % 4 > 0 THEN sequence(0L, o div 10 % 4 - 1) "
         "ELSE CAST(array() AS ARRAY<BIGINT>) END AS inners",
     ).selectExpr("*", f"nullif(concat_ws(',', {', '.join(members)}), '') AS arrays")
+    versions = {"2024-01-29 00:00:00": None, "2024-01-30 00:00:00": "o % 11 = 0"}
     return _loads(
-        shaped,
-        [
-            version(first, "2024-01-29 00:00:00"),
-            version(pending, "2024-01-30 00:00:00", "o % 11 = 0"),
-        ],
-        "o AS APPROVAL_ID",
+        shaped, versions, "o AS APPROVAL_ID", f"{text} AS RAW_DATA", "at AS INGEST_TS"
     )
 
 
@@ -359,39 +347,33 @@ def timekeep_raw(events: DataFrame) -> DataFrame:
         )
     )
 
-    def record(late: str) -> str:
-        return _object(
-            {
-                "ID": "CAST(u * 100 + dayofmonth(d) AS STRING)",
-                "personnel_code": "concat(CASE WHEN u % 60 = 59 THEN 'TK' ELSE 'NV' END, u)",
-                # Some records of the 10th are dated the day before, as late corrections are.
-                "date": "CAST(date_sub(d, CASE WHEN u % 50 = 7 AND dayofmonth(d) = 10 "
-                "THEN 1 ELSE 0 END) AS STRING)",
-                "job_status": "'Đang làm việc'",
-                "checkin": "CASE WHEN n % 3 != 0 THEN first_ts END",
-                "checkout": "CASE WHEN n % 3 != 0 THEN last_ts END",
-                "is_check_log": "CASE WHEN n % 6 = 3 THEN 'Có' ELSE 'Không' END",
-                "late_minute": f"CAST({late} AS STRING)",
-                "soon_minute": "CASE WHEN n = 5 THEN 'x' ELSE CAST(n * 2 AS STRING) END",
-                "cal_workhour": "CAST(n AS DOUBLE) * 0.5D",
-                "cal_workday": "'1'",
-                "total_cal_workhour": "CAST(n AS STRING)",
-                "is_holiday": "CASE WHEN dayofmonth(d) = 1 THEN '1' ELSE '0' END",
-                "day_off": "'0'",
-                "shift_code": "'HC'",
-                "time_start": "'08:00'",
-                "time_end": "'17:30'",
-            }
-        )
-
+    record = _object(
+        {
+            "ID": "CAST(u * 100 + dayofmonth(d) AS STRING)",
+            "personnel_code": "concat(CASE WHEN u % 60 = 59 THEN 'TK' ELSE 'NV' END, u)",
+            # Some records of the 10th are dated the day before, as late corrections are.
+            "date": "CAST(date_sub(d, CASE WHEN u % 50 = 7 AND dayofmonth(d) = 10 "
+            "THEN 1 ELSE 0 END) AS STRING)",
+            "job_status": "'Đang làm việc'",
+            "checkin": "CASE WHEN n % 3 != 0 THEN first_ts END",
+            "checkout": "CASE WHEN n % 3 != 0 THEN last_ts END",
+            "is_check_log": "CASE WHEN n % 6 = 3 THEN 'Có' ELSE 'Không' END",
+            "late_minute": "CASE v WHEN 0 THEN CAST(errors AS STRING) ELSE '99' END",
+            "soon_minute": "CASE WHEN n = 5 THEN 'x' ELSE CAST(n * 2 AS STRING) END",
+            "cal_workhour": "CAST(n AS DOUBLE) * 0.5D",
+            "cal_workday": "'1'",
+            "total_cal_workhour": "CAST(n AS STRING)",
+            "is_holiday": "CASE WHEN dayofmonth(d) = 1 THEN '1' ELSE '0' END",
+            "day_off": "'0'",
+            "shift_code": "'HC'",
+            "time_start": "'08:00'",
+            "time_end": "'17:30'",
+        }
+    )
+    versions = {"2024-01-30 00:00:00": None, "2024-01-29 00:00:00": "u % 5 = 0"}
     return _loads(
-        days,
-        [
-            _version("2024-01-30 00:00:00", record("errors")),
-            _version("2024-01-29 00:00:00", record("99"), "u % 5 = 0"),
-        ],
-        "CAST(d AS STRING) AS SYNC_DATE",
-    ).select("SYNC_TIME", "SYNC_DATE", "RAW_DATA")
+        days, versions, "at AS SYNC_TIME", "CAST(d AS STRING) AS SYNC_DATE", f"{_envelope(record)} AS RAW_DATA"
+    )
 
 
 def hr_sheet(customer: DataFrame) -> DataFrame:

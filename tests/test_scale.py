@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rollcall.functions import jsonx
 from rollcall.operators import flatten
 from rollcall.plans import marts, staging
+from rollcall.settings import prepare_session
 from rollcall.sources import layouts, star
 
 OLD, NEW = "2026-10-01 00:00:00", "2026-10-02 00:00:00"
@@ -107,3 +108,26 @@ def test_refresh_builds_its_rows_once(spark, tmp_path):
     layouts.refresh_days(lambda since: days.select("d", seen("v").alias("v")), path, "d", spark)
     assert built.value == 3
     assert rows(spark.read.schema("v string, d string").parquet(path).select("d", "v")) == rows(days)
+
+
+def test_fused_code_stays_within_what_the_jvm_compiles(spark):
+    """The JVM interprets methods of over 8,000 bytes for good."""
+    assert int(prepare_session(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_code_of_a_landed_record_is_there_once(spark):
+    orders = spark.range(9).selectExpr("id AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus")
+    days = spark.range(1).selectExpr("timestamp '2024-01-01 08:00:00' AS ts", "id AS user_id", "'view' AS event_type")
+    for df in (star.approvals_raw(orders), star.timekeep_raw(days)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("StructsToJsonEvaluator") == 1
+    record = F.get_json_object("RAW_DATA", "$.data[0]")
+    found = star.approvals_raw(orders).select(
+        F.get_json_object(record, "$.ID").alias("id"), F.date_format("SYNC_TIME", "d").alias("day"),
+        F.get_json_object(record, "$.app_approval_status").alias("status"), F.get_json_object(record, "$.desc").alias("desc"),
+    )
+    assert [r for r in rows(found) if r[0] in ("3", "4")] == [
+        ("3", "28", "Đã duyệt", "Bản trước"),
+        ("3", "29", "Đã duyệt", "Lý do 3"),
+        ("4", "29", "Đã duyệt", "Lý do 4"),
+        ("4", "30", "Chờ duyệt", "Bản cũ"),
+    ]

@@ -7,6 +7,7 @@ days are exchanged as partitions, marts and histories are published by one small
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,9 +18,9 @@ from rollcall.functions import safe
 from rollcall.operators import history, quality
 from rollcall.plans import staging
 from rollcall.plans.pipeline import MARTS, run
-from rollcall.settings import Settings
+from rollcall.settings import Settings, shared_dir
 from rollcall.sources import histories, landing, layouts, raw
-from rollcall.sources.tables import exists
+from rollcall.sources.tables import drop, exists
 
 TABLES = ("profiles", "approvals", "details", "timekeep")
 DAY = "SYNC_DATE"
@@ -98,9 +99,7 @@ def load(
     source = sources(spark, root, hr_master, tracking)
     marts = run(spark, source, cfg, root, models)
     if files["profiles"]:
-        people = staging.stg_profiles(source.profiles, columns_of_histories())
-        for name, check in HISTORIES.items():
-            histories.load(people.select(history.STAFF_HISTORY_KEY, *check), f"{root}/HISTORY/{name}", history.STAFF_HISTORY_KEY, check, at)
+        load_histories(spark, staging.stg_profiles(source.profiles, columns_of_histories()), root, at)
     checks = [quality.run_checks(spark.read.parquet(p), m, quality.SUITES[m]) for m, p in marts.items() if m in quality.SUITES]
     result = checks[0] if checks else None
     for more in checks[1:]:
@@ -108,5 +107,17 @@ def load(
     return Report(files, gone, marts, result)
 
 
+def load_histories(spark: SparkSession, people: DataFrame, root: str, at: dt.datetime) -> None:
+    """Bring both histories up to date. The profiles are written first, so they are parsed and picked once."""
+    key, side = history.STAFF_HISTORY_KEY, f"{shared_dir(spark)}/people-{uuid.uuid4().hex}"
+    try:
+        people.write.parquet(side)
+        written = spark.read.schema(people.schema).parquet(side)
+        for name, check in HISTORIES.items():
+            histories.load(written.select(key, *check), f"{root}/HISTORY/{name}", key, check, at)
+    finally:
+        drop(spark, side)
+
+
 def columns_of_histories() -> list[str]:
     return list(dict.fromkeys([history.STAFF_HISTORY_KEY, *(c for check in HISTORIES.values() for c in check)]))

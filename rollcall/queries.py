@@ -835,15 +835,18 @@ def landed_run(spark, sf_dir):
     def land(df: DataFrame, table: str, part: str) -> None:
         df.select(F.to_json(F.struct(*df.columns))).write.text(f"{landed}/{table}/{part}")
 
+    # Written once, since it is landed in three parts.
+    source.timekeep.write.parquet(f"{landed}-timekeep")
+    timekeep = raw.read_table(spark, f"{landed}-timekeep", "timekeep")
     day = F.col("SYNC_DATE")
     cut = "2024-01-20"
-    wrong = source.timekeep.filter(day >= cut).withColumn("SYNC_DATE", F.concat(F.lit("2024-02-"), F.substring(day, 9, 2)))
+    wrong = timekeep.filter(day >= cut).withColumn("SYNC_DATE", F.concat(F.lit("2024-02-"), F.substring(day, 9, 2)))
     land(source.profiles, "profiles", "1")
-    land(source.timekeep.filter(day < cut).unionByName(wrong), "timekeep", "1")
+    land(timekeep.filter(day < cut).unionByName(wrong), "timekeep", "1")
     at = dt.datetime(2024, 1, 23, tzinfo=dt.timezone.utc)
     models = ("mart_attendance_events",)
     loads.load(spark, landed, root, CFG, at, models=models)
-    land(source.timekeep.filter(day >= cut), "timekeep", "2")
+    land(timekeep.filter(day >= cut), "timekeep", "2")
     done = loads.load(spark, landed, root, CFG, at + dt.timedelta(hours=1), models=models)
     return spark.read.parquet(done.marts["mart_attendance_events"])
 

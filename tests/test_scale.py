@@ -1,5 +1,6 @@
 """What must not grow with the tables: width of sorted rows, rows of a task, repeated work."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import jsonx
 from rollcall.operators import flatten
-from rollcall.plans import marts, staging
+from rollcall.plans import loads, marts, staging
 from rollcall.settings import prepare_session
 from rollcall.sources import layouts, star
 
@@ -131,3 +132,23 @@ def test_code_of_a_landed_record_is_there_once(spark):
         ("4", "29", "Đã duyệt", "Lý do 4"),
         ("4", "30", "Chờ duyệt", "Bản cũ"),
     ]
+
+
+def test_both_histories_parse_the_profiles_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def parsed(v):
+        seen.add(1)
+        return v
+
+    names = loads.columns_of_histories()
+    people = staging.stg_profiles(spark.createDataFrame([], "SYNC_TIME timestamp, RAW_DATA string"), names)
+    kind = people.schema[loads.history.STAFF_HISTORY_KEY].dataType
+    none = lambda f: F.lit(None).cast(f.dataType).alias(f.name)
+    key = parsed(F.col("id").cast("string")).cast(kind).alias(loads.history.STAFF_HISTORY_KEY)
+    once = spark.range(4).select(*[key if f.name == loads.history.STAFF_HISTORY_KEY else none(f) for f in people.schema])
+    loads.load_histories(spark, once, str(tmp_path), dt.datetime(2026, 10, 1, tzinfo=dt.timezone.utc))
+    assert seen.value == 4
+    for name in loads.HISTORIES:
+        assert spark.read.parquet(f"{tmp_path}/HISTORY/{name}").count() == 4

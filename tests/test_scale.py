@@ -4,11 +4,11 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from rollcall.functions import jsonx
-from rollcall.operators import flatten
+from rollcall.operators import flatten, worklist
 from rollcall.plans import loads, marts, staging
 from rollcall.settings import prepare_session
 from rollcall.sources import layouts, star
@@ -152,3 +152,13 @@ def test_both_histories_parse_the_profiles_once(spark, tmp_path):
     assert seen.value == 4
     for name in loads.HISTORIES:
         assert spark.read.parquet(f"{tmp_path}/HISTORY/{name}").count() == 4
+
+
+def test_landed_ids_are_not_broadcast(spark):
+    """Spark takes ids cut out of JSON for as small as the files they came from."""
+    asked, landed = spark.createDataFrame([(4,), (5,), (5,), (None,)], "id int"), spark.createDataFrame([(4,), (None,)], "id int")
+    missing = worklist.missing_after_fetch(asked, landed)
+    assert rows(missing) == [(None,), (5,)]
+    for df in (missing, worklist.first_failures(missing)):
+        df.collect()
+        assert "Broadcast" not in plan(df)

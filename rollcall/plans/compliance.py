@@ -41,6 +41,7 @@ SEVERITY = {
     "Thấp": [PENDING_TODAY],
 }
 LEAVE_TYPES = [TYPE_LEAVE, TYPE_ABSENCE]
+STAFF_COLUMNS = ["name", "department", "position_title", "manager_name", "manager_code"]
 STATUS_RANK = {APPROVED: 1, PENDING: 2, REFUSED: 3}
 
 TIMEKEEP_INPUT = [
@@ -131,11 +132,12 @@ def company_holidays(timekeep: DataFrame, cfg: Settings) -> DataFrame:
     )
 
 
-def leave_by_day(approvals: DataFrame, days: DataFrame) -> DataFrame:
+def leave_by_day(approvals: DataFrame, days: DataFrame, last: str = "schedule_date") -> DataFrame:
     """Leave of a person on a day; the best status speaks for all requests.
 
     Only leave on the scheduled ``days`` is grouped: requests without a usable
     person code would make one ever larger group a day that no schedule asks for.
+    A row of ``days`` may stand for all days from its ``schedule_date`` to ``last``.
     Every aggregate folds partially before the shuffle. Ties on the status rank
     go to the lowest request id, then type and reason.
     """
@@ -150,8 +152,11 @@ def leave_by_day(approvals: DataFrame, days: DataFrame) -> DataFrame:
     leave = approvals.filter(
         F.col("approval_type").isin(*LEAVE_TYPES) & F.col("date_record").isNotNull()
     )
-    asked = days.select("personnel_code", F.col("schedule_date").alias("date_record"))
-    leave = leave.join(asked, ["personnel_code", "date_record"], "left_semi")
+    asked = days.select(
+        F.col("personnel_code").alias("_person"), F.col("schedule_date").alias("_first"), F.col(last).alias("_last")
+    ).distinct()
+    on_a_day = F.col("date_record").between(F.col("_first"), F.col("_last"))
+    leave = leave.join(asked, (F.col("personnel_code") == F.col("_person")) & on_a_day, "left_semi")
     return (
         leave.groupBy("personnel_code", "date_record")
         .agg(best.alias("b"), hours.alias("total_leave_hours"), ids.alias("leave_approval_ids"))
@@ -175,8 +180,8 @@ def approved_overtime(approvals: DataFrame) -> DataFrame:
     return approvals.filter(approved).select("personnel_code", "date_record").distinct()
 
 
-def schedule_spine(people: DataFrame, managers: DataFrame, cfg: Settings) -> DataFrame:
-    """Scheduled days of active office staff over the last weeks."""
+def scheduled_staff(people: DataFrame, managers: DataFrame, cfg: Settings) -> DataFrame:
+    """Active office staff with the first and last of their scheduled days."""
     active = people.filter(
         F.col("department_group").isin(*cfg.backoffice_blocks)
         & F.col("personnel_code").isNotNull()
@@ -188,21 +193,22 @@ def schedule_spine(people: DataFrame, managers: DataFrame, cfg: Settings) -> Dat
         managers.select(F.col("code").alias("personnel_code")), "personnel_code", "left"
     )
     today = F.lit(cfg.as_of)
-    staff = staff.select(
+    return staff.select(
         "personnel_code",
         "department_group",
         F.greatest("job_date_join", F.date_sub(today, cfg.schedule_days)).alias("range_start"),
         F.least(F.coalesce("job_date_out", today), today).alias("range_end"),
     )
+
+
+def schedule_spine(staff: DataFrame, cfg: Settings) -> DataFrame:
+    """Scheduled days over the last weeks, with what else is known of a person."""
     days = day_spine(staff, "range_start", "range_end", cfg, "schedule_date")
     weekday = F.dayofweek("schedule_date")
     six_days = is_six_day_week(F.col("schedule_date"), cfg)
     always_saturday = F.col("department_group").isin(BLOCK_WAREHOUSE, BLOCK_PRODUCTION)
-    return days.select(
-        "personnel_code",
-        "schedule_date",
-        ((weekday != 1) & ((weekday != 7) | always_saturday | six_days)).alias("is_workweek_day"),
-    )
+    workweek = (weekday != 1) & ((weekday != 7) | always_saturday | six_days)
+    return days.withColumn("is_workweek_day", workweek).drop("department_group", "range_start", "range_end")
 
 
 def classify(today: Column) -> Column:
@@ -246,23 +252,32 @@ def schedule_daily(
     timekeep: DataFrame,
     approvals: DataFrame,
     cfg: Settings,
+    with_staff: bool = False,
 ) -> DataFrame:
     """Expected work calendar against check-ins and requests, per person and day.
 
     Spine, attendance, leave and overtime meet on person and day, so a person
-    with a large share of the rows still spreads over the days.
+    with a large share of the rows still spreads over the days. What is known of
+    a person is joined before the days are made, which are dealt out once.
+    ``with_staff`` adds ``STAFF_COLUMNS``, a row for each row of the person there.
     """
-    spine = schedule_spine(people, managers, cfg)
+    staff = scheduled_staff(people, managers, cfg)
+    ranges = staff.withColumnRenamed("range_start", "schedule_date")
+    known = staff.join(checkin_rates(timekeep), "personnel_code", "left")
+    if with_staff:
+        known = known.join(staff_in_charge(people, managers), "personnel_code", "left")
+    spine = schedule_spine(known, cfg)
     # Bounded by the calendar (about 4,000 days), whatever the attendance holds.
     holidays = F.broadcast(company_holidays(timekeep, cfg))
+    key = ["personnel_code", "schedule_date"]
+    carried = ["checkin_rate", *(STAFF_COLUMNS if with_staff else [])]
     days = spine.join(holidays, F.col("schedule_date") == F.col("holiday_date"), "left").select(
-        "personnel_code",
-        "schedule_date",
+        *key,
+        *carried,
         "is_workweek_day",
         F.col("holiday_date").isNotNull().alias("is_company_holiday"),
         (F.col("is_workweek_day") & F.col("holiday_date").isNull()).alias("is_scheduled_workday"),
     )
-    key = ["personnel_code", "schedule_date"]
     present = F.col("checkin").isNotNull() | (F.col("is_check_log") == "Có")
     attendance = timekeep.select(
         "personnel_code",
@@ -279,9 +294,8 @@ def schedule_daily(
     overtime = on_day(approved_overtime(approvals)).withColumn("overtime", F.lit(True))
     rows = (
         days.join(attendance, key, "left")
-        .join(on_day(leave_by_day(approvals, days)), key, "left")
+        .join(on_day(leave_by_day(approvals, ranges, "range_end")), key, "left")
         .join(overtime, key, "left")
-        .join(checkin_rates(timekeep), "personnel_code", "left")
     )
     no = F.lit(False)
     rows = rows.select(
@@ -307,24 +321,19 @@ def schedule_daily(
         (F.coalesce("checkin_rate", F.lit(0.0)) < cfg.low_checkin_rate).alias(
             "is_low_checkin_reliability"
         ),
+        *(STAFF_COLUMNS if with_staff else []),
     )
     rows = rows.withColumn("exception_type", classify(F.lit(cfg.as_of)))
     return rows.withColumn("severity_level", severity(F.col("exception_type")))
 
 
-def exception_detail(
-    schedule: DataFrame,
-    people: DataFrame,
-    managers: DataFrame,
-    timing: DataFrame,
-    tracking: DataFrame,
-) -> DataFrame:
-    """Schedule rows with employee, request and processing state, one per request."""
+def staff_in_charge(people: DataFrame, managers: DataFrame) -> DataFrame:
+    """``STAFF_COLUMNS`` of every employee, by person code; repeated codes repeat a row."""
     lead = managers.select(
         F.col("code").alias("personnel_code"), "live_manager_id", "live_manager_code"
     )
     in_charge = F.concat(F.lit("Phụ trách "), F.col("department"))
-    staff = (
+    return (
         people.select("personnel_code", "name", "department", "position_title")
         .join(lead, "personnel_code", "left")
         .select(
@@ -338,6 +347,34 @@ def exception_detail(
             F.col("live_manager_code").alias("manager_code"),
         )
     )
+
+
+def states_by_day(tracking: DataFrame) -> DataFrame:
+    """Processing states by the person and day that a case id consists of."""
+    case = F.col("case_id")
+    tail = F.right(case, F.lit(8))
+    day = F.when(case.rlike(r"_[0-9]{8}\z"), F.try_to_date(tail, "yyyyMMdd"))
+    return tracking.select(
+        F.expr("left(case_id, length(case_id) - 9)").alias("personnel_code"),
+        F.when(F.date_format(day, "yyyyMMdd") == tail, day).alias("schedule_date"),
+        "processing_status",
+        "handled_by",
+        F.col("note").alias("processing_note"),
+    ).filter(F.col("schedule_date").isNotNull())
+
+
+def exception_detail(
+    schedule: DataFrame,
+    people: DataFrame,
+    managers: DataFrame,
+    timing: DataFrame,
+    tracking: DataFrame,
+) -> DataFrame:
+    """Schedule rows with employee, request and processing state, one per request.
+
+    Requests and states meet the days on person and day. The employee's columns are
+    joined unless the schedule has them (``schedule_daily(with_staff=True)``).
+    """
     requests = timing.select(
         "personnel_code",
         F.col("date_record").alias("schedule_date"),
@@ -354,22 +391,20 @@ def exception_detail(
         "flag_duyet_hoi_to",
         "flag_don_ton_cho_duyet_qua_han",
     )
+    key = ["personnel_code", "schedule_date"]
     days = schedule.drop("leave_approval_type", "leave_reason")
-    rows = days.join(requests, ["personnel_code", "schedule_date"], "left").join(
-        staff, "personnel_code", "left"
-    )
-    rows = rows.select(
+    rows = days.join(requests, key, "left").join(states_by_day(tracking), key, "left")
+    if not set(STAFF_COLUMNS) <= set(schedule.columns):
+        rows = rows.join(staff_in_charge(people, managers), "personnel_code", "left")
+    is_exception = F.col("severity_level").isNotNull()
+    return rows.select(
         F.col("schedule_date").alias("exception_date"),
         "personnel_code",
-        "name",
-        "department",
-        "position_title",
-        "manager_name",
-        "manager_code",
+        *STAFF_COLUMNS,
         F.when(F.col("is_scheduled_workday"), "Ngày làm")
         .otherwise("Ngày nghỉ (cuối tuần/lễ)")
         .alias("scheduled_day_label"),
-        *[c for c in requests.columns if c not in ("personnel_code", "schedule_date")],
+        *[c for c in requests.columns if c not in key],
         "has_checkin",
         "checkin",
         "checkout",
@@ -378,21 +413,13 @@ def exception_detail(
         "late_minute",
         "exception_type",
         "severity_level",
-        F.col("severity_level").isNotNull().alias("is_exception"),
+        is_exception.alias("is_exception"),
         "personnel_checkin_rate_overall",
         "is_low_checkin_reliability",
         F.concat("personnel_code", F.lit("_"), F.date_format("schedule_date", "yyyyMMdd")).alias(
             "case_id"
         ),
-    )
-    states = tracking.select(
-        "case_id", "processing_status", "handled_by", F.col("note").alias("processing_note")
-    )
-    return rows.join(states, "case_id", "left").select(
-        *rows.columns,
-        F.coalesce("processing_status", F.when(F.col("is_exception"), TODO)).alias(
-            "processing_status"
-        ),
+        F.coalesce("processing_status", F.when(is_exception, TODO)).alias("processing_status"),
         "handled_by",
         "processing_note",
     )

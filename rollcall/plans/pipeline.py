@@ -102,6 +102,16 @@ class Pipeline:
         schema = "case_id string, processing_status string, handled_by string, note string"
         return self.spark.createDataFrame([], schema)
 
+    def _schedule(self, with_staff: bool = False) -> DataFrame:
+        names = ("mart_profiles", "stg_profiles", "stg_timekeep", "mart_approvals")
+        return compliance.schedule_daily(*map(self.model, names), self.cfg, with_staff)
+
+    def _schedule_with_staff(self) -> DataFrame:
+        """The written schedule where there is one; else its rows with the employee's columns,
+        which are then joined once a person instead of once a day."""
+        name = "mart_compliance_schedule_daily"
+        return self.model(name) if name in self.keep or name in self._built else self._schedule(with_staff=True)
+
     def _builders(self) -> dict[str, Callable[[], DataFrame]]:
         src, cfg, get = self.sources, self.cfg, self.model
         timekeep_input = list(dict.fromkeys(marts.ATTENDANCE_INPUT + compliance.TIMEKEEP_INPUT))
@@ -140,15 +150,9 @@ class Pipeline:
             "mart_compliance_approval_timing": lambda: compliance.approval_timing(
                 get("mart_approvals"), get("mart_profiles"), cfg
             ),
-            "mart_compliance_schedule_daily": lambda: compliance.schedule_daily(
-                get("mart_profiles"),
-                get("stg_profiles"),
-                get("stg_timekeep"),
-                get("mart_approvals"),
-                cfg,
-            ),
+            "mart_compliance_schedule_daily": self._schedule,
             "mart_compliance_exception_detail": lambda: compliance.exception_detail(
-                get("mart_compliance_schedule_daily"),
+                self._schedule_with_staff(),
                 get("mart_profiles"),
                 get("stg_profiles"),
                 get("mart_compliance_approval_timing"),

@@ -226,3 +226,60 @@ def test_leave_of_unknown_people_is_not_grouped(spark):
     days = spark.createDataFrame([("NV1", day)], "personnel_code string, schedule_date date")
     got = c.leave_by_day(approvals, days).collect()
     assert [r.personnel_code for r in got] == ["NV1"] and len(got[0].leave_approval_ids.split(",")) == 30
+
+
+def shuffles_of_days(df):
+    """How many times the rows of the day spine are dealt out, in a plan without broadcasts by size."""
+    def walk(node):
+        if node.nodeName() == "Generate" and "sequence(" in node.toString().split("\n")[0]:
+            return [0]
+        below = [n for i in range(node.children().size()) for n in walk(node.children().apply(i))]
+        return [n + (node.nodeName() == "Exchange") for n in below]
+
+    return max(walk(df._jdf.queryExecution().executedPlan().initialPlan()))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+CASES = [
+    "A_20261007", "A_20261007", "B_20261006", "_20261007", "A_B_20261005", "A_20261007\n", "A_20260231", "A_2026100",
+    "20261007", "C_20261007", "Đ_20261007", "", None,
+]
+
+
+@pytest.mark.usefixtures("no_broadcast")
+def test_days_are_dealt_out_once_and_keep_their_rows(spark, frames):
+    codes = ["A", "A", "B", "", "A_B", "Đ", None]
+    requests = [request(1), request(2, status="Chờ duyệt"), request(3, code="B"), request(4, code="Z"), request(5, code="")]
+    requests += [request(6, kind="Đơn làm thêm"), request(7, on=None), request(8, on=D(2020, 1, 1))]
+    days = [day("A", "2026-10-07"), day("A", "2026-10-07", checkin=False), day("", "2026-10-07"), day("B", "bad")]
+    people, managers, timekeep, approvals = frames([person(k) for k in codes], days, requests)
+    timing = c.approval_timing(approvals, people, CFG)
+    tracking = spark.createDataFrame(
+        [(case, f"s{n}" if n % 5 else None, "HR", f"n{n}") for n, case in enumerate(CASES)],
+        "case_id string, processing_status string, handled_by string, note string",
+    )
+    inputs = (people, managers, timekeep, approvals, CFG)
+    plain = c.schedule_daily(*inputs)
+    brought = c.schedule_daily(*inputs, with_staff=True)
+    detail = c.exception_detail(brought, people, managers, timing, tracking)
+    assert shuffles_of_days(plain) == shuffles_of_days(detail) == 1
+
+    want = rows(c.exception_detail(plain, people, managers, timing, tracking))
+    assert rows(detail) == want
+    # A row for every tracking row with the text of its case, as a join on that text gives them.
+    bare = c.exception_detail(plain, people, managers, timing, tracking.limit(0))
+    states = tracking.select("case_id", F.col("processing_status").alias("s"), F.col("handled_by").alias("h"), F.col("note").alias("n"))
+    joined = bare.join(states, "case_id", "left").withColumns(
+        {"processing_status": F.coalesce("s", "processing_status"), "handled_by": F.col("h"), "processing_note": F.col("n")}
+    )
+    assert rows(joined.select(*detail.columns)) == want
+    # Two profiles, two managers and two employee rows of two managers each make 16 rows of a day of A.
+    per_day = detail.filter("personnel_code = 'A' and exception_date = '2026-10-06'")
+    assert per_day.count() == 16

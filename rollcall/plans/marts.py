@@ -442,7 +442,8 @@ def int_approval_details_flat(details: DataFrame) -> DataFrame:
         *[
             F.struct(
                 F.lit("leave" if c == "leave_data" else c).alias("detail_type"),
-                F.get(jsonx.elements(F.col(c)), F.lit(0)).alias("head"),
+                # Most arrays are empty; those need no parsing.
+                F.when(F.col(c) != "[]", F.get(jsonx.elements(F.col(c)), F.lit(0))).alias("head"),
             )
             for c in DETAIL_KINDS.values()
         ]

@@ -106,12 +106,6 @@ class Pipeline:
         names = ("mart_profiles", "stg_profiles", "stg_timekeep", "mart_approvals")
         return compliance.schedule_daily(*map(self.model, names), self.cfg, with_staff)
 
-    def _schedule_with_staff(self) -> DataFrame:
-        """The written schedule where there is one; else its rows with the employee's columns,
-        which are then joined once a person instead of once a day."""
-        name = "mart_compliance_schedule_daily"
-        return self.model(name) if name in self.keep or name in self._built else self._schedule(with_staff=True)
-
     def _builders(self) -> dict[str, Callable[[], DataFrame]]:
         src, cfg, get = self.sources, self.cfg, self.model
         timekeep_input = list(dict.fromkeys(marts.ATTENDANCE_INPUT + compliance.TIMEKEEP_INPUT))
@@ -151,8 +145,10 @@ class Pipeline:
                 get("mart_approvals"), get("mart_profiles"), cfg
             ),
             "mart_compliance_schedule_daily": self._schedule,
+            # Its days are made anew even where the schedule is written: to read those back and
+            # deal them out for the requests and again for the employees takes longer.
             "mart_compliance_exception_detail": lambda: compliance.exception_detail(
-                self._schedule_with_staff(),
+                self._schedule(with_staff=True),
                 get("mart_profiles"),
                 get("stg_profiles"),
                 get("mart_compliance_approval_timing"),

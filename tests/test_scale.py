@@ -162,3 +162,9 @@ def test_landed_ids_are_not_broadcast(spark):
     for df in (missing, worklist.first_failures(missing)):
         df.collect()
         assert "Broadcast" not in plan(df)
+
+
+def test_empty_arrays_are_not_parsed_for_their_first_element(spark, monkeypatch):
+    monkeypatch.setattr(marts.jsonx, "elements", lambda c: F.when(c == "[]", F.raise_error("parsed")).otherwise(F.from_json(c, "array<string>")))
+    flat = marts.int_approval_details_flat(documents_of(spark, []).withColumn("inout", F.lit('[{"inoutinfo":[{"time":"8"}]}]')))
+    assert rows(flat, "detail_type", "start_time") == [("inout", "8")]

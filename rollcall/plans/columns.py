@@ -49,7 +49,8 @@ def project(
     """Typed columns of ``record`` after the SQL columns ``keep``.
 
     ``only`` limits the typed columns by output name; other keys are not parsed.
-    The columns go to Spark as SQL text, one call for all of them.
+    JSON columns are of kind ``json``, or ``array`` where the order of keys in the
+    text does not matter and most values are arrays. The columns go to Spark as SQL text, one call for all of them.
     """
     if only is not None:
         fields = [f for f in fields if f.name in set(only)]
@@ -60,6 +61,8 @@ def project(
     def read(f: Field) -> str:
         if f.kind == "json":
             return f"to_json(_j.`{f.key}`) AS `{f.name}`"
+        if f.kind == "array":
+            return f"{jsonx.array_sql('_j', f.key, record)} AS `{f.name}`"
         return f"{READERS[f.kind].format(jsonx.scalar_sql('_j', f.key, record))} AS `{f.name}`"
 
     return parsed.selectExpr(*keep, *[read(f) for f in fields])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from rollcall.sources.raw import HR_MASTER_COLUMNS, TRACKING_COLUMNS, sheet_rows
 
 # A record's own text settles ties between rows with the same load stamp.
 _TIE = "xxhash64(rec) AS _tie"
+DOCUMENT_ARRAYS = ("inout", "overtime", "absence", "leave_data")
 
 
 def _with(only: Sequence[str] | None, *needed: str) -> list[str] | None:
@@ -75,13 +77,17 @@ def stg_approval_details(
     """Latest document per request, API errors left out.
 
     Documents seldom carry ``_loaded_at``, so most of them tie on ``sync_time``;
-    a settled status, then the ingest time, decide.
+    a settled status, then the ingest time, decide. The whole table has its arrays as
+    a variant writes them; where ``only`` some columns are staged, for the marts, which
+    parse them again, arrays keep their keys in the order of the document.
     """
     doc = jsonx.parse_once(raw, F.from_json("RAW_DATA", "error string, data string"), "_d")
     error = jsonx.scalar("_d", "error", "RAW_DATA")
     doc = doc.filter((error != "true") | error.isNull())
     doc = doc.selectExpr("APPROVAL_ID AS ID", "INGEST_TS", "_d.data AS rec")
     fields = [*DETAIL_FIELDS, Field("_loaded", "_loaded_at", "timestamp")]
+    if only is not None:
+        fields = [replace(f, kind="array") if f.name in DOCUMENT_ARRAYS else f for f in fields]
     needed = _with(only, "app_approval_status", "_loaded")
     rows = project(doc, fields, "rec", ["ID", "INGEST_TS", _TIE], needed)
     stamped = F.coalesce("_loaded", F.lit(cfg.as_of_ts))

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from conftest import plan, rows
@@ -160,3 +161,26 @@ def test_forward_first_counts_missing_status_as_settled(spark):
     assert got == [(None, 2), (1, 2), (2, 8)]
     settled = latest.settled_first(df, "id", "status", [F.col("seq").asc()])
     assert rows(settled, "id", "seq") == [(None, 2), (1, 3), (2, 8)]
+
+
+ARRAYS = ["inout", "overtime", "absence", "leave_data"]
+
+
+def test_arrays_cut_out_of_a_document_are_those_a_variant_writes(documents):
+    values = [
+        [], None, "[]", "[1]", "x", "", 5, 1.50, True, {}, {"overtime": []}, {"a": [1]}, [{"b": 1, "a": ["x", None, {}]}], [[]], [1.50, 1e3],
+        [{"hours": 1.0}], [-0.0], [10**20], [{"desc": "\u0001 \"q\" [b], \\ Đơn"}], [{"overtime": "x"}], [None], [{"overtime": [2]}],
+    ]
+    rows_ = [(n, {"data": {"app_approval_status": "a", "overtime": v, "z": v}}, NEW) for n, v in enumerate(values)]
+    rows_ += [(100, {"data": {"z": {"overtime": [1]}}}, NEW), (101, {"data": {"overtime": "[1]", "z": {"overtime": [1]}}}, NEW)]
+    rows_ += [(102, {"data": '{"\\u006fvertime": null, "leave" : "[]", "inout" :  [ { "b" : 1 } ]}'}, NEW), (103, {"data": '{"overtime": [1'}, NEW)]
+    df = documents(rows_)
+    cut = {r.ID: r for r in staging.stg_approval_details(df, CFG, ["ID", *ARRAYS]).collect()}
+    whole = {r.ID: r for r in staging.stg_approval_details(df, CFG).collect()}
+    assert len(cut) == len(whole) == len(rows_)
+    form = lambda t: t if t is None else json.dumps(json.loads(t), sort_keys=True)
+    for i, row in whole.items():
+        for c in ARRAYS:
+            assert form(cut[i][c]) == form(row[c]), (i, c, cut[i][c], row[c])
+    assert cut[12].overtime == '[{"b":1,"a":["x",null,{}]}]'
+    assert (cut[1].overtime, cut[2].overtime, cut[13].overtime, cut[14].overtime) == ("null", '"[]"', "[[]]", whole[14].overtime)
